@@ -116,8 +116,9 @@ def _short_dotted(col: Column) -> Column:
         (rf"^{_DAY}YY{_CLOCK}$", "#$3-$2-$1"),
         (rf"^{_DAY}([0-9]{{4}}){_CLOCK}$", "#$3-$2-$1"),
         # Otherwise the first thing in the text that looks like such a date.
-        (r"(?U)^[^#].*?\b([0-9]{2})\.([0-9]{2})\.([0-9]{4})\b.*$", "#$3-$2-$1"),
-        (r"(?U)^[^#].*?\b([0-9]{2})\.([0-9]{2})\.YY\b.*$", "#$3-$2-$1"),
+        (r"(?U)^(?!#).*?\b([0-9]{2}\.[0-9]{2}\.[0-9]{2,4})\b.*$", "?$1"),
+        (rf"^\?{_DAY}YY$", "#$3-$2-$1"),
+        (rf"^\?{_DAY}([0-9]{{4}})$", "#$3-$2-$1"),
     )
     return F.try_to_date(text, _YMD)
 

@@ -1,4 +1,4 @@
 """All registered queries, by importing the modules that register them."""
 
-from pressmill.plans import columns  # noqa: F401
+from pressmill.plans import columns, dedupe_queries, rule_queries, source_queries  # noqa: F401
 from pressmill.plans.registry import ORACLES, QUERIES  # noqa: F401

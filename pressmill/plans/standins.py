@@ -102,7 +102,7 @@ def sql_hits(rules, text: str = "txt") -> str:
         f"{{'label': {sql_text(r.label)}, 'fragment': regexp_extract({text}, {sql_text('(?i)' + r.pattern)}, 0)}}"
         for r in rules
     )
-    return f"list_filter([{cells}], x -> x.fragment <> '')"
+    return f"[x FOR x IN [{cells}] IF x.fragment <> '']"
 
 
 def sql_profile(profile: RuleProfile) -> str:
