@@ -1,4 +1,12 @@
 """All registered queries, by importing the modules that register them."""
 
-from pressmill.plans import columns, dedupe_queries, rule_queries, source_queries  # noqa: F401
+from pressmill.plans import (  # noqa: F401
+    columns,
+    curate,
+    dedupe_queries,
+    period_queries,
+    ranking_queries,
+    rule_queries,
+    source_queries,
+)
 from pressmill.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -45,9 +45,13 @@ def ingest_append(
     return _start(stream.writeStream.foreachBatch(sink), checkpoint, available_now)
 
 
+def _timed(stream: DataFrame, time: str, late: str) -> DataFrame:
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+
+
 def dedupe_stream(stream: DataFrame, keys: list[str], time: str, keep_for: str) -> DataFrame:
     """First arrival per key; keys are forgotten ``keep_for`` after the watermark."""
-    return stream.withWatermark(time, keep_for).dropDuplicatesWithinWatermark(keys)
+    return _timed(stream, time, keep_for).dropDuplicatesWithinWatermark(keys)
 
 
 def to_table(
@@ -106,7 +110,7 @@ def _read_days(spark: SparkSession, table: str, schema: StructType) -> DataFrame
 def daily_counts(stream: DataFrame, time: str, by: list[str], late: str = "2 days") -> DataFrame:
     """Rows per day and ``by``, closed once the watermark has passed the day."""
     return (
-        stream.withWatermark(time, late)
+        _timed(stream, time, late)
         .groupBy(F.window(time, "1 day").alias("w"), *by)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.to_date("w.start").alias("day"), *by, "n")
