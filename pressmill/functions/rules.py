@@ -6,8 +6,11 @@ expression, so there is no join with a rule table and no Python worker.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 import re
+from re import _parser
 
 from pyspark.sql import Column, functions as F
 
@@ -46,26 +49,138 @@ def _pattern(raw: str) -> str:
     return FLAGS + raw
 
 
-def _matches(text: Column, raw: str) -> Column:
-    return F.regexp_like(text, F.lit(_pattern(raw)))
+@lru_cache(maxsize=1)
+def _odd_letters() -> dict[str, str]:
+    """Letters whose lower case is not that of their upper case, with the latter."""
+    odd = {"İ": "i", "Σ": "σ"}
+    for char in map(chr, range(0x80, 0x10000)):
+        upper = char.upper()
+        if len(upper) == 1 and len(upper.lower()) == 1 and upper.lower() != char.lower():
+            odd[char] = upper.lower()
+    return odd
+
+
+def fold(text: Column, profiles: Sequence[RuleProfile]) -> Column:
+    """Case-folded text, in which the texts the rules need are looked up.
+
+    Lower case is the right fold but for a few letters. Those that could stand
+    for a letter of a needed text are replaced, in the rare text that has one.
+    """
+    patterns = [rule.pattern for p in profiles for _, _, rule in p.rules()]
+    patterns += [p.context for p in profiles if p.context]
+    used = {char for raw in patterns for needed in needed_texts(raw) for char in needed}
+    odd = {char: plain for char, plain in _odd_letters().items() if plain in used}
+    if odd:
+        has_odd = reduce(lambda a, b: a | b, [text.contains(char) for char in odd])
+        replaced = F.translate(text, "".join(odd), "".join(odd.values()))
+        text = F.when(has_odd, replaced).otherwise(text)
+    return F.lower(text)
+
+
+_MAX_NEEDED = 8
+
+
+@lru_cache(maxsize=4096)
+def needed_texts(pattern: str) -> tuple[str, ...]:
+    """Folded texts of which every match holds at least one; empty if unknown.
+
+    A plain search for them is many times cheaper than the regex, and most rules
+    match few articles, so the regex runs on the articles that hold one.
+    """
+    try:
+        found = _needed(_parser.parse(pattern, re.IGNORECASE))
+    except (re.error, RecursionError):
+        return ()
+    telling = all(len(t) > 1 or not (t.isalnum() or t.isspace()) for t in found)
+    if not found or not telling or len(found) > _MAX_NEEDED:
+        return ()
+    return tuple(sorted(found))
+
+
+def _needed(sequence) -> frozenset[str]:
+    """The most telling set of alternatives one element of a sequence demands."""
+    options, run = [], ""
+    for op, value in [*sequence, (None, None)]:
+        name = str(op)
+        if name == "LITERAL":
+            char = chr(value)
+            # Characters whose case forms differ in length or place end a run.
+            if len(char.upper()) == len(char.lower()) == len(char.upper().lower()) == 1:
+                run += char.upper().lower()
+                continue
+        if run:
+            options.append(frozenset((run,)))
+        run = ""
+        if name == "SUBPATTERN":
+            options.append(_needed(value[-1]))
+        elif name == "ATOMIC_GROUP":
+            options.append(_needed(value))
+        elif name.endswith("_REPEAT") and value[0] > 0:
+            options.append(_needed(value[2]))
+        elif name == "BRANCH":
+            branches = [_needed(branch) for branch in value[1]]
+            if all(branches):
+                options.append(frozenset().union(*branches))
+    telling = [o for o in options if o]
+    return max(telling, key=lambda o: (min(map(len, o)), -len(o)), default=frozenset())
+
+
+def _worth_it(folded: Column | None, raw: str) -> Column | None:
+    """True where the rule can match at all; None when that is not known."""
+    texts = needed_texts(raw) if folded is not None else ()
+    if not texts:
+        return None
+    return reduce(lambda a, b: a | b, [folded.contains(t) for t in texts])
+
+
+@lru_cache(maxsize=4096)
+def _is_plain(pattern: str) -> bool:
+    """The pattern is nothing but alternative texts."""
+    parsed = list(_parser.parse(pattern, re.IGNORECASE))
+    if len(parsed) == 1 and str(parsed[0][0]) == "BRANCH":
+        options = parsed[0][1][1]
+    else:
+        options = [parsed]
+    plain = all(str(op) == "LITERAL" for option in options for op, _ in option)
+    return plain and len(needed_texts(pattern)) == len(options)
+
 
+def matches(text: Column, raw: str, folded: Column | None = None) -> Column:
+    possible = _worth_it(folded, raw)
+    if possible is not None and _is_plain(raw):
+        return possible
+    hit = F.regexp_like(text, F.lit(_pattern(raw)))
+    return hit if possible is None else possible & hit
 
-def first_hit(text: Column, rule: Rule) -> Column:
-    """``(label, fragment)`` with a null fragment where the rule does not match."""
+
+def first_hit(text: Column, rule: Rule, folded: Column | None = None) -> Column:
+    """``(label, fragment)``; ``is_hit`` tells whether the rule matched."""
     found = F.regexp_extract(text, _pattern(rule.pattern), 0)
-    if re.search(rule.pattern, "", re.IGNORECASE):
+    if _may_be_empty(rule):
         # The rule can match nothing at all, so "" does not mean "no match".
-        found = F.when(_matches(text, rule.pattern), found)
+        found = F.when(matches(text, rule.pattern), found)
     else:
-        found = F.nullif(found, F.lit(""))
+        possible = _worth_it(folded, rule.pattern)
+        found = found if possible is None else F.when(possible, found)
     return F.struct(F.lit(rule.label).alias("label"), found.alias("fragment"))
 
 
-def _hits(text: Column, rules: tuple[Rule, ...]) -> Column:
+def _may_be_empty(rule: Rule) -> bool:
+    return re.search(rule.pattern, "", re.IGNORECASE) is not None
+
+
+def is_hit(hit: Column, rules: Sequence[Rule]) -> Column:
+    """Keeps a cell of ``first_hit``; the fragment is looked at, not found again."""
+    empty = [rule.label for rule in rules if _may_be_empty(rule)]
+    filled = hit["fragment"] != ""
+    return filled | (hit["label"].isin(empty) & hit["fragment"].isNotNull()) if empty else filled
+
+
+def _hits(text: Column, rules: tuple[Rule, ...], folded: Column | None) -> Column:
     if not rules:
         return F.array().cast(f"array<{HIT}>")
-    every = F.array(*[first_hit(text, rule) for rule in rules])
-    return F.filter(every, lambda hit: hit["fragment"].isNotNull())
+    every = F.array(*[first_hit(text, rule, folded) for rule in rules])
+    return F.filter(every, lambda hit: is_hit(hit, rules))
 
 
 def _if_text(text: Column, hits: Column) -> Column:
@@ -74,28 +189,28 @@ def _if_text(text: Column, hits: Column) -> Column:
     )
 
 
-def core_hits(text: Column, profile: RuleProfile) -> Column:
-    return _if_text(text, _hits(text, profile.core))
+def core_hits(text: Column, profile: RuleProfile, folded: Column | None = None) -> Column:
+    return _if_text(text, _hits(text, profile.core, folded))
 
 
-def secondary_hits(text: Column, profile: RuleProfile) -> Column:
-    hits = _hits(text, profile.secondary)
+def secondary_hits(text: Column, profile: RuleProfile, folded: Column | None = None) -> Column:
+    hits = _hits(text, profile.secondary, folded)
     if profile.context and profile.secondary:
-        hits = F.when(_matches(text, profile.context), hits).otherwise(
+        hits = F.when(matches(text, profile.context, folded), hits).otherwise(
             F.array().cast(f"array<{HIT}>")
         )
     return _if_text(text, hits)
 
 
-def exclude_hits(text: Column, profile: RuleProfile) -> Column:
-    return _if_text(text, _hits(text, profile.exclude))
+def exclude_hits(text: Column, profile: RuleProfile, folded: Column | None = None) -> Column:
+    return _if_text(text, _hits(text, profile.exclude, folded))
 
 
-def excluded(text: Column, profile: RuleProfile) -> Column:
+def excluded(text: Column, profile: RuleProfile, folded: Column | None = None) -> Column:
     """True at the first exclusion that hits; later ones are not evaluated."""
     out = F.lit(False)
     for rule in profile.exclude:
-        out = out | _matches(F.coalesce(text, F.lit("")), rule.pattern)
+        out = out | matches(F.coalesce(text, F.lit("")), rule.pattern, folded)
     return out
 
 
@@ -110,9 +225,11 @@ def evidence(core: Column, secondary: Column) -> Column:
     )
 
 
-def passes(text: Column, core: Column, secondary: Column, profile: RuleProfile) -> Column:
+def passes(
+    text: Column, core: Column, secondary: Column, profile: RuleProfile, folded: Column | None = None
+) -> Column:
     """Profile verdict from hit arrays that were computed once."""
     wanted = F.size(core) > 0
     if not profile.require_core:
         wanted = wanted | (F.size(secondary) > 0)
-    return (F.coalesce(text, F.lit("")) != "") & ~excluded(text, profile) & wanted
+    return (F.coalesce(text, F.lit("")) != "") & ~excluded(text, profile, folded) & wanted

@@ -8,11 +8,13 @@ from pressmill.functions import rules as rx
 from pressmill.functions.rules import Rule, RuleProfile
 from pressmill.functions.text import search_text
 
-TEXT = "_search_text"
+TEXT, FOLDED = "_search_text", "_folded"
 
 
-def with_search_text(articles: DataFrame) -> DataFrame:
-    return articles.withColumn(TEXT, search_text(F.col("title"), F.col("text")))
+def with_search_text(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
+    """Adds the searched text and its folded form, each computed once per row."""
+    texts = articles.withColumn(TEXT, search_text(F.col("title"), F.col("text")))
+    return texts.withColumn(FOLDED, rx.fold(F.col(TEXT), profiles))
 
 
 def apply_profile(articles: DataFrame, profile: RuleProfile) -> DataFrame:
@@ -26,21 +28,21 @@ def profile_fanout(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
     Exclusions are tested first and the hit arrays are built only where none
     hits; verdict and evidence both come from those arrays.
     """
-    text = F.col(TEXT)
+    text, folded = F.col(TEXT), F.col(FOLDED)
     hits = []
     for profile in profiles:
         found = F.struct(
             F.lit(profile.name).alias("profile"),
             F.lit(profile.require_core).alias("require_core"),
-            rx.core_hits(text, profile).alias("core"),
-            rx.secondary_hits(text, profile).alias("secondary"),
+            rx.core_hits(text, profile, folded).alias("core"),
+            rx.secondary_hits(text, profile, folded).alias("secondary"),
         )
-        hits.append(F.when(~rx.excluded(text, profile), found))
+        hits.append(F.when(~rx.excluded(text, profile, folded), found))
     keep = [c for c in articles.columns if c != "matched_keyword"]
     core, secondary = F.col("hit.core"), F.col("hit.secondary")
     wanted = (F.size(core) > 0) | (~F.col("hit.require_core") & (F.size(secondary) > 0))
     return (
-        with_search_text(articles)
+        with_search_text(articles, profiles)
         .withColumn("hit", F.explode(F.array_compact(F.array(*hits))))
         .filter(wanted)
         .select(*keep, F.col("hit.profile").alias("profile"), rx.evidence(core, secondary).alias("matched_keyword"))
@@ -49,15 +51,15 @@ def profile_fanout(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
 
 def excluded_rows(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
     """Audit of exclusions: a row per article and profile with the labels that hit."""
-    text = F.col(TEXT)
+    text, folded = F.col(TEXT), F.col(FOLDED)
     found = F.array(
         *[
-            F.struct(F.lit(p.name).alias("profile"), rx.exclude_hits(text, p).alias("hits"))
+            F.struct(F.lit(p.name).alias("profile"), rx.exclude_hits(text, p, folded).alias("hits"))
             for p in profiles
         ]
     )
     return (
-        with_search_text(articles)
+        with_search_text(articles, profiles)
         .select("ord", F.explode(found).alias("x"))
         .filter(F.size("x.hits") > 0)
         .select(
@@ -70,17 +72,19 @@ def excluded_rows(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame
 
 def verdict_counts(articles: DataFrame, profiles: list[RuleProfile], by: list[str]) -> DataFrame:
     """Kept and total articles per profile and ``by``, with subtotals (rollup)."""
-    text = F.col(TEXT)
+    text, folded = F.col(TEXT), F.col(FOLDED)
     verdicts = F.array(
         *[
             F.struct(
                 F.lit(p.name).alias("profile"),
-                rx.passes(text, rx.core_hits(text, p), rx.secondary_hits(text, p), p).alias("kept"),
+                rx.passes(
+                    text, rx.core_hits(text, p, folded), rx.secondary_hits(text, p, folded), p, folded
+                ).alias("kept"),
             )
             for p in profiles
         ]
     )
-    flags = with_search_text(articles).select(*by, F.explode(verdicts).alias("v"))
+    flags = with_search_text(articles, profiles).select(*by, F.explode(verdicts).alias("v"))
     return (
         flags.select("v.profile", *by, "v.kept")
         .rollup("profile", *by)
@@ -128,11 +132,11 @@ def rule_hits_long(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
 
     Context and exclusion are not applied: this is the raw evidence per rule.
     """
-    text = F.col(TEXT)
+    text, folded = F.col(TEXT), F.col(FOLDED)
     cells = []
     for profile in profiles:
         for kind, seq, rule in profile.rules():
-            hit = rx.first_hit(text, rule)
+            hit = rx.first_hit(text, rule, folded)
             cells.append(
                 F.struct(
                     F.lit(profile.name).alias("profile"),
@@ -142,14 +146,15 @@ def rule_hits_long(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
                     hit["fragment"].alias("fragment"),
                 )
             )
-    found = F.filter(F.array(*cells), lambda c: c["fragment"].isNotNull())
-    return with_search_text(articles).select("ord", F.explode(found).alias("h")).select("ord", "h.*")
+    rules = [rule for profile in profiles for _, _, rule in profile.rules()]
+    found = F.filter(F.array(*cells), lambda c: rx.is_hit(c, rules))
+    return with_search_text(articles, profiles).select("ord", F.explode(found).alias("h")).select("ord", "h.*")
 
 
-def hit_column(articles: DataFrame, hits: Column, out: str) -> DataFrame:
+def hit_column(articles: DataFrame, hits: Column, profiles: list[RuleProfile], out: str = "hit") -> DataFrame:
     """Long form of a hit array: ``(ord, pos, label, fragment)``."""
     return (
-        with_search_text(articles)
+        with_search_text(articles, profiles)
         .select("ord", F.posexplode(hits).alias("pos", out))
         .select("ord", "pos", f"{out}.label", f"{out}.fragment")
     )

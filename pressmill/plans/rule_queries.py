@@ -29,7 +29,7 @@ _LONG = """SELECT ord, CAST(pos - 1 AS INTEGER) AS pos, hit.label AS label, hit.
 
 @query("rule_core_match", f"WITH {HITS} " + _LONG.format(hits="core", name="alpha"))
 def rule_core_match(spark, d):
-    return ru.hit_column(articles(spark, d), rx.core_hits(F.col(ru.TEXT), PACKS[0]), "hit")
+    return ru.hit_column(articles(spark, d), rx.core_hits(F.col(ru.TEXT), PACKS[0], F.col(ru.FOLDED)), [PACKS[0]])
 
 
 @query(
@@ -37,9 +37,9 @@ def rule_core_match(spark, d):
     f"WITH {HITS} " + _LONG.format(hits="(core || secondary)", name="alpha"),
 )
 def rule_secondary_match(spark, d):
-    text = F.col(ru.TEXT)
-    both = F.concat(rx.core_hits(text, PACKS[0]), rx.secondary_hits(text, PACKS[0]))
-    return ru.hit_column(articles(spark, d), both, "hit")
+    text, folded = F.col(ru.TEXT), F.col(ru.FOLDED)
+    both = F.concat(rx.core_hits(text, PACKS[0], folded), rx.secondary_hits(text, PACKS[0], folded))
+    return ru.hit_column(articles(spark, d), both, [PACKS[0]])
 
 
 @query(
