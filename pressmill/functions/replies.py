@@ -46,6 +46,14 @@ def parse_reply(text: Column) -> Column:
     return bind({"text": text}, lambda p: _parse_bound(p["text"]))
 
 
+def _pulled_fields(p: Column) -> Column:
+    summary = F.replace(F.replace(strip(p["summary"]), F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(""))
+    return F.when(
+        (p["summary"] != "") & (p["score"] != ""),
+        F.create_map(F.lit("summary"), summary, F.lit("score"), p["score"]),
+    )
+
+
 def _parse_bound(text: Column) -> Column:
     whole_list = text.rlike(r"(?s)^\[.*\]$") & F.try_parse_json(text).isNotNull()
     at_start = _object_at_start(text)
@@ -56,21 +64,21 @@ def _parse_bound(text: Column) -> Column:
     )
     with_score = _last_object(text, SUMMARY_SCORE_OBJECT)
     with_summary = _last_object(text, SUMMARY_OBJECT)
-    summary = F.regexp_extract(text, "(?sU)" + SUMMARY_VALUE, 1)
-    score = F.regexp_extract(text, "(?U)" + SCORE_VALUE, 1)
-    pulled = F.when(
-        (summary != "") & (score != ""),
-        F.create_map(
-            F.lit("summary"),
-            F.replace(F.replace(strip(summary), F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit("")),
-            F.lit("score"),
-            score,
-        ),
+    pulled = bind(
+        {
+            "summary": F.regexp_extract(text, "(?sU)" + SUMMARY_VALUE, 1),
+            "score": F.regexp_extract(text, "(?U)" + SCORE_VALUE, 1),
+        },
+        _pulled_fields,
     )
 
     def result(name: str, fields: Column) -> Column:
-        return F.when(
-            fields.isNotNull(), F.struct(F.lit(name).alias("found_by"), fields.alias("fields"))
+        return bind(
+            {"fields": fields},
+            lambda p: F.when(
+                p["fields"].isNotNull(),
+                F.struct(F.lit(name).alias("found_by"), p["fields"].alias("fields")),
+            ),
         )
 
     none = F.struct(

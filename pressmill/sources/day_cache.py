@@ -29,8 +29,8 @@ def read_documents(spark: SparkSession, path: str, one_per_line: bool = False) -
     ``path`` holds ``{source}/{topic}/<file>``. With ``one_per_line`` a file
     holds many compact documents.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("wholetext", not one_per_line)
-    return reader.text(path).select(
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return reader.text(path, wholetext=not one_per_line).select(
         F.col("_metadata.file_path").alias("file"),
         _path_part(3).alias("source"),
         _path_part(2).alias("topic"),

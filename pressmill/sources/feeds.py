@@ -12,8 +12,7 @@ def read_feed_documents(spark: SparkSession, path: str, one_per_line: bool = Fal
     """``(file, body)``, a row per feed document."""
     return (
         spark.read.option("recursiveFileLookup", "true")
-        .option("wholetext", not one_per_line)
-        .text(path)
+        .text(path, wholetext=not one_per_line)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
     )
 
