@@ -35,7 +35,7 @@ def latest_by(df: DataFrame, key: str, order: str) -> DataFrame:
 
 def skip_seen(items: DataFrame, seen: DataFrame, key: str = "url") -> DataFrame:
     """Items whose key was not taken before."""
-    return items.join(seen.select(key), key, "left_anti")
+    return items.join(seen.select(key).distinct(), key, "left_anti")
 
 
 def dedupe_greedy(
@@ -128,13 +128,15 @@ def new_rows(existing: DataFrame, incoming: DataFrame, url: str, topic: str, ord
         )
 
     fresh = keyed(incoming)
-    # Rows without a url skip join and window, so they form no hot key.
+    key = ["_url", "_topic"]
+    # Rows without a url skip window and join, so they form no hot key.
     unkeyed = fresh.filter("_url = ''")
-    unseen = fresh.filter("_url <> ''").join(
-        keyed(existing).select("_url", "_topic"), ["_url", "_topic"], "left_anti"
-    )
-    first = first_by(unseen, ["_url", "_topic"], [order])
-    return first.unionByName(unkeyed).drop("_url", "_topic")
+    # Both sides shrink to one row per key and task before they are shuffled,
+    # and the join reuses the partitioning of that shuffle.
+    first = first_by(fresh.filter("_url <> ''"), key, [order])
+    held = keyed(existing.select(url, topic)).filter("_url <> ''").select(key).distinct()
+    unseen = first.join(held, key, "left_anti")
+    return unseen.unionByName(unkeyed).drop("_url", "_topic")
 
 
 def union_append(existing: DataFrame, new: DataFrame) -> DataFrame:

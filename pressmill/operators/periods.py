@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pressmill.functions.dates import parse_news_date
 from pressmill.operators.dedupe import new_rows
@@ -83,7 +84,13 @@ class PeriodStore:
             for n in _children(self.spark, top)
             if before is None or int(n[1:]) < before
         ]
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
+        if not paths:
+            return None
+        # One footer per batch gives the columns; then one scan reads them all.
+        fields = {}
+        for path in paths:
+            fields.update({f.name: f for f in self.spark.read.parquet(path).schema})
+        return self.spark.read.schema(StructType(list(fields.values()))).parquet(*paths)
 
     def _next_batch(self) -> int:
         held = _children(self.spark, f"{self.root}/rows/g{self.generation():06d}")
@@ -149,14 +156,8 @@ def drop_internal(rows: DataFrame, prefixes: tuple[str, ...] = INTERNAL_PREFIXES
     return rows.drop(*[c for c in rows.columns if c.startswith(prefixes)])
 
 
-def export_flat(rows: DataFrame, path: str, columns: list[str], one_file: bool = False) -> None:
-    """CSV with a fixed column order, other public columns behind.
-
-    ``one_file`` passes everything through one task; it is for a digest-sized
-    extract, not for a whole corpus.
-    """
+def export_flat(rows: DataFrame, path: str, columns: list[str]) -> None:
+    """CSV with a fixed column order, other public columns behind."""
     public = drop_internal(rows)
     ordered = [c for c in columns if c in public.columns] + [c for c in public.columns if c not in columns]
-    out = public.select(*ordered)
-    out = out.coalesce(1) if one_file else out
-    out.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"').csv(path)
+    public.select(*ordered).write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"').csv(path)

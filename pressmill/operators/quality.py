@@ -44,19 +44,6 @@ def counts_by_source_topic(articles: DataFrame, sources: DataFrame, topics: Data
     )
 
 
-def rule_hit_counts(hits: DataFrame) -> DataFrame:
-    """Articles per profile and rule label, from ``rule_hits_long``.
-
-    An article is one hit per label even if several rules share the label.
-    """
-    return (
-        hits.select("ord", "profile", "kind", "label")
-        .distinct()
-        .groupBy("profile", "kind", "label")
-        .agg(F.count(F.lit(1)).alias("n_articles"))
-    )
-
-
 def top_count_by_topic(rows: DataFrame, topic: str = "topic") -> DataFrame:
     return rows.groupBy(topic).agg(F.count_if("is_top").alias("n_top"))
 

@@ -45,7 +45,12 @@ def profile_fanout(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
         with_search_text(articles, profiles)
         .withColumn("hit", F.explode(F.array_compact(F.array(*hits))))
         .filter(wanted)
-        .select(*keep, F.col("hit.profile").alias("profile"), rx.evidence(core, secondary).alias("matched_keyword"))
+        .select(
+            *keep,
+            F.col("hit.profile").alias("profile"),
+            rx.evidence(core, secondary).alias("matched_keyword"),
+            (F.size(core) + F.size(secondary)).alias("n_hits"),
+        )
     )
 
 
@@ -127,11 +132,8 @@ def profiles_from_table(rules: DataFrame, heads: list[RuleProfile]) -> list[Rule
     ]
 
 
-def rule_hits_long(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
-    """``(ord, profile, kind, seq, label, fragment)``, a row per rule that matches.
-
-    Context and exclusion are not applied: this is the raw evidence per rule.
-    """
+def _all_hits(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
+    """``(ord, hits)``: all rules that match, in one array per article."""
     text, folded = F.col(TEXT), F.col(FOLDED)
     cells = []
     for profile in profiles:
@@ -148,7 +150,32 @@ def rule_hits_long(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
             )
     rules = [rule for profile in profiles for _, _, rule in profile.rules()]
     found = F.filter(F.array(*cells), lambda c: rx.is_hit(c, rules))
-    return with_search_text(articles, profiles).select("ord", F.explode(found).alias("h")).select("ord", "h.*")
+    return with_search_text(articles, profiles).select("ord", found.alias("hits"))
+
+
+def rule_hits_long(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
+    """``(ord, profile, kind, seq, label, fragment)``, a row per rule that matches.
+
+    Context and exclusion are not applied: this is the raw evidence per rule.
+    """
+    return _all_hits(articles, profiles).select("ord", F.explode("hits").alias("h")).select("ord", "h.*")
+
+
+def rule_hit_counts(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
+    """Articles per profile and rule label.
+
+    An article counts once per label even if several rules share it; repeats are
+    removed inside the row, so only partial counts are shuffled.
+    """
+    labels = F.array_distinct(
+        F.transform("hits", lambda h: F.struct(h["profile"], h["kind"], h["label"]))
+    )
+    return (
+        _all_hits(articles, profiles)
+        .select(F.explode(labels).alias("l"))
+        .groupBy("l.profile", "l.kind", "l.label")
+        .agg(F.count(F.lit(1)).alias("n_articles"))
+    )
 
 
 def hit_column(articles: DataFrame, hits: Column, profiles: list[RuleProfile], out: str = "hit") -> DataFrame:

@@ -32,8 +32,9 @@ def curate(
     selected = written(selected, "selected")
     unique = dedupe_greedy(selected, scope=["topic", "source"])
     period = append_new_only(existing, unique)
-    hits = F.size(F.split("matched_keyword", "; "))
-    scored = period.withColumns({"score": F.least(hits * 30, F.lit(100)), "row_id": F.xxhash64("ord", "topic")})
+    at = F.array_position(F.array(*[F.lit(p.name) for p in profiles]), F.col("topic"))
+    row_id = F.col("ord") * len(profiles) + at - 1
+    scored = period.withColumns({"score": F.least(F.col("n_hits") * 30, F.lit(100)), "row_id": row_id})
     scored = written(scored.withColumn("is_candidate", F.col("score") >= 30), "scored")
     vectors = hashed_vectors(scored, "row_id", "text", 64)
     kept = semantic_survivors(scored.join(vectors, "row_id"), "row_id", "vec", "topic", "score", threshold)

@@ -110,14 +110,13 @@ def group_by_day(spark, d):
     WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-16' AND DATE '2024-01-25' GROUP BY ALL""",
 )
 def retention_trim(spark, d):
-    """A day-partitioned table trimmed to a window; dropped days are not read."""
+    """A day-partitioned table trimmed to a window, then read in full."""
     path = work_path(spark, "days")
     rows = table(spark, d, "events").select(F.col("event_type").alias("source"), F.to_date("ts").alias("day"), "event_id")
-    rows.hint("rebalance", "day").write.partitionBy("day").parquet(path)
-    held = spark.read.parquet(path)
+    rows.hint("rebalance", "source", "day").write.partitionBy("source", "day").parquet(path)
     today = F.lit("2024-01-25").cast("date")
-    kept = wn.retention_trim(held, F.col("day").between(F.date_sub(today, 9), today))
-    return kept.groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"))
+    wn.trim_days(spark, path, ["source", "day"], F.col("day").between(F.date_sub(today, 9), today))
+    return spark.read.parquet(path).groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

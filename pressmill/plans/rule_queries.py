@@ -107,7 +107,7 @@ def rule_hits_long(spark, d):
     FROM long WHERE fragment <> '' GROUP BY ALL""",
 )
 def rule_hit_counts(spark, d):
-    return ql.rule_hit_counts(ru.rule_hits_long(articles(spark, d), list(PACKS)))
+    return ru.rule_hit_counts(articles(spark, d), list(PACKS))
 
 
 @query(

@@ -271,6 +271,11 @@ def html_profiles(spark, d):
 def title_link_match(spark, d):
     links = pg.extract_links(table(spark, d, "pages"), F.col("url")).withColumnRenamed("page_id", "page")
     first = links.groupBy("page", "anchor").agg(F.min("pos").cast("long").alias("ord"))
-    listing = first.filter("ord % 3 <> 1").select("page", "ord", F.concat(F.lit(" "), "anchor").alias("title"))
-    noise = listing.select("page", F.col("ord") + 1000, F.concat("title", F.lit(" unmatched")))
-    return ar.title_link_match(listing.union(noise).union(listing.select("page", F.col("ord") + 1, "title")), links)
+    title = F.concat(F.lit(" "), "anchor")
+    shown = F.array(
+        F.struct(F.col("ord").alias("ord"), title.alias("title")),
+        F.struct((F.col("ord") + 1000).alias("ord"), F.concat(title, F.lit(" unmatched")).alias("title")),
+        F.struct((F.col("ord") + 1).alias("ord"), title.alias("title")),
+    )
+    listing = first.filter("ord % 3 <> 1").select("page", F.explode(shown).alias("x")).select("page", "x.*")
+    return ar.title_link_match(listing, links)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 import tempfile
 import uuid
 
@@ -32,6 +33,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+@lru_cache(maxsize=1)
+def _one_machine_root() -> str:
+    return tempfile.mkdtemp(prefix="pressmill-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
@@ -42,9 +48,7 @@ def shared_root(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        made = tempfile.mkdtemp(prefix="pressmill-")
-        spark.conf.set("spark.checkpoint.dir", made)
-        return made
+        return _one_machine_root()
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 

@@ -50,8 +50,3 @@ def test_columns_are_pruned(spark, folder):
 def test_one_scan_for_all_profiles(spark, folder):
     text = plan(QUERIES["profile_fanout"](spark, folder))
     assert text.count("Scan parquet") <= 2 and "Join" not in text and "Exchange" not in text
-
-
-def test_trimmed_days_are_not_read(spark, folder):
-    text = plan(QUERIES["retention_trim"](spark, folder))
-    assert "PartitionFilters: [isnotnull(day" in text
