@@ -11,6 +11,8 @@ from pressmill.functions.dates import parse_news_date
 from pressmill.operators.dedupe import new_rows
 
 PERIOD_COLUMN = "period_id"
+# The append a row came with; rows of later appends stand behind it.
+BATCH_COLUMN = "period_batch"
 
 
 def period_bounds(rows: DataFrame, news_date: Column, run_date: str, period_start: str | None = None) -> DataFrame:
@@ -112,7 +114,7 @@ class PeriodStore:
         existing = self._read(self.generation(), before=batch)
         first = existing is None or existing.isEmpty()
         fresh = incoming if first else new_rows(existing, incoming, url, topic, order)
-        fresh.write.mode("overwrite").parquet(
+        fresh.withColumn(BATCH_COLUMN, F.lit(batch)).write.mode("overwrite").parquet(
             f"{self.root}/rows/g{self.generation():06d}/b{batch:09d}"
         )
         return self.read_open()
@@ -124,9 +126,12 @@ class PeriodStore:
         row.write.mode("overwrite").parquet(f"{self.root}/closed/g{generation:06d}")
 
     def replace(self, rows: DataFrame) -> DataFrame:
-        """Put ``rows`` in place of the open period (after enrichment)."""
-        generation = self.generation()
-        rows.write.mode("overwrite").parquet(f"{self.root}/rows/g{generation + 1:06d}/b{0:09d}")
+        """Put ``rows`` in place of the open period (after enrichment).
+
+        Batch numbers go on from there, so they keep telling the row order.
+        """
+        generation, batch = self.generation(), max(self._next_batch() - 1, 0)
+        rows.write.mode("overwrite").parquet(f"{self.root}/rows/g{generation + 1:06d}/b{batch:09d}")
         self._mark_closed(generation, None)
         return self.read_open()
 
@@ -149,7 +154,7 @@ class PeriodStore:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
-INTERNAL_PREFIXES = ("_audit_", "audit_")
+INTERNAL_PREFIXES = ("_audit_", "audit_", BATCH_COLUMN)
 
 
 def drop_internal(rows: DataFrame, prefixes: tuple[str, ...] = INTERNAL_PREFIXES) -> DataFrame:

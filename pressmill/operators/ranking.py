@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pressmill.functions.replies import as_int, clean_score, ranked_items
 from pressmill.functions.text import text_or_empty
 from pressmill.operators.quality import require_columns
+from pressmill.schema import RANK_COLUMNS
 
 MAX_CANDIDATES = 30
 TOP_N, RESERVE_N = 10, 5
@@ -76,7 +77,7 @@ def rank_top_reserve(
     This is the ranker used when no external one is given.
     """
     return (
-        candidate_topk(scored, topic, order, top_n + reserve_n)
+        candidate_topk(scored.drop(*RANK_COLUMNS), topic, order, top_n + reserve_n)
         .withColumnRenamed("pos", "top_rank")
         .withColumn("is_top", F.col("top_rank") <= top_n)
     )
@@ -92,14 +93,24 @@ def ranks_from_replies(replies: DataFrame, reply: str = "reply", topic: str = "t
 
 
 def apply_ranking(
-    rows: DataFrame, ranks: DataFrame, topic: str = "topic", order: str = "ord", top_n: int = TOP_N
+    rows: DataFrame,
+    ranks: DataFrame,
+    topic: str = "topic",
+    order: str = "ord",
+    top_n: int = TOP_N,
+    only: list[str] | None = None,
 ) -> DataFrame:
-    """Set ``top_rank`` and ``is_top`` from ``(topic, row_id, rank)``; others reset."""
-    given = ranks.select(F.col(topic), F.col("row_id").alias(order), F.col("rank").alias("top_rank"))
-    bare = rows.drop("top_rank", "is_top")
-    return bare.join(given, [topic, order], "left").withColumn(
-        "is_top", F.coalesce(F.col("top_rank") <= top_n, F.lit(False))
-    )
+    """Set ``top_rank`` and ``is_top`` from ``(topic, row_id, rank)``; others reset.
+
+    With ``only`` the rows of other topics keep the ranking they have.
+    """
+    given = ranks.select(F.col(topic), F.col("row_id").alias(order), F.col("rank").alias("_rank"))
+    known = rows if "top_rank" in rows.columns else reset_ranking(rows)
+    joined = known.join(given, [topic, order], "left")
+    touched = F.lit(True) if only is None else F.col(topic).isin(only)
+    rank = F.when(touched, F.col("_rank")).otherwise(F.col("top_rank"))
+    flag = F.when(touched, F.coalesce(F.col("_rank") <= top_n, F.lit(False))).otherwise(F.col("is_top"))
+    return joined.withColumns({"top_rank": rank, "is_top": flag}).drop("_rank")
 
 
 def reset_ranking(rows: DataFrame) -> DataFrame:

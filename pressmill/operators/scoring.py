@@ -12,6 +12,7 @@ from pressmill.functions.text import strip, text_or_empty
 from pressmill.operators.articles import normalize_topic
 from pressmill.operators.quality import require_columns
 from pressmill.schema import TOPICS, Topic
+from pressmill.sources.day_cache import folder_exists
 
 # The reasons written for rows that could not be scored.
 ERROR_PREFIX = "Ошибка LLM scoring:"
@@ -152,8 +153,7 @@ def score_in_waves(
 
 def read_scores(spark, table: str, id_col: str, rows: DataFrame) -> DataFrame | None:
     """The score table, or None before the first wave."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not folder_exists(spark, table):
         return None
     id_type = rows.schema[id_col].dataType.simpleString()
     return spark.read.schema(f"{id_col} {id_type}, {SCORES}").parquet(table)

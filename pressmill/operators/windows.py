@@ -1,8 +1,8 @@
-"""Day windows, retention and the refresh plan."""
+"""Day windows and the refresh plan."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def in_exact_window(key: Column, days: int, today: Column, key_format: str) -> Column:
@@ -35,30 +35,6 @@ def in_source_window(key: Column, key_format: Column | str, days: int, today: Co
     return out
 
 
-MAX_DAY_FOLDERS = 1_000_000
-
-
-def trim_days(spark: SparkSession, table: str, parts: list[str], keep: Column) -> int:
-    """Drop the partition folders of a day table that ``keep`` does not hold for.
-
-    Only partition values are looked at, no data is read or rewritten. Returns
-    the number of folders dropped.
-    """
-    dropped = (
-        spark.read.parquet(table).select(*parts).distinct().filter(~F.coalesce(keep, F.lit(False)))
-    )
-    folders = dropped.limit(MAX_DAY_FOLDERS + 1).collect()
-    if len(folders) > MAX_DAY_FOLDERS:
-        raise ValueError(f"more than {MAX_DAY_FOLDERS} day folders to drop")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(table).getFileSystem(spark._jsc.hadoopConfiguration())
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in folders:
-        steps = [f"{name}={escape(str(row[name]))}" for name in parts]
-        fs.delete(hadoop("/".join([table, *steps])), True)
-    return len(folders)
-
-
 MIN_REFRESH_DAYS = 2
 
 

@@ -5,6 +5,7 @@ from pressmill.plans import (  # noqa: F401
     curate,
     dedupe_queries,
     period_queries,
+    run_queries,
     ranking_queries,
     rule_queries,
     source_queries,

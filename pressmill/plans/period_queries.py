@@ -11,6 +11,7 @@ from pressmill.plans.dedupe_queries import APPEND, period_halves
 from pressmill.plans.registry import query
 from pressmill.plans.standins import ART, articles, table
 from pressmill.session import work_path
+from pressmill.sources import day_cache as dc
 from pressmill.streaming import ingest as st
 
 
@@ -115,7 +116,7 @@ def retention_trim(spark, d):
     rows = table(spark, d, "events").select(F.col("event_type").alias("source"), F.to_date("ts").alias("day"), "event_id")
     rows.hint("rebalance", "source", "day").write.partitionBy("source", "day").parquet(path)
     today = F.lit("2024-01-25").cast("date")
-    wn.trim_days(spark, path, ["source", "day"], F.col("day").between(F.date_sub(today, 9), today))
+    dc.trim_days(spark, path, ["source", "day"], F.col("day").between(F.date_sub(today, 9), today))
     return spark.read.parquet(path).groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"))
 
 

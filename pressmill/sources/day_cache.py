@@ -14,6 +14,8 @@ from pressmill.session import work_path
 
 _DAY_MAP = f"map<string,{DAY_ENTRY.simpleString()}>"
 _ROOTS = f"struct<days:{_DAY_MAP},reviews:{_DAY_MAP}>"
+DAY_PARTS = ["source", "topic", "day"]
+MAX_DAY_FOLDERS = 1_000_000
 _STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
 
 
@@ -78,9 +80,14 @@ def scan_articles(docs: DataFrame) -> DataFrame:
     ).select("source", "topic", "day", "pos", "item.*")
 
 
-def scan_all(docs: DataFrame, sources: list[str], topics: list[str]) -> DataFrame:
-    """Articles of the wanted sources and topics; one read, no loop over files."""
-    wanted = docs.filter(F.col("source").isin(sources) & F.col("topic").isin(topics))
+def scan_all(docs: DataFrame, sources: list[str] | None, topics: list[str]) -> DataFrame:
+    """Articles of the wanted sources (None for all) and topics.
+
+    One read, no loop over files.
+    """
+    wanted = docs.filter(F.col("topic").isin(topics))
+    if sources is not None:
+        wanted = wanted.filter(F.col("source").isin(sources))
     return scan_articles(wanted)
 
 
@@ -95,13 +102,28 @@ def write_days(df: DataFrame, path: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 2_000_000)
-        .partitionBy("source", "topic", "day")
+        .partitionBy(*DAY_PARTS)
         .parquet(path)
     )
 
 
-def upsert_days(df: DataFrame, path: str, links: str = "links_found", status: str = "processed") -> None:
-    """Store whole days: each day in ``df`` replaces what was held for it."""
+def upsert_days(
+    df: DataFrame,
+    path: str,
+    links: str = "links_found",
+    status: str = "processed",
+    processed: DataFrame | None = None,
+) -> None:
+    """Store whole days: each day in ``df`` replaces what was held for it.
+
+    ``processed`` lists the ``(source, topic, day)`` that were worked on; those
+    without rows are emptied.
+    """
+    if processed is not None and folder_exists(df.sparkSession, path):
+        emptied = processed.select(*DAY_PARTS).join(
+            df.select(*DAY_PARTS).distinct(), DAY_PARTS, "left_anti"
+        )
+        drop_days(emptied, path, DAY_PARTS)
     stamped = df.withColumns(
         {
             "processed_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"),
@@ -112,6 +134,35 @@ def upsert_days(df: DataFrame, path: str, links: str = "links_found", status: st
     write_days(stamped, path)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def drop_days(days: DataFrame, table: str, parts: list[str]) -> int:
+    """Delete the partition folders that ``days`` lists; no data is read.
+
+    The list is metadata, a row per folder, and its size is checked.
+    """
+    spark = days.sparkSession
+    folders = days.select(*parts).distinct().limit(MAX_DAY_FOLDERS + 1).collect()
+    if len(folders) > MAX_DAY_FOLDERS:
+        raise ValueError(f"more than {MAX_DAY_FOLDERS} day folders to drop")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in folders:
+        steps = [f"{name}={escape(str(row[name]))}" for name in parts]
+        fs.delete(hadoop("/".join([table, *steps])), True)
+    return len(folders)
+
+
+def trim_days(spark: SparkSession, table: str, parts: list[str], keep: Column) -> int:
+    """Drop the days of a table that ``keep`` does not hold for."""
+    held = spark.read.parquet(table).select(*parts)
+    return drop_days(held.filter(~F.coalesce(keep, F.lit(False))), table, parts)
+
+
 def stage_documents(articles: DataFrame, spark: SparkSession) -> str:
     """Write articles as cache documents, one compact document per line.
 

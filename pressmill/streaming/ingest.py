@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from pressmill.operators.dedupe import first_by
 from pressmill.operators.periods import PeriodStore
 from pressmill.session import written
-from pressmill.sources.day_cache import write_days
+from pressmill.sources.day_cache import folder_exists, write_days
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -114,10 +114,7 @@ def late_refresh(
 
 
 def _read_days(spark: SparkSession, table: str, schema: StructType) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema(schema).parquet(table)
+    return spark.read.schema(schema).parquet(table) if folder_exists(spark, table) else None
 
 
 def daily_counts(stream: DataFrame, time: str, by: list[str], late: str = "2 days") -> DataFrame:

@@ -2,8 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
 import pytest
 
+from pressmill.operators.dedupe import dedupe_greedy
+from pressmill.operators.rules import profile_fanout
 from pressmill.operators.similarity import hashed_vectors
 from pressmill.plans.curate import curate
 from pressmill.plans.standins import PACKS, articles
@@ -55,10 +58,14 @@ def test_curate_equals_plain_computation(spark, folder, threshold):
     assert {(r.topic, r.ord, r.top_rank, r.is_top, r.score) for r in out} == expected
 
 
-def test_existing_period_comes_first(spark, folder):
-    items = articles(spark, folder).filter("ord < 60")
-    first = curate(items, [PACKS[1]]).select("ord").collect()
-    assert first
+def test_held_rows_are_not_added_again(spark, folder):
+    profile = PACKS[1]
+    items = articles(spark, folder).withColumn("url", F.concat("url", F.lit("/"), "topic"))
+    held = profile_fanout(items.filter("ord < 100"), [profile]).withColumn("topic", F.col("profile"))
+    held = dedupe_greedy(held, ["topic"])
+    first = {r.url for r in held.collect()}
+    out = curate(items, [profile], held.withColumn("title", F.lit("held")), top_n=200, reserve_n=0).collect()
+    assert first and all(r.title == "held" for r in out if r.url in first)
 
 
 def test_vectors_depend_on_the_words_only(spark):

@@ -43,6 +43,11 @@ def test_upsert_replaces_only_its_days(spark, tmp_path):
         ("2024-01-01", "a", 1, "processed"),
         ("2024-01-02", "c", 2, "processed"),
     }
+    # A day worked on again without any article left is emptied.
+    worked = spark.createDataFrame([("s", "t", "2024-01-01"), ("s", "t", "2024-01-03")], "source string, topic string, day string")
+    new = spark.createDataFrame([("s", "t", "2024-01-03", "d", 1)], schema)
+    dc.upsert_days(new, path, processed=worked)
+    assert {str(r.day) for r in spark.read.parquet(path).collect()} == {"2024-01-02", "2024-01-03"}
 
 
 def test_rss_and_sitemap(spark, tmp_path):
