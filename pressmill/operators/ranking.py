@@ -105,7 +105,8 @@ def apply_ranking(
     With ``only`` the rows of other topics keep the ranking they have.
     """
     given = ranks.select(F.col(topic), F.col("row_id").alias(order), F.col("rank").alias("_rank"))
-    known = rows if "top_rank" in rows.columns else reset_ranking(rows)
+    empty = reset_ranking(rows.drop(*RANK_COLUMNS))
+    known = empty if only is None or not set(RANK_COLUMNS) <= set(rows.columns) else rows
     joined = known.join(given, [topic, order], "left")
     touched = F.lit(True) if only is None else F.col(topic).isin(only)
     rank = F.when(touched, F.col("_rank")).otherwise(F.col("top_rank"))

@@ -43,7 +43,8 @@ def profile_fanout(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
     wanted = (F.size(core) > 0) | (~F.col("hit.require_core") & (F.size(secondary) > 0))
     return (
         with_search_text(articles, profiles)
-        .withColumn("hit", F.explode(F.array_compact(F.array(*hits))))
+        .withColumn("_verdicts", F.array(*hits))
+        .withColumn("hit", F.explode_outer("_verdicts"))
         .filter(wanted)
         .select(
             *keep,
@@ -133,7 +134,11 @@ def profiles_from_table(rules: DataFrame, heads: list[RuleProfile]) -> list[Rule
 
 
 def _all_hits(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
-    """``(ord, hits)``: all rules that match, in one array per article."""
+    """``(ord, hits)``: all rules that match, in one array per article.
+
+    To be unnested with ``explode_outer``: from a plain ``explode`` the planner
+    derives a filter on the array's size, and evaluates all rules for it once more.
+    """
     text, folded = F.col(TEXT), F.col(FOLDED)
     cells = []
     for profile in profiles:
@@ -158,7 +163,8 @@ def rule_hits_long(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
 
     Context and exclusion are not applied: this is the raw evidence per rule.
     """
-    return _all_hits(articles, profiles).select("ord", F.explode("hits").alias("h")).select("ord", "h.*")
+    cells = _all_hits(articles, profiles).select("ord", F.explode_outer("hits").alias("h"))
+    return cells.filter("h is not null").select("ord", "h.*")
 
 
 def rule_hit_counts(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
@@ -172,7 +178,8 @@ def rule_hit_counts(articles: DataFrame, profiles: list[RuleProfile]) -> DataFra
     )
     return (
         _all_hits(articles, profiles)
-        .select(F.explode(labels).alias("l"))
+        .select(F.explode_outer(labels).alias("l"))
+        .filter("l is not null")
         .groupBy("l.profile", "l.kind", "l.label")
         .agg(F.count(F.lit(1)).alias("n_articles"))
     )

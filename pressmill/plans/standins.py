@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressmill.functions.rules import Rule, RuleProfile
 from pressmill.schema import Source, Topic
+from pressmill.session import spread
+
+
+# Tables whose rows carry long texts, on which work per row is heavy.
+TEXTS = ("documents", "pages")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(scan) if name in TEXTS else scan
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:

@@ -57,6 +57,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/pressmill/{uuid.uuid4().hex}/{name}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain file scan over at least as many tasks as there are cores.
+
+    Only a scan that comes in fewer splits than cores, so a small one, is
+    redistributed; larger scans pass unchanged and without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

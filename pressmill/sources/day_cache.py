@@ -61,9 +61,11 @@ def parse_documents(docs: DataFrame) -> DataFrame:
 
 def scan_entries(docs: DataFrame) -> DataFrame:
     """A row per day entry: ``source, topic, day, entry``."""
+    # The outer form: a plain explode would parse each document once more, for a
+    # filter on the size of the map.
     return parse_documents(docs).select(
-        "source", "topic", F.explode("days").alias("day", "entry")
-    )
+        "source", "topic", F.explode_outer("days").alias("day", "entry")
+    ).filter("day is not null")
 
 
 def scan_articles(docs: DataFrame) -> DataFrame:

@@ -21,6 +21,15 @@ def _elements(body: Column, tag: str) -> Column:
     return F.regexp_extract_all(body, F.lit(rf"(?s)<{tag}\b[^>]*>.*?</{tag}>"), F.lit(0))
 
 
+def _fields(raw: str, schema: str) -> Column:
+    """The child elements as columns.
+
+    Unnested from an array of one, so that each element is parsed once however
+    many filters look at its fields.
+    """
+    return F.inline_outer(F.array(F.from_xml(raw, schema, {"mode": "PERMISSIVE"})))
+
+
 def rss_items(docs: DataFrame, base_url: str, feed: str = "file") -> DataFrame:
     """Dated items of all feeds, one per URL.
 
@@ -30,14 +39,14 @@ def rss_items(docs: DataFrame, base_url: str, feed: str = "file") -> DataFrame:
     schema = "title string, link string, pubDate string, description string"
     parsed = docs.select(
         F.col(feed).alias("feed"), F.posexplode(_elements(F.col("body"), "item")).alias("pos", "raw")
-    ).select("feed", "pos", F.from_xml("raw", schema, {"mode": "PERMISSIVE"}).alias("x"))
+    ).select("feed", "pos", _fields("raw", schema))
     items = parsed.select(
         "feed",
         "pos",
-        normalize_whitespace(F.col("x.title")).alias("title"),
-        normalize_whitespace(F.col("x.link")).alias("link"),
-        parse_source_date(F.col("x.pubDate"), "mail").alias("news_date"),
-        normalize_whitespace(F.col("x.description")).alias("description"),
+        normalize_whitespace(F.col("title")).alias("title"),
+        normalize_whitespace(F.col("link")).alias("link"),
+        parse_source_date(F.col("pubDate"), "mail").alias("news_date"),
+        normalize_whitespace(F.col("description")).alias("description"),
     ).filter((F.col("title") != "") & (F.col("link") != "") & F.col("news_date").isNotNull())
     placed = items.withColumn("url", resolve_url(F.col("link"), base_url)).drop("link")
     first = Window.partitionBy("url").orderBy("feed", "pos")
@@ -50,12 +59,12 @@ def sitemap_urls(docs: DataFrame, start_date: Column, pattern: str = r"/news/[0-
     A URL without a readable ``lastmod`` is kept.
     """
     parsed = docs.select(F.explode(_elements(F.col("body"), "url")).alias("raw")).select(
-        F.from_xml("raw", "loc string, lastmod string", {"mode": "PERMISSIVE"}).alias("x")
+        _fields("raw", "loc string, lastmod string")
     )
     return (
         parsed.select(
-            F.col("x.loc").alias("url"),
-            parse_source_date(F.col("x.lastmod"), "iso_prefix").alias("lastmod"),
+            F.col("loc").alias("url"),
+            parse_source_date(F.col("lastmod"), "iso_prefix").alias("lastmod"),
         )
         .filter(F.col("url").rlike(pattern))
         .filter(F.col("lastmod").isNull() | (F.col("lastmod") >= start_date))

@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from pressmill.plans.catalog import QUERIES
+from pressmill.session import spread
 
 # Queries whose body runs jobs are checked by their own tests.
 LAZY = sorted(
@@ -49,4 +50,12 @@ def test_columns_are_pruned(spark, folder):
 
 def test_one_scan_for_all_profiles(spark, folder):
     text = plan(QUERIES["profile_fanout"](spark, folder))
-    assert text.count("Scan parquet") <= 2 and "Join" not in text and "Exchange" not in text
+    assert text.count("Scan parquet") <= 2 and "Join" not in text and "hashpartitioning" not in text
+
+
+def test_only_small_scans_are_spread(spark, folder):
+    scan = spark.read.parquet(f"{folder}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(scan).rdd.getNumPartitions() == cores
+    many = scan.repartition(cores + 1)
+    assert spread(many) is many
