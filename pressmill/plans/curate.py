@@ -43,5 +43,5 @@ def curate(
 
 @query("curate_run")
 def curate_run(spark: SparkSession, d: str) -> DataFrame:
-    out = curate(articles(spark, d), list(PACKS))
+    out = curate(articles(spark, d, heavy=True), list(PACKS))
     return out.select("topic", "ord", "url", "title", "score", "top_rank", "is_top", "matched_keyword")

@@ -35,7 +35,7 @@ def _replies(spark, d):
         .when(kind == 6, F.lit("no object at all"))
         .otherwise(F.concat(F.lit('{oops {"summary": "only", "is_candidate": true} '), k))
     )
-    return table(spark, d, "events").select("event_id", reply.alias("reply"))
+    return table(spark, d, "events", heavy=True).select("event_id", reply.alias("reply"))
 
 
 @query(

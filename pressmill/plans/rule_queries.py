@@ -29,7 +29,7 @@ _LONG = """SELECT ord, CAST(pos - 1 AS INTEGER) AS pos, hit.label AS label, hit.
 
 @query("rule_core_match", f"WITH {HITS} " + _LONG.format(hits="core", name="alpha"))
 def rule_core_match(spark, d):
-    return ru.hit_column(articles(spark, d), rx.core_hits(F.col(ru.TEXT), PACKS[0], F.col(ru.FOLDED)), [PACKS[0]])
+    return ru.hit_column(articles(spark, d, heavy=True), rx.core_hits(F.col(ru.TEXT), PACKS[0], F.col(ru.FOLDED)), [PACKS[0]])
 
 
 @query(
@@ -39,7 +39,7 @@ def rule_core_match(spark, d):
 def rule_secondary_match(spark, d):
     text, folded = F.col(ru.TEXT), F.col(ru.FOLDED)
     both = F.concat(rx.core_hits(text, PACKS[0], folded), rx.secondary_hits(text, PACKS[0], folded))
-    return ru.hit_column(articles(spark, d), both, [PACKS[0]])
+    return ru.hit_column(articles(spark, d, heavy=True), both, [PACKS[0]])
 
 
 @query(
@@ -48,7 +48,7 @@ def rule_secondary_match(spark, d):
     FROM hits WHERE len(excl) > 0""",
 )
 def rule_exclude(spark, d):
-    return ru.excluded_rows(articles(spark, d), list(PACKS))
+    return ru.excluded_rows(articles(spark, d, heavy=True), list(PACKS))
 
 
 @query(
@@ -56,7 +56,7 @@ def rule_exclude(spark, d):
     f"WITH {VERDICTS} SELECT a.ord, a.source, a.title FROM verdicts v JOIN art a USING (ord) WHERE kept AND profile = 'beta'",
 )
 def profile_filter(spark, d):
-    return ru.apply_profile(articles(spark, d), PACKS[1]).select("ord", "source", "title")
+    return ru.apply_profile(articles(spark, d, heavy=True), PACKS[1]).select("ord", "source", "title")
 
 
 _EVIDENCE = """array_to_string([(core || secondary)[i].label || ': «' || (core || secondary)[i].fragment || '»'
@@ -69,7 +69,7 @@ _EVIDENCE = """array_to_string([(core || secondary)[i].label || ': «' || (core
     f"WITH {VERDICTS} SELECT ord, {_EVIDENCE} AS matched_keyword FROM verdicts WHERE kept AND profile = 'beta'",
 )
 def matched_keywords(spark, d):
-    return ru.apply_profile(articles(spark, d), PACKS[1]).select("ord", "matched_keyword")
+    return ru.apply_profile(articles(spark, d, heavy=True), PACKS[1]).select("ord", "matched_keyword")
 
 
 @query(
@@ -77,7 +77,7 @@ def matched_keywords(spark, d):
     f"WITH {VERDICTS} SELECT ord, profile, {_EVIDENCE} AS matched_keyword FROM verdicts WHERE kept",
 )
 def profile_fanout(spark, d):
-    return ru.profile_fanout(articles(spark, d), list(PACKS)).select("ord", "profile", "matched_keyword")
+    return ru.profile_fanout(articles(spark, d, heavy=True), list(PACKS)).select("ord", "profile", "matched_keyword")
 
 
 _ALL_HITS = (
@@ -98,7 +98,7 @@ def rule_hits_long(spark, d):
     rows = [(p.name, k, n, r.label, r.pattern) for p in PACKS for k, n, r in p.rules()]
     rules = spark.createDataFrame(rows, "profile string, kind string, seq int, label string, pattern string")
     heads = [rx.RuleProfile(p.name, p.title, context=p.context, require_core=p.require_core) for p in PACKS]
-    return ru.rule_hits_long(articles(spark, d), ru.profiles_from_table(rules, heads))
+    return ru.rule_hits_long(articles(spark, d, heavy=True), ru.profiles_from_table(rules, heads))
 
 
 @query(
@@ -107,7 +107,7 @@ def rule_hits_long(spark, d):
     FROM long WHERE fragment <> '' GROUP BY ALL""",
 )
 def rule_hit_counts(spark, d):
-    return ru.rule_hit_counts(articles(spark, d), list(PACKS))
+    return ru.rule_hit_counts(articles(spark, d, heavy=True), list(PACKS))
 
 
 @query(
@@ -116,7 +116,7 @@ def rule_hit_counts(spark, d):
     count(*) FILTER (NOT kept) AS skipped FROM verdicts JOIN art USING (ord) GROUP BY ROLLUP (profile, news_date)""",
 )
 def filter_pass_rate(spark, d):
-    return ru.verdict_counts(articles(spark, d), list(PACKS), ["news_date"])
+    return ru.verdict_counts(articles(spark, d, heavy=True), list(PACKS), ["news_date"])
 
 
 TODAY = "2024-01-25"

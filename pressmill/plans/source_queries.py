@@ -217,7 +217,7 @@ _PARAGRAPHS = f"""p AS (SELECT page_id, url, html, regexp_extract(html, '<h1>(.*
       md5(array_to_string([x FOR x IN ps IF x <> ''], chr(10))) AS text_md5 FROM q""",
 )
 def extract_page_articles(spark, d):
-    out = pg.extract_articles(table(spark, d, "pages"), pg.PROFILES["minfin"], "page_id")
+    out = pg.extract_articles(table(spark, d, "pages", heavy=True), pg.PROFILES["minfin"], "page_id")
     return out.select("page_id", "title", F.length("text").cast("long").alias("n"), F.md5("text").alias("text_md5"))
 
 
@@ -247,7 +247,7 @@ _H1 = f"trim({_UNESCAPE.format(x='h1')})"
     UNION ALL SELECT page_id, 'palata', md5(trim({_H1} || ' ' || array_to_string(b.ps, ' '))) FROM b JOIN q USING (page_id)""",
 )
 def html_profiles(spark, d):
-    pages = table(spark, d, "pages")
+    pages = table(spark, d, "pages", heavy=True)
     out = None
     for name in ("banki", "minfin", "palata"):
         part = pg.extract_articles(pages, pg.PROFILES[name], "page_id").select(

@@ -12,19 +12,16 @@ from pressmill.schema import Source, Topic
 from pressmill.session import spread
 
 
-# Tables whose rows carry long texts, on which work per row is heavy.
-TEXTS = ("documents", "pages")
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table; ``heavy`` when the work per row is worth spreading."""
     scan = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(scan) if name in TEXTS else scan
+    return spread(scan) if heavy else scan
 
 
-def articles(spark: SparkSession, folder: str) -> DataFrame:
+def articles(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """documents as articles: ``ord, source, topic, url, title, text, news_date``."""
     slot = F.floor(F.col("doc_id") / 20)
-    return table(spark, folder, "documents").select(
+    return table(spark, folder, "documents", heavy).select(
         F.col("doc_id").alias("ord"),
         "source",
         F.col("lang").alias("topic"),
