@@ -72,16 +72,18 @@ def latest_by_url(spark, d):
 
 @query(
     "skip_seen",
-    f"WITH {ART} SELECT ord, url FROM art WHERE ord % 2 = 1 AND url NOT IN (SELECT url FROM art WHERE ord % 6 = 0)",
+    f"""WITH {ART} SELECT ord, url, topic FROM art WHERE ord % 5 <> 0
+    AND url || topic NOT IN (SELECT url || topic FROM art WHERE ord % 5 = 0)""",
 )
 def skip_seen(spark, d):
-    art = articles(spark, d).select("ord", "url")
-    return dd.skip_seen(art.filter("ord % 2 = 1"), art.filter("ord % 6 = 0")).select("ord", "url")
+    art = articles(spark, d).select("ord", "url", "topic", F.concat("url", "topic").alias("key"))
+    unseen = dd.skip_seen(art.filter("ord % 5 <> 0"), art.filter("ord % 5 = 0"), "key")
+    return unseen.select("ord", "url", "topic")
 
 
 APPEND = (
     ART
-    + """, held AS (SELECT ord, url, topic, 'old' AS origin FROM art WHERE ord % 3 = 0 AND ord % 4 <> 0),
+    + """, held AS (SELECT ord, url, topic, 'old' AS origin FROM art WHERE ord % 3 = 0),
   inc AS (SELECT ord, CASE WHEN ord % 23 = 0 THEN '' ELSE url END AS url, topic FROM art WHERE ord % 3 <> 0),
   fresh AS (SELECT ord, url, topic, CAST(NULL AS VARCHAR) AS origin FROM inc
     WHERE url <> '' AND (url, topic) NOT IN (SELECT (url, topic) FROM held)
@@ -93,7 +95,7 @@ APPEND = (
 def period_halves(spark, d):
     """An existing period with an extra column, and an incoming batch."""
     art = articles(spark, d).select("ord", "url", "topic", "title", "news_date")
-    held = art.filter("ord % 3 = 0 and ord % 4 <> 0").withColumn("origin", F.lit("old"))
+    held = art.filter("ord % 3 = 0").withColumn("origin", F.lit("old"))
     url = F.when(F.col("ord") % 23 == 0, " / ").otherwise(F.concat("url", F.lit("/")))
     return held, art.filter("ord % 3 <> 0").withColumn("url", url)
 
@@ -110,27 +112,25 @@ def append_new_only(spark, d):
 
 @query(
     "union_append",
-    f"""WITH {ART} SELECT ord, url, 'old' AS origin FROM art WHERE ord % 3 = 0 AND ord % 4 <> 0
-    UNION ALL SELECT ord, url, NULL FROM art WHERE ord % 3 <> 0 AND ord % 23 <> 0""",
+    f"""WITH {ART} SELECT ord, CASE WHEN ord % 3 <> 0 AND ord % 23 = 0 THEN '' ELSE url END AS url,
+      CASE WHEN ord % 3 = 0 THEN 'old' END AS origin FROM art""",
 )
 def union_append(spark, d):
     held, incoming = period_halves(spark, d)
-    incoming = incoming.filter("ord % 23 <> 0").withColumn("url", F.rtrim("url", F.lit("/")))
-    return dd.union_append(held, incoming).select("ord", "url", "origin")
+    out = dd.union_append(held, incoming)
+    return out.select("ord", F.regexp_replace("url", "^ ?/ ?$|/$", "").alias("url"), "origin")
 
 
 @query(
     "union_sources",
-    f"""WITH {ART} SELECT ord, source, topic, CASE source WHEN 'src0' THEN 10 WHEN 'src1' THEN 20 ELSE 30 END AS source_order
-    FROM art WHERE source IN ('src0', 'src1', 'src2')""",
+    f"""WITH {ART} SELECT ord, source, topic, CASE topic WHEN 'en' THEN 10 WHEN 'de' THEN 20 WHEN 'fr' THEN 30 ELSE 40 END AS source_order
+    FROM art""",
 )
 def union_sources(spark, d):
     art = articles(spark, d)
-    topics = ("en", "de", "fr", "es")
     frames = [
-        (topic, 10 * (n + 1), art.filter((F.col("topic") == topic) & (F.col("source") == f"src{n}")))
-        for topic in topics
-        for n in range(3)
+        (topic, 10 * (n + 1), art.filter(F.col("topic") == topic))
+        for n, topic in enumerate(("en", "de", "fr", "es"))
     ]
     return dd.union_sources(frames).select("ord", "source", "topic", "source_order")
 

@@ -54,10 +54,10 @@ def close_period(spark, d):
 @query(
     "export_flat",
     f"""WITH {ART} SELECT strftime(news_date, '%d.%m.%Y') AS news_date, CASE WHEN title <> '' THEN title END AS title, url, topic,
-      CAST(ord AS VARCHAR) AS extra FROM art WHERE ord % 2 = 0""",
+      CAST(ord AS VARCHAR) AS extra FROM art""",
 )
 def export_flat(spark, d):
-    rows = articles(spark, d).filter("ord % 2 = 0").select(
+    rows = articles(spark, d).select(
         F.col("ord").alias("extra"),
         "url",
         "title",

@@ -73,20 +73,20 @@ _COUNT = "(length(text) - length(replace(text, 'the', ''))) // 3 + (length(text)
 @query(
     "score_rows",
     f"""WITH {ART}, n AS (SELECT ord, topic, {_COUNT} AS n FROM art)
-    SELECT ord, CASE WHEN topic = 'fr' THEN 'fr' ELSE topic END AS topic_id,
+    SELECT ord, topic AS topic_id,
       CAST(CASE WHEN topic = 'fr' OR n = 13 THEN 0 ELSE least(100, n) END AS INTEGER) AS score,
       CASE WHEN topic = 'fr' OR n = 13 THEN false ELSE least(100, n) >= 60 END AS is_candidate,
       CASE WHEN topic = 'fr' OR n = 13 THEN 'not_relevant' ELSE 't' || (n % 3) END AS subject,
       CASE WHEN topic <> 'fr' AND n <> 13 THEN 'n' || n END AS summary,
       CASE WHEN topic = 'fr' THEN 'Не найден профиль ранжирования для ЦК: fr'
         WHEN n = 13 THEN 'Ошибка LLM scoring: 503' ELSE 'count' END AS reason
-    FROM n WHERE topic <> 'es'""",
+    FROM n""",
 )
 def score_rows(spark, d):
-    """English and German are scored, French is unknown, Spanish is filtered out."""
-    rows = articles(spark, d).filter("topic <> 'es'")
+    """Three topics are scored, French has no profile."""
+    rows = articles(spark, d)
     path = work_path(spark, "scores")
-    topics = (Topic("en", "English"), Topic("de", "German"))
+    topics = (Topic("en", "English"), Topic("de", "German"), Topic("es", "Spanish"))
     sc.score_in_waves(rows, "ord", path, _keyword_scorer, F.col("text"), waves=2, topics=topics)
     # A second run finds only the failed rows to do again.
     sc.score_in_waves(rows, "ord", path, _keyword_scorer, F.col("text"), waves=1, topics=topics)

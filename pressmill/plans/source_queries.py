@@ -85,10 +85,11 @@ def scan_corrupt_tolerant(spark, d):
 @query(
     "scan_all_sources",
     f"""WITH {CACHED} SELECT topic, src AS source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM cached
-    WHERE src IN ('src1', 'src2', 'src3', 'consultant') AND topic IN ('en', 'es') GROUP BY ALL""",
+    WHERE topic IN ('en', 'es', 'de') GROUP BY ALL""",
 )
 def scan_all_sources(spark, d):
-    out = dc.scan_all(_cache_documents(spark, d), ["src1", "src2", "src3", "consultant"], ["en", "es"])
+    sources = [f"src{n}" for n in range(19)] + ["consultant"]
+    out = dc.scan_all(_cache_documents(spark, d), sources, ["en", "es", "de"])
     return out.groupBy("topic", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("long")).alias("n_chars")
     )
