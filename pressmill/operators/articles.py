@@ -174,7 +174,8 @@ def title_link_match(listing: DataFrame, links: DataFrame, on: str = "title") ->
     """
     key = ["page", on]
     rows = listing.withColumn(on, tx.normalize_whitespace(F.col(on))).filter(F.col(on) != "")
-    first_rows = rows.groupBy(key).agg(F.min("ord").alias("ord"))
+    extra = [F.min_by(c, "ord").alias(c) for c in listing.columns if c not in ("page", "ord", on)]
+    first_rows = rows.groupBy(key).agg(F.min("ord").alias("ord"), *extra)
     first_links = (
         links.select("page", "pos", tx.normalize_whitespace(F.col("anchor")).alias(on), "link")
         .filter(F.col(on) != "")

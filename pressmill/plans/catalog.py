@@ -4,6 +4,7 @@ from pressmill.plans import (  # noqa: F401
     columns,
     curate,
     dedupe_queries,
+    listing_queries,
     period_queries,
     run_queries,
     ranking_queries,
