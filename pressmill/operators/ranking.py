@@ -14,14 +14,18 @@ TOP_N, RESERVE_N = 10, 5
 
 
 def candidate_topk(
-    scored: DataFrame, topic: str = "topic", order: str = "ord", limit: int = MAX_CANDIDATES
+    scored: DataFrame,
+    topic: str = "topic",
+    order: str | list[str] = "ord",
+    limit: int = MAX_CANDIDATES,
 ) -> DataFrame:
     """The best ``limit`` candidates per topic, with their position ``pos``.
 
     Equal scores are ordered by ``order``. The rank filter becomes a group limit
     below the shuffle, so each task sends at most ``limit`` rows per topic.
     """
-    best = Window.partitionBy(topic).orderBy(F.desc("clean_score"), order)
+    order = [order] if isinstance(order, str) else order
+    best = Window.partitionBy(topic).orderBy(F.desc("clean_score"), *order)
     return (
         scored.filter("is_candidate")
         .withColumn("clean_score", clean_score(F.col("score").cast("string")))
@@ -68,7 +72,7 @@ def candidate_payload(top: DataFrame, topic: str = "topic") -> DataFrame:
 def rank_top_reserve(
     scored: DataFrame,
     topic: str = "topic",
-    order: str = "ord",
+    order: str | list[str] = "ord",
     top_n: int = TOP_N,
     reserve_n: int = RESERVE_N,
 ) -> DataFrame:

@@ -72,12 +72,22 @@ def export_run(
     return store.append(ar.project_export(unique, sources, topics))
 
 
+# Earlier appends come first, within one the place given by ``cached_articles``.
+ROW_ORDER = [pr.BATCH_COLUMN, "ord"]
+
+
 def row_key() -> Column:
     """A stable key of a period row, by which its score is kept."""
     parts = (url_key(F.col("url")), F.col("topic"), F.col("title"), F.col("news_date"))
     return F.sha2(F.to_json(F.array(*[F.coalesce(p, F.lit("")) for p in parts])), 256)
 
 
+def _known_topics(topics: tuple[Topic, ...], only_topic: str | None) -> list[str]:
+    if not only_topic or only_topic == "all":
+        return [t.id for t in topics]
+    return [ar.alias_table(topics).get(only_topic.strip(), only_topic.strip())]
+
+
 Embedder = Callable[[DataFrame], DataFrame]
 
 
@@ -104,13 +114,16 @@ def enrich_run(
     )
     held = sc.read_scores(rows.sparkSession, score_table, "row_key", rows)
     scored = rows.join(sc.current_scores(held, "row_key"), "row_key", "left").drop("row_key")
-    # Row ids follow the row order and are fixed by writing them.
-    numbered = scored.orderBy(pr.BATCH_COLUMN, "ord").withColumn("row_id", F.monotonically_increasing_id())
-    numbered = written(numbered, "scored")
+    # The ids are fixed by writing them; order is told by ``ROW_ORDER``.
+    numbered = written(scored.withColumn("row_id", F.monotonically_increasing_id()), "scored")
     kept = numbered
     if embed is not None:
-        with_vectors = numbered.join(embed(numbered), "row_id")
-        kept = semantic_survivors(with_vectors, "row_id", "vec", "topic_id", "score", threshold).drop("vec")
+        chosen = _known_topics(topics, only_topic)
+        everything = not only_topic or only_topic == "all"
+        scope = F.when(F.lit(everything) | F.col("topic_id").isin(chosen), F.col("topic_id"))
+        with_vectors = numbered.join(embed(numbered), "row_id", "left").withColumn("_scope", scope)
+        kept = semantic_survivors(with_vectors, "row_id", "vec", "_scope", "score", threshold, ROW_ORDER)
+        kept = kept.drop("vec", "_scope")
     return store.replace(rk.reset_ranking(kept))
 
 
@@ -126,22 +139,19 @@ def rank_run(
     topics: tuple[Topic, ...] = TOPICS,
     only_topic: str | None = None,
 ) -> DataFrame:
-    """Rank the candidates of each topic; needs ``score`` and ``row_id``.
+    """Rank the candidates of each topic of an enriched period.
 
     A ranker is called once per topic with at most 30 candidates. Without one
     the order is by score.
     """
     prepared = sc.prepare_ranking(rows, topics)
-    known = [t.id for t in topics]
-    if only_topic and only_topic != "all":
-        names = ar.alias_table(topics)
-        known = [names.get(only_topic.strip(), only_topic.strip())]
+    known = _known_topics(topics, only_topic)
     ranked = prepared.filter(F.col("topic_id").isin(known))
     if ranker is None:
-        best = rk.rank_top_reserve(ranked, "topic_id", "row_id", top_n, reserve_n)
+        best = rk.rank_top_reserve(ranked, "topic_id", ROW_ORDER, top_n, reserve_n)
         ranks = best.select("topic_id", "row_id", F.col("top_rank").alias("rank"))
     else:
-        top = rk.candidate_topk(ranked, "topic_id", "row_id").withColumn("ord", F.col("row_id"))
+        top = rk.candidate_topk(ranked, "topic_id", ROW_ORDER).withColumn("ord", F.col("row_id"))
 
         def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
