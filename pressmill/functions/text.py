@@ -111,16 +111,18 @@ CLEAN_PROFILES = {
 }
 
 
+def _without_lead(p: Column) -> Column:
+    rest = F.substring(p["text"], F.length(p["lead"]) + 1, F.length(p["text"]))
+    has_lead = (p["lead"] != "") & p["text"].startswith(p["lead"])
+    return F.when(has_lead, strip(rest)).otherwise(p["text"])
+
+
 def strip_boilerplate(text: Column, profile: CleanProfile, title: Column | None = None) -> Column:
     out = text_or_empty(text)
     if profile.collapse_space:
         out = F.regexp_replace(out, rf"(?U){WS}+", " ")
     if profile.drop_leading_title and title is not None:
-        lead = text_or_empty(title)
-        out = F.when(
-            (lead != "") & out.startswith(lead),
-            strip(F.substring(out, F.length(lead) + 1, F.length(out))),
-        ).otherwise(out)
+        out = bind({"text": out, "lead": text_or_empty(title)}, _without_lead)
     for pattern in profile.drop_patterns:
         out = F.regexp_replace(out, "(?Ud)" + pattern, "")
     if profile.cut_at:
