@@ -1,8 +1,8 @@
 """Queries of this subpackage and their SQL twins."""
 
-from pressmill.llm import chat_format, speculative_bpe
+from pressmill.llm import chat_format, nnls_packing, speculative_bpe
 
-_MODULES = (chat_format, speculative_bpe)
+_MODULES = (chat_format, nnls_packing, speculative_bpe)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
