@@ -14,11 +14,14 @@ import numpy as np
 import pyarrow as pa
 
 #: Chunks that one worker remembers; beyond it the cache starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 #: Longer chunks (unbroken text) are encoded each time.
 CACHE_CHARS = 48
 #: Texts of one vectorised step, in code points.
-STEP_CHARS = 4_000_000
+STEP_CHARS = 2_000_000
+
+#: Rows of one step; Spark's own batches hold up to 10,000 texts.
+STEP_ROWS = 500
 
 # str.split() also cuts at U+001C to U+001F, which are no white space to the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -66,6 +69,13 @@ class ChunkEncoder:
             del known[chunk]
 
 
+def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that few texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, STEP_ROWS):
+            yield batch.slice(start, STEP_ROWS)
+
+
 def id_lists(encoded: list[bytes]) -> pa.Array:
     """An Arrow array of int lists."""
     ends = np.cumsum([0, *(len(x) // 4 for x in encoded)])

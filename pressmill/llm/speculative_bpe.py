@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 import regex
 import unicodedata
 
-from pressmill.llm.chunk_ids import CACHE_ENTRIES, ChunkEncoder, id_lists
+from pressmill.llm.chunk_ids import CACHE_ENTRIES, ChunkEncoder, id_lists, steps
 from pressmill.llm.common import table
 
 WORD_END = "</w>"
@@ -231,7 +231,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder, _ = _worker(path or default_path())
-        for batch in batches:
+        for batch in steps(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids = id_lists(list(encoder.texts(texts)))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
@@ -244,9 +244,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, tokens = _worker(path or default_path())
-        for batch in batches:
+        for batch in steps(batches):
             ids = batch.column(1)
-            words = pa.ListArray.from_arrays(ids.offsets, tokens.take(ids.values))
+            ends = pc.subtract(ids.offsets, ids.offsets[0])
+            words = pa.ListArray.from_arrays(ends, tokens.take(ids.flatten()))
             text = pc.binary_join(words, " ")
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, text], ["doc_id", "ids", "text"])
 
