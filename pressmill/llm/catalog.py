@@ -1,8 +1,8 @@
 """Queries of this subpackage and their SQL twins."""
 
-from pressmill.llm import chat_format, interleave, merkle, nnls_packing, speculative_bpe, toxicity
+from pressmill.llm import chat_format, interleave, lsh_forest, merkle, nnls_packing, speculative_bpe, toxicity
 
-_MODULES = (chat_format, interleave, merkle, nnls_packing, speculative_bpe, toxicity)
+_MODULES = (chat_format, interleave, lsh_forest, merkle, nnls_packing, speculative_bpe, toxicity)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
