@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import xxhash
 
+from pressmill.llm.arrow_tasks import by_task
 from pressmill.llm.chunk_ids import steps
 from pressmill.llm.common import parts_of, table
 from pressmill.operators.similarity import components
@@ -238,8 +239,7 @@ def compare(
 def _verified(rows: DataFrame, threshold: float) -> DataFrame:
     """``node, links, joined`` of the pieces of work; ``joined`` links it to its part."""
 
-    def finish(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        work = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    def finish(work: pa.RecordBatch) -> pa.RecordBatch:
         n = work.num_rows
         lists = work.column("shingles")
         starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -266,17 +266,8 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            tasks = batch.column("task").dictionary_encode().indices.to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(tasks)) + 1).tolist(), len(tasks)]
-            for a, b in zip(cuts, cuts[1:]):
-                if held and held[0].column("task")[0] != batch.column("task")[a]:
-                    yield finish(held)
-                    held = []
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield finish(held)
+        for work in by_task(batches):
+            yield finish(work)
 
     spark = rows.sparkSession
     dealt = rows.repartition(parts_of(spark), "task").sortWithinPartitions("task", "node")
