@@ -1,8 +1,28 @@
 """Queries of this subpackage and their SQL twins."""
 
-from pressmill.llm import chat_format, cross_polytope, interleave, lsh_forest, merkle, nnls_packing, speculative_bpe, toxicity
+from pressmill.llm import (
+    chat_format,
+    cross_polytope,
+    html_blocks,
+    interleave,
+    lsh_forest,
+    merkle,
+    nnls_packing,
+    speculative_bpe,
+    toxicity,
+)
 
-_MODULES = (chat_format, cross_polytope, interleave, lsh_forest, merkle, nnls_packing, speculative_bpe, toxicity)
+_MODULES = (
+    html_blocks,
+    cross_polytope,
+    chat_format,
+    merkle,
+    lsh_forest,
+    interleave,
+    toxicity,
+    nnls_packing,
+    speculative_bpe,
+)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
