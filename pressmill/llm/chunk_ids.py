@@ -13,7 +13,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-#: Chunks that one worker remembers; beyond it the cache starts anew.
+#: Chunks of one generation; a worker remembers the current and the last one.
 CACHE_ENTRIES = 400_000
 #: Longer chunks (unbroken text) are encoded each time.
 CACHE_CHARS = 48
@@ -28,7 +28,22 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 
+def _plain(text: str) -> bool:
+    """Whether lower case changes no id: each character stands alone and none is special."""
+    if "<|" in text:
+        return False
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def chunks_of(text: str) -> list[str]:
+    if _plain(text):
+        text = text.lower()  # the tokenizer does the same; fewer chunks are new
     if _SEPARATORS.search(text):
         return [c for c in _WHITE.split(text) if c]
     return text.split()
@@ -38,7 +53,7 @@ class ChunkEncoder:
     """``encode(chunks)`` gives the ids of each chunk as little-endian 32-bit bytes."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.known = encode, {}
+        self.encode, self.known, self.last = encode, {}, {}
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
@@ -54,15 +69,15 @@ class ChunkEncoder:
 
     def _step(self, split: list[list[str]]) -> Iterator[bytes]:
         if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        fresh = list(set().union(*split).difference(known)) if split else []
-        once = []
+            self.known, self.last = {}, self.known
+        known, last = self.known, self.last
+        new = set().union(*split).difference(known) if split else set()
+        kept = new.intersection(last)
+        known.update(zip(kept, map(last.__getitem__, kept)))
+        fresh = list(new.difference(kept))
         if fresh:
-            for chunk, ids in zip(fresh, self.encode(fresh), strict=True):
-                known[chunk] = ids
-                if len(chunk) > CACHE_CHARS:
-                    once.append(chunk)
+            known.update(zip(fresh, self.encode(fresh), strict=True))
+        once = [chunk for chunk in fresh if len(chunk) > CACHE_CHARS]
         for chunks in split:
             yield b"".join(map(known.__getitem__, chunks))
         for chunk in once:
