@@ -91,16 +91,18 @@ def edits(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``key, doc_id, text, head, next_leaves`` of ``doc_id, text`` (not null).
+    """``doc_id, text, head, next_leaves`` of ``doc_id, text`` (not null).
 
     ``head`` is the beginning of the next document in descending order, half as long as
-    the text at most. Whole texts are shuffled once: both sides of the second join are
-    already dealt by ``key``.
+    the text at most. Whole texts are shuffled once: both joins read the same exchange of
+    (key, text), and the second finds it dealt by its own key. What is sent on is a
+    beginning and the leaves' hashes.
     """
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text"))
-    keyed = docs.select(key.alias("key"), "doc_id", "text")
+    keyed = docs.select(key.alias("key"), "text")
+    doc_id = F.substring_index("key", ":", 1).try_cast("long").alias("doc_id")
+    names = keyed.groupBy("key").agg(F.max(F.length("text")).alias("n")).select("*", doc_id)
     order = [F.col("doc_id").desc_nulls_last(), F.col("key")]
-    names = keyed.groupBy("key", "doc_id").agg(F.max(F.length("text")).alias("n"))
     place = written(ranked(names, [], order, "order").select("key", "n", "rank_"), "places")
     total = max(place.count(), 1)
     # Who gets the beginning of a document: the one before it, the last before the first.
@@ -108,15 +110,15 @@ def with_next(docs: DataFrame) -> DataFrame:
         place.select(F.col("rank_").alias("to"), F.col("key").alias("to_key"), "n"), "to"
     )
     sent = (
-        keyed.dropDuplicates(["key"])
-        .join(route, "key")
+        keyed.join(route, "key")
         .select(
             F.col("to_key").alias("key"),
             F.expr("substr(text, 1, n div 2)").alias("head"),
             leaves(F.col("text")).alias("next_leaves"),
         )
+        .dropDuplicates(["key"])  # equal rows have sent the same
     )
-    return keyed.join(sent, "key")
+    return keyed.join(sent, "key").select(doc_id, "text", "head", "next_leaves")
 
 
 def _query(spark: SparkSession, sf_dir: str) -> DataFrame:
