@@ -3,6 +3,7 @@
 from pressmill.llm import (
     chat_format,
     cross_polytope,
+    disclosure,
     html_blocks,
     interleave,
     lsh_forest,
@@ -20,6 +21,7 @@ _MODULES = (
     lsh_forest,
     interleave,
     toxicity,
+    disclosure,
     nnls_packing,
     speculative_bpe,
 )

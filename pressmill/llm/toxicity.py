@@ -163,17 +163,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     )
 
 
+def _starts(words: Column, n: int) -> Column:
+    longer = F.filter(words, lambda w: F.length(w) > n)
+    return F.transform(longer, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+
+
 def learned_terms(rows: DataFrame) -> list[str]:
     """Words and word beginnings far more frequent in the toxic texts."""
     low = F.split(F.lower("text"), r"[^\p{L}]+")
     words = F.filter(F.array_distinct(low), lambda w: F.length(w) >= min(PREFIXES))
-    starts = [
-        F.transform(
-            F.filter(words, lambda w, n=n: F.length(w) > n),
-            lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")),
-        )
-        for n in PREFIXES
-    ]
+    starts = [_starts(words, n) for n in PREFIXES]
     texts = rows.select("text", "toxic").distinct()  # copies carry no further evidence
     kinds = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     bad, good = kinds.get(1.0, 0), kinds.get(0.0, 0)
