@@ -269,8 +269,12 @@ def _query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage: personal data is generalised in every text; all other columns stay."""
-    return sanitise(docs)
+    """Stage: personal data is generalised in every text; ``n_chars`` follows the text."""
+    given = docs.columns
+    clean = sanitise(docs)
+    if "n_chars" not in given:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 QUERIES = {"op8_disclosure": _query}

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 import xxhash
 
@@ -128,7 +128,8 @@ def prefix_keys(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, trees: int, depth: int) -> DataFrame:
-    """``doc_id, node, keys`` of every document."""
+    """``doc_id, text_hash, node, keys`` of every document."""
+    names = ["doc_id", "text_hash", "node", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -138,9 +139,13 @@ def _signed(docs: DataFrame, trees: int, depth: int) -> DataFrame:
             ends = pa.array(np.arange(0, keys.size + 1, trees), pa.int32())
             lists = pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1), pa.int32()))
             nodes = pa.array([node_of(w) for w in texts])
-            yield pa.RecordBatch.from_arrays([batch.column(0), nodes, lists], ["doc_id", "node", "keys"])
+            own = [batch.column(0), batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*own, nodes, lists], names)
 
-    return docs.mapInArrow(run, "doc_id long, node string, keys array<int>")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.select("doc_id", "text", text_hash).mapInArrow(
+        run, "doc_id long, text_hash long, node string, keys array<int>"
+    )
 
 
 def _shingled(docs: DataFrame) -> DataFrame:
@@ -281,7 +286,7 @@ def similar_documents(
     recall: float = RECALL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """``doc_id, node, class_id, n_links`` of every row of ``doc_id, text``."""
+    """``doc_id, text_hash, component, class_id, n_links`` of every row of ``doc_id, text``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     depth = depth_for(threshold, trees, recall=recall)
     members = written(_signed(docs, trees, depth), "signed")
@@ -309,9 +314,9 @@ def similar_documents(
     classed = (
         classed.join(heads, "component")
         .join(links, "node", "left")
-        .select("node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        .select("node", "component", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
-    return members.select("doc_id", "node").join(classed, "node")
+    return members.select("doc_id", "text_hash", "node").join(classed, "node").drop("node")
 
 
 def _query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,5 +324,23 @@ def _query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links")
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage: of each class of near copies, the document with the smallest id stays."""
+    found = similar_documents(docs.select("doc_id", "text"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    heads = found.groupBy("component").agg(F.min(place).alias("head"))
+    heads = written(heads.select(_row_key("head.doc_id", F.col("head.text_hash"))), "heads")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(_row_key("doc_id", text_hash), F.struct(*docs.columns).alias("row"))
+    # Rows that repeat id and text share a key.
+    return rows.join(heads, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+
+
+def _row_key(doc_id: str, text_hash: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), text_hash).alias(
+        "key"
+    )
+
+
 QUERIES = {"op5_lsh_forest_join": _query}
 ORACLES: dict[str, str] = {}

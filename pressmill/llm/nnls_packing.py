@@ -124,7 +124,8 @@ def nnls(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-8) -> np.ndarray:
         active[slope.argmax()] = True
         while True:
             at = np.flatnonzero(active)
-            best = np.linalg.lstsq(gram[np.ix_(at, at)], target[at], rcond=None)[0]
+            part = gram[np.ix_(at, at)] + 1e-9 * np.eye(len(at))  # strategies may depend
+            best = np.linalg.solve(part, target[at])
             if best.min() > 0:
                 x[:] = 0
                 x[at] = best
@@ -277,6 +278,11 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return pack(written(cut(docs), "pieces"))
 
 
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage: the pieces of all documents with their places."""
+    return pack_documents(docs)
+
+
 QUERIES = {
     "op9_nnls_packing": lambda spark, sf_dir: pack_documents(table(spark, sf_dir, "documents"))
 }

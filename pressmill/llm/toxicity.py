@@ -32,8 +32,8 @@ SAMPLE_ROWS = 12_000
 SEED = 7
 #: A learned term occurs in this share of the toxic texts at least, and at least this
 #: many times as often in them as in the others.
-TERM_SHARE, TERM_LIFT, TERM_ROWS, TERMS = 0.01, 12.0, 4, 100
-PREFIXES = (4, 5, 6)
+TERM_SHARE, TERM_LIFT, TERM_ROWS, TERMS = 0.01, 12.0, 4, 200
+PREFIXES = (4, 5, 6, 7, 8)
 
 # General insults and words of address.
 BASE_TERMS = (
@@ -57,7 +57,7 @@ FEATURES = (
 def _any_of(terms: list[str]) -> str:
     """One pattern for all terms, with common beginnings factored out.
 
-    A term that ends in ``*`` stands for all words that begin so.
+    A term that ends in ``*`` stands for all longer words that begin so.
     """
     tree: dict = {}
     for term in terms:
@@ -70,7 +70,7 @@ def _any_of(terms: list[str]) -> str:
         parts = []
         for char in sorted(node, reverse=True):
             if char == "*":
-                return r"\p{L}*"
+                return r"\p{L}+"
             parts.append(char + pattern(node[char]) if char else r"(?!\p{L})")
         return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
 
