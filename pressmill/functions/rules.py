@@ -10,7 +10,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 import re
-from re import _parser
+
+try:  # the parse of a pattern only saves regex runs; without it all rules still run
+    from re import _parser
+except ImportError:
+    _parser = None
 
 from pyspark.sql import Column, functions as F
 
@@ -80,6 +84,17 @@ def fold(text: Column, profiles: Sequence[RuleProfile]) -> Column:
 _MAX_NEEDED = 8
 
 
+@lru_cache(maxsize=4096)
+def _parsed(pattern: str):
+    """The pattern's parse; None where it is not known (patterns of Java only)."""
+    if _parser is None:
+        return None
+    try:
+        return _parser.parse(pattern, re.IGNORECASE)
+    except (re.error, RecursionError, OverflowError):
+        return None
+
+
 @lru_cache(maxsize=4096)
 def needed_texts(pattern: str) -> tuple[str, ...]:
     """Folded texts of which every match holds at least one; empty if unknown.
@@ -87,10 +102,10 @@ def needed_texts(pattern: str) -> tuple[str, ...]:
     A plain search for them is many times cheaper than the regex, and most rules
     match few articles, so the regex runs on the articles that hold one.
     """
-    try:
-        found = _needed(_parser.parse(pattern, re.IGNORECASE))
-    except (re.error, RecursionError):
+    parsed = _parsed(pattern)
+    if parsed is None:
         return ()
+    found = _needed(parsed)
     telling = all(len(t) > 1 or not (t.isalnum() or t.isspace()) for t in found)
     if not found or not telling or len(found) > _MAX_NEEDED:
         return ()
@@ -136,12 +151,12 @@ def _worth_it(folded: Column | None, raw: str) -> Column | None:
 @lru_cache(maxsize=4096)
 def _is_plain(pattern: str) -> bool:
     """The pattern is nothing but alternative texts."""
-    parsed = list(_parser.parse(pattern, re.IGNORECASE))
+    parsed = list(_parsed(pattern) or ())
     if len(parsed) == 1 and str(parsed[0][0]) == "BRANCH":
         options = parsed[0][1][1]
     else:
         options = [parsed]
-    plain = all(str(op) == "LITERAL" for option in options for op, _ in option)
+    plain = bool(parsed) and all(str(op) == "LITERAL" for option in options for op, _ in option)
     return plain and len(needed_texts(pattern)) == len(options)
 
 
@@ -166,7 +181,9 @@ def first_hit(text: Column, rule: Rule, folded: Column | None = None) -> Column:
 
 
 def _may_be_empty(rule: Rule) -> bool:
-    return re.search(rule.pattern, "", re.IGNORECASE) is not None
+    """Whether some match may have no width, as that of a look-ahead."""
+    parsed = _parsed(rule.pattern)
+    return parsed is None or parsed.getwidth()[0] == 0
 
 
 def is_hit(hit: Column, rules: Sequence[Rule]) -> Column:

@@ -10,6 +10,9 @@ from pyspark.sql import Column, functions as F
 
 # White space as Unicode defines it, with the four ASCII separators U+001C..1F.
 WS = r"[\s\x1c-\x1f]"
+WHITE = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)])
+) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def bind(values: dict[str, Column], use: Callable[[Column], Column]) -> Column:
@@ -32,7 +35,7 @@ def falsy_fallback(*cols: Column) -> Column:
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, rf"(?U)^{WS}+|{WS}+$", "")
+    return F.btrim(col, F.lit(WHITE))
 
 
 def normalize_whitespace(col: Column) -> Column:
@@ -136,7 +139,6 @@ def strip_boilerplate(text: Column, profile: CleanProfile, title: Column | None
 
 # The two captions of the text that is embedded.
 EMBED_CAPTIONS = ("Заголовок: ", "Краткое содержание: ")
-EMBED_FALLBACK_CHARS = 1000
 
 
 def embedding_text(
@@ -144,11 +146,13 @@ def embedding_text(
     summary: Column,
     full_text: Column,
     captions: tuple[str, str] = EMBED_CAPTIONS,
-    fallback_chars: int = EMBED_FALLBACK_CHARS,
+    fallback_chars: int | None = None,
 ) -> Column:
+    """Title and summary, or the whole text (its first ``fallback_chars`` if given)."""
     short = normalize_whitespace(summary)
+    whole = normalize_whitespace(full_text)
     body = F.when(short != "", short).otherwise(
-        F.substring(normalize_whitespace(full_text), 1, fallback_chars)
+        whole if fallback_chars is None else F.substring(whole, 1, fallback_chars)
     )
     return strip(
         F.concat(
@@ -157,9 +161,6 @@ def embedding_text(
     )
 
 
-PROMPT_TEXT_CHARS = 8000
-
-
 def fill_template(template: str, fields: dict[str, Column]) -> Column:
     """``template`` with each ``{name}`` replaced by its column, in one concat.
 
@@ -176,11 +177,14 @@ def fill_template(template: str, fields: dict[str, Column]) -> Column:
 
 
 def prompt_for_topic(
-    topic: Column, templates: dict[str, str], fields: dict[str, Column], text_chars: int = PROMPT_TEXT_CHARS
+    topic: Column, templates: dict[str, str], fields: dict[str, Column], text_chars: int | None = None
 ) -> Column:
-    """The scoring prompt of each row's topic; null for a topic without one."""
+    """The scoring prompt of each row's topic; null for a topic without one.
+
+    The text goes in whole unless ``text_chars`` bounds it.
+    """
     compact = {name: strip(text_or_empty(col)) for name, col in fields.items()}
-    if "text" in compact:
+    if "text" in compact and text_chars is not None:
         compact["text"] = F.substring(compact["text"], 1, text_chars)
     out = F.lit(None).cast("string")
     for topic_id, template in templates.items():

@@ -51,17 +51,24 @@ def dedupe_greedy(
     the greedy matching of urls and titles in ``order``. Each round keeps every
     row that is the first of both its groups and drops the rows these block, so
     the result equals the sequential pass; rounds run until nothing is pending.
+    ``order`` must tell the rows of a scope apart, which is checked. Null is a
+    scope value like any other.
 
     The rounds work on keys only, and equal (url, title) pairs collapse to their
     first row before the first shuffle, so groups of copies cost one row per
     task. The articles themselves are joined once, at the end.
     """
+    within = F.struct(*scope) if scope else F.lit(0)
     keys = articles.select(
-        *scope,
+        within.alias("_scope"),
         F.col(order).alias("_ord"),
         F.nullif(text_or_empty(F.col(url)), F.lit("")).alias("_url"),
         F.nullif(strip(text_or_empty(F.col(title))), F.lit("")).alias("_title"),
     )
+    twice = keys.groupBy("_scope", "_ord").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{order} does not tell the rows of a scope apart")
+    scope = ["_scope"]  # a struct, which compares null fields as equal
     free = keys.filter("_url is null and _title is null").select(*scope, "_ord")
     pending = (
         keys.filter("_url is not null or _title is not null")
@@ -81,8 +88,9 @@ def dedupe_greedy(
             taken = winners.filter(F.col(name).isNotNull()).select(*scope, name).distinct()
             rest = rest.join(taken, [*scope, name], "left_anti")
         pending = rest
-    chosen = reduce(DataFrame.unionByName, kept).withColumnRenamed("_ord", order)
-    return articles.join(chosen, [*scope, order], "left_semi").select(*articles.columns)
+    chosen = reduce(DataFrame.unionByName, kept)
+    rows = articles.withColumns({"_scope": within, "_ord": F.col(order)})
+    return rows.join(chosen, ["_scope", "_ord"], "left_semi").select(*articles.columns)
 
 
 def _mark_first(pending: DataFrame, scope: list[str]) -> DataFrame:
@@ -109,17 +117,17 @@ def append_new_only(
     """Existing rows plus the incoming rows whose (url, topic) is new.
 
     Existing rows never change and keep their extra columns. The first incoming
-    row per key wins; rows without a url are always appended. The very first
-    batch is taken as it is.
+    row per key wins, in the first batch as well; rows without a url are always
+    appended.
     """
-    if existing is None or existing.isEmpty():
-        return incoming
+    if existing is None:
+        return new_rows(None, incoming, url, topic, order)
     return existing.unionByName(
         new_rows(existing, incoming, url, topic, order), allowMissingColumns=True
     )
 
 
-def new_rows(existing: DataFrame, incoming: DataFrame, url: str, topic: str, order: str) -> DataFrame:
+def new_rows(existing: DataFrame | None, incoming: DataFrame, url: str, topic: str, order: str) -> DataFrame:
     """The rows ``append_new_only`` adds."""
 
     def keyed(df: DataFrame) -> DataFrame:
@@ -134,8 +142,12 @@ def new_rows(existing: DataFrame, incoming: DataFrame, url: str, topic: str, ord
     # Both sides shrink to one row per key and task before they are shuffled,
     # and the join reuses the partitioning of that shuffle.
     first = first_by(fresh.filter("_url <> ''"), key, [order])
-    held = keyed(existing.select(url, topic)).filter("_url <> ''").select(key).distinct()
-    unseen = first.join(held, key, "left_anti")
+    unseen = first
+    if existing is not None:
+        # Of the keys held, only those of the batch are shuffled and compared.
+        held = keyed(existing.select(url, topic)).filter("_url <> ''").select(key)
+        held = held.join(first.select(key), key, "left_semi").distinct()
+        unseen = first.join(held, key, "left_anti")
     return unseen.unionByName(unkeyed).drop("_url", "_topic")
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from pressmill.functions.dates import parse_news_date
 from pressmill.operators.dedupe import new_rows
@@ -63,11 +62,13 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 class PeriodStore:
     """The open period and the closed ones as append-only Parquet batches.
 
-    ``rows/g<generation>/b<batch>`` holds one committed batch; a folder without
-    its commit marker is not read, so a batch is there in full or not at all. An
-    append writes the new rows only, and writing a batch number again replaces
-    that batch. ``closed/g<generation>`` names the period a generation became;
-    the open generation is the one after the last closed. Closing copies no rows.
+    ``rows/<folder>/b<number>.<writer>.<id>`` holds one committed batch; a folder
+    without its commit marker is not read, so a batch is there in full or not at
+    all. A writer that repeats a batch id replaces that batch of its own, never
+    another writer's. ``closed/g<generation>`` names the period a generation
+    became and the folder of the next one: that marker alone decides which folder
+    is open, so rows written before a break are never taken up by accident.
+    Closing copies no rows.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -79,27 +80,27 @@ class PeriodStore:
     def generation(self) -> int:
         return (self._closed() or [-1])[-1] + 1
 
-    def _read(self, generation: int, before: int | None = None) -> DataFrame | None:
-        top = f"{self.root}/rows/g{generation:06d}"
+    def _open_folder(self) -> str:
+        closed = self._closed()
+        if not closed:
+            return "g000000"
+        return self.spark.read.parquet(f"{self.root}/closed/g{closed[-1]:06d}").first()["next"]
+
+    def _batches(self, folder: str) -> list[str]:
+        return _children(self.spark, f"{self.root}/rows/{folder}")
+
+    def _read(self, folder: str, before: int | None = None) -> DataFrame | None:
         paths = [
-            f"{top}/{n}"
-            for n in _children(self.spark, top)
-            if before is None or int(n[1:]) < before
+            f"{self.root}/rows/{folder}/{name}"
+            for name in self._batches(folder)
+            if before is None or _number(name) < before
         ]
         if not paths:
             return None
-        # One footer per batch gives the columns; then one scan reads them all.
-        fields = {}
-        for path in paths:
-            fields.update({f.name: f for f in self.spark.read.parquet(path).schema})
-        return self.spark.read.schema(StructType(list(fields.values()))).parquet(*paths)
-
-    def _next_batch(self) -> int:
-        held = _children(self.spark, f"{self.root}/rows/g{self.generation():06d}")
-        return int(held[-1][1:]) + 1 if held else 0
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
 
     def read_open(self) -> DataFrame | None:
-        return self._read(self.generation())
+        return self._read(self._open_folder())
 
     def append(
         self,
@@ -108,50 +109,77 @@ class PeriodStore:
         url: str = "url",
         topic: str = "topic",
         order: str = "ord",
+        writer: str = "append",
     ) -> DataFrame:
-        """Append the unseen rows of a batch and return the open period."""
-        batch = self._next_batch() if batch is None else batch
-        existing = self._read(self.generation(), before=batch)
-        first = existing is None or existing.isEmpty()
-        fresh = incoming if first else new_rows(existing, incoming, url, topic, order)
-        fresh.withColumn(BATCH_COLUMN, F.lit(batch)).write.mode("overwrite").parquet(
-            f"{self.root}/rows/g{self.generation():06d}/b{batch:09d}"
+        """Append the unseen rows of a batch and return the open period.
+
+        ``writer`` and ``batch`` name a batch that may be written again; without a
+        number the batch gets a name of its own.
+        """
+        folder = self._open_folder()
+        held = self._batches(folder)
+        tag = f"{writer}.{uuid.uuid4().hex if batch is None else batch}"
+        again = [n for n in held if n.partition(".")[2] == tag]
+        number = _number(again[0]) if again else max(map(_number, held), default=-1) + 1
+        fresh = new_rows(self._read(folder, before=number), incoming, url, topic, order)
+        fresh.withColumn(BATCH_COLUMN, F.lit(number)).write.mode("overwrite").parquet(
+            f"{self.root}/rows/{folder}/b{number:09d}.{tag}"
         )
-        return self.read_open()
+        return self._read(folder)
 
-    def _mark_closed(self, generation: int, period_id: str | None) -> None:
+    def _mark_closed(self, generation: int, period_id: str | None, folder: str, following: str) -> None:
         row = self.spark.range(1).select(
-            F.lit(generation).alias("generation"), F.lit(period_id).cast("string").alias(PERIOD_COLUMN)
+            F.lit(generation).alias("generation"),
+            F.lit(period_id).cast("string").alias(PERIOD_COLUMN),
+            F.lit(folder).alias("folder"),
+            F.lit(following).alias("next"),
         )
         row.write.mode("overwrite").parquet(f"{self.root}/closed/g{generation:06d}")
 
+    def _new_folder(self) -> str:
+        return f"g{self.generation() + 1:06d}-{uuid.uuid4().hex}"
+
     def replace(self, rows: DataFrame) -> DataFrame:
         """Put ``rows`` in place of the open period (after enrichment).
 
         Batch numbers go on from there, so they keep telling the row order.
         """
-        generation, batch = self.generation(), max(self._next_batch() - 1, 0)
-        rows.write.mode("overwrite").parquet(f"{self.root}/rows/g{generation + 1:06d}/b{batch:09d}")
-        self._mark_closed(generation, None)
-        return self.read_open()
+        folder, following = self._open_folder(), self._new_folder()
+        number = max(map(_number, self._batches(folder)), default=0)
+        rows.write.parquet(f"{self.root}/rows/{following}/b{number:09d}.replace.{uuid.uuid4().hex}")
+        self._mark_closed(self.generation(), None, folder, following)
+        return self._read(following)
+
+    def compact(self) -> DataFrame | None:
+        """The open period as one batch, after many small ones."""
+        rows = self.read_open()
+        return None if rows is None else self.replace(rows)
 
     def close(self, period_id: str) -> None:
         """Close the open period; closing when nothing is open does nothing."""
-        held = self.read_open()
+        folder = self._open_folder()
+        held = self._read(folder)
         if held is not None and not held.isEmpty():
-            self._mark_closed(self.generation(), period_id)
+            self._mark_closed(self.generation(), period_id, folder, self._new_folder())
 
     def read_archive(self) -> DataFrame | None:
-        """All rows of the closed periods with their ``period_id``."""
-        named = []
-        for generation in self._closed():
-            # One row per period: a lookup, not data.
-            row = self.spark.read.parquet(f"{self.root}/closed/g{generation:06d}").first()
-            if row[PERIOD_COLUMN] is not None:
-                named.append(self._read(generation).withColumn(PERIOD_COLUMN, F.lit(row[PERIOD_COLUMN])))
-        if not named:
+        """All rows of the closed periods with their ``period_id``, in one scan."""
+        markers = [f"{self.root}/closed/g{n:06d}" for n in self._closed()]
+        if not markers:
+            return None
+        named = self.spark.read.parquet(*markers).filter(F.col(PERIOD_COLUMN).isNotNull())
+        named = named.select(F.col("folder").alias("_folder"), PERIOD_COLUMN)
+        folders = [r["_folder"] for r in named.collect()]  # one name per period
+        paths = [f"{self.root}/rows/{f}/{b}" for f in folders for b in self._batches(f)]
+        if not paths:
             return None
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+        rows = self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
+        return rows.withColumn("_folder", folder).join(named, "_folder").drop("_folder")
+
+
+def _number(batch_name: str) -> int:
+    return int(batch_name.partition(".")[0][1:])
 
 
 INTERNAL_PREFIXES = ("_audit_", "audit_", BATCH_COLUMN)

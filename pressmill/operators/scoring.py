@@ -12,6 +12,7 @@ from pressmill.functions.text import strip, text_or_empty
 from pressmill.operators.articles import normalize_topic
 from pressmill.operators.quality import require_columns
 from pressmill.schema import TOPICS, Topic
+from pressmill.session import work_path
 from pressmill.sources.day_cache import folder_exists
 
 # The reasons written for rows that could not be scored.
@@ -57,6 +58,20 @@ def _known(topic_id: Column, topics: tuple[Topic, ...]) -> Column:
     return topic_id.isin([t.id for t in topics])
 
 
+def _replies(scorer: Scorer, prompts: list[str]) -> list:
+    """One reply or exception per prompt."""
+    try:
+        got = list(scorer(prompts))
+        if len(got) == len(prompts):
+            return got
+        error = ValueError(f"{len(prompts)} prompts gave {len(got)} replies")
+    except Exception as failure:  # the scorer is the caller's
+        error = failure
+    if len(prompts) == 1:
+        return [error]
+    return [reply for prompt in prompts for reply in _replies(scorer, [prompt])]
+
+
 def score_rows(
     rows: DataFrame,
     id_col: str,
@@ -68,7 +83,8 @@ def score_rows(
 ) -> DataFrame:
     """``(id, topic_id, score, ...)`` for rows with a ``topic`` column.
 
-    The scorer gets batches of prompts. A reply that is an exception, or that
+    The scorer gets batches of prompts; a batch that fails is tried again row by
+    row, so that one prompt fails alone. A reply that is an exception, or that
     holds no JSON object, becomes an error row with score 0. Rows of an unknown
     topic get score 0 without a call; rows of other topics than ``only_topic``
     are left out.
@@ -86,10 +102,7 @@ def score_rows(
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
-                try:
-                    got = scorer(part["prompt"].tolist())
-                except Exception as error:  # the whole batch failed
-                    got = [error] * len(part)
+                got = _replies(scorer, part["prompt"].tolist())
                 failed = [isinstance(g, Exception) for g in got]
                 yield pd.DataFrame(
                     {
@@ -145,10 +158,18 @@ def score_in_waves(
     The next run scores what is still missing or failed.
     """
     spark = rows.sparkSession
+    pending = resume_unscored(rows, read_scores(spark, table, id_col, rows), id_col)
+    staged = pending.select(
+        id_col, "topic", prompt.alias("_prompt"), F.pmod(F.xxhash64(id_col), F.lit(waves)).alias("_wave")
+    )
+    # The input is scanned once; a wave reads its own partition.
+    path = work_path(spark, "waves")
+    staged.write.partitionBy("_wave").parquet(path)
+    schema = f"{staged.drop('_wave').schema.simpleString()[7:-1].replace(':', ' ')}, _wave bigint"
     for wave in range(waves):
-        share = rows.filter(F.pmod(F.xxhash64(id_col), F.lit(waves)) == wave)
-        pending = resume_unscored(share, read_scores(spark, table, id_col, rows), id_col)
-        score_rows(pending, id_col, scorer, prompt, **how).write.mode("append").parquet(table)
+        share = spark.read.schema(schema).parquet(path).filter(F.col("_wave") == wave)
+        scored = score_rows(share, id_col, scorer, F.col("_prompt"), **how)
+        scored.write.mode("append").parquet(table)
 
 
 def read_scores(spark, table: str, id_col: str, rows: DataFrame) -> DataFrame | None:

@@ -37,7 +37,7 @@ def curate(
     scored = period.withColumns({"score": F.least(F.col("n_hits") * 30, F.lit(100)), "row_id": row_id})
     scored = written(scored.withColumn("is_candidate", F.col("score") >= 30), "scored")
     vectors = hashed_vectors(scored, "row_id", "text", 64)
-    kept = semantic_survivors(scored.join(vectors, "row_id"), "row_id", "vec", "topic", "score", threshold)
+    kept = semantic_survivors(scored.join(vectors, "row_id", "left"), "row_id", "vec", "topic", "score", threshold)
     return rank_top_reserve(kept, "topic", "ord", top_n, reserve_n)
 
 

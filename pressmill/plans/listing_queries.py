@@ -78,17 +78,17 @@ def listing_items(spark, d):
 
 @query(
     "timed_listing",
-    f"""WITH {ENTRIES} SELECT page_id AS page, day, 'T ' || n AS title, '{_SITE}/news/lenta/?id=' || n AS url
+    f"""WITH {ENTRIES} SELECT page_id AS page, day, 'T «' || n || '» — x' AS title, '{_SITE}/news/lenta/?id=' || n AS url
     FROM entries WHERE n % 4 <> 1""",
 )
 def timed_listing(spark, d):
-    """Dates, times and titles in the text; some titles have no link."""
+    """Dates, times and titles in the text, with references; some titles have no link."""
 
     def entry(n, day):
         href = F.when(n.cast("long") % 4 == 1, "/elsewhere/").otherwise("/news/lenta/?id=")
         return _text(
-            "<div>", F.date_format(day, "dd.MM.yyyy"), '</div><p>10:30</p><a href="', href, n, '">T  ', n,
-            "</a><p>99.99.2024</p><p>11:00</p><p>ignored</p>",
+            "<div>", F.date_format(day, "dd.MM.yyyy"), '</div><p>10:30</p><a href="', href, n, '">T  &laquo;', n,
+            "&raquo; &#8212; x</a><p>99.99.2024</p><p>11:00</p><p>ignored</p>",
         )
 
     return ls.timed_listing(_listing_pages(spark, d, entry), _SITE, "page_id")

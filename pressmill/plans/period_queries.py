@@ -21,7 +21,9 @@ def _bare_url():
 
 @query(
     "write_period_table",
-    f"WITH {APPEND} SELECT ord, url, topic, origin FROM held UNION ALL SELECT ord, url, topic, origin FROM fresh",
+    f"""WITH {APPEND} SELECT ord, url, topic, origin FROM held
+    QUALIFY row_number() OVER (PARTITION BY url, topic ORDER BY ord) = 1
+    UNION ALL SELECT ord, url, topic, origin FROM fresh""",
 )
 def write_period_table(spark, d):
     """Two batches into an open period; the second is written twice."""
@@ -34,8 +36,10 @@ def write_period_table(spark, d):
 
 @query(
     "close_period",
-    f"""WITH {APPEND} SELECT 'first' AS period_id, count(*) AS n, CAST(sum(ord) AS BIGINT) AS ord_sum FROM held
-    UNION ALL SELECT 'second', count(*), CAST(sum(ord) AS BIGINT) FROM art WHERE ord % 3 <> 0""",
+    f"""WITH {APPEND}, taken AS (SELECT 'first' AS period_id, ord, url, topic FROM held
+      UNION ALL SELECT 'second', ord, url, topic FROM inc)
+    SELECT period_id, count(*) AS n, CAST(sum(ord) AS BIGINT) AS ord_sum FROM (SELECT * FROM taken
+      QUALIFY url = '' OR row_number() OVER (PARTITION BY period_id, url, topic ORDER BY ord) = 1) GROUP BY 1""",
 )
 def close_period(spark, d):
     """A period closed twice, then a second one; nothing carries over."""
@@ -151,9 +155,6 @@ def stream_ingest_append(spark, d):
     )
     landing, root = work_path(spark, "landing"), work_path(spark, "period")
     store = pr.PeriodStore(spark, root)
-    # The first batch of a period is taken as it is, so it holds no repeats.
-    first = rows.limit(0)
-    first.write.parquet(root + "/rows/g000000/b000000000")
     for lot in range(3):
         rows.filter(F.col("ord") % 3 == lot).write.mode("append").parquet(landing)
         source = st.landed(spark, landing, rows.schema)

@@ -37,7 +37,10 @@ def _export_sql() -> str:
       AND NOT EXISTS (SELECT 1 FROM k{n} k WHERE k.site = p.site AND k.topic = p.topic AND k.u = p.u)
       AND NOT EXISTS (SELECT 1 FROM k{n} k WHERE k.site = p.site AND k.topic = p.topic AND k.t = p.t))"""
         )
-    kept = " UNION ALL ".join(f"SELECT * FROM k{n}" for n in range(8))
+    every = " UNION ALL ".join(f"SELECT * FROM k{n}" for n in range(8))
+    # The append takes each (url, topic) once, in the order of the run: site, day, id.
+    kept = f"""SELECT * FROM ({every})
+      QUALIFY url = '' OR row_number() OVER (PARTITION BY url, topic ORDER BY site, news_date DESC, ord) = 1"""
     return f"""WITH {', '.join(ctes)}, kept AS ({kept})
       SELECT strftime(news_date, '%d.%m.%Y') AS news_date, title, url, site AS source,
         CASE topic WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' WHEN 'fr' THEN 'French' ELSE 'Spanish' END AS topic,

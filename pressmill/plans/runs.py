@@ -38,7 +38,8 @@ def cached_articles(
 ) -> DataFrame:
     """Articles of the window, unique per topic and source, newest day first.
 
-    ``ord`` is the place of a row in the output: topic, source, day, position.
+    ``ord`` is the place of a row in the output: topic, source, day, document,
+    position.
     """
     held = dc.scan_all(docs, source_ids, topic_ids)
     key_format = _by_source(sources, lambda s: s.key_format, "")
@@ -50,6 +51,8 @@ def cached_articles(
         _by_source(sources, lambda s: s.order, 0).alias("source_order"),
         "source",
         age.alias("age"),
+        "file",
+        "line",
         "pos",
     )
     items = ar.normalize_articles(held.withColumn("ord", place))

@@ -144,7 +144,7 @@ def scan_rss_items(spark, d):
     title = F.when(key % 11 == 4, " ").otherwise(F.concat(F.lit("  Page  "), key.cast("string"), F.lit(" &amp; more")))
     item = F.concat(
         F.lit("<item><title>"), title, F.lit("</title><link> /news/"), (key * 7 % 180).cast("string"),
-        F.lit("</link><pubDate>"), stamp, F.lit("</pubDate><description><![CDATA[<b>x</b>]]></description></item>"),
+        F.lit("</link><pubDate>"), stamp, F.lit("</pubDate><description><![CDATA[<b>x</b></item>]]></description></item>"),
     )
     feed = F.floor(key / 50)
     head = F.concat(F.lit('<rss id="'), F.lpad(F.col("g").cast("string"), 12, "0"), F.lit('"><channel>'))

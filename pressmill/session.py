@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 from functools import lru_cache
+import shutil
 import tempfile
 import uuid
 
@@ -35,7 +37,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 
 @lru_cache(maxsize=1)
 def _one_machine_root() -> str:
-    return tempfile.mkdtemp(prefix="pressmill-")
+    root = tempfile.mkdtemp(prefix="pressmill-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)  # it holds this run only
+    return root
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -7,15 +7,17 @@ value; a cache kept as a table (``write_days``) has no such limit.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill.schema import DAY_ENTRY, SOURCES
-from pressmill.session import work_path
+from pressmill.session import work_path, written
 
 _DAY_MAP = f"map<string,{DAY_ENTRY.simpleString()}>"
 _ROOTS = f"struct<days:{_DAY_MAP},reviews:{_DAY_MAP}>"
 DAY_PARTS = ["source", "topic", "day"]
-MAX_DAY_FOLDERS = 1_000_000
 _STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
 
 
@@ -44,7 +46,8 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     """Adds ``days`` (day key to entry) and ``broken``.
 
     Text that is not JSON, and JSON without a day map under the root its source
-    uses, count as broken and carry an empty map.
+    uses, count as broken and carry an empty map. ``line`` tells the documents of
+    a file apart.
     """
     review_rooted = [s.id for s in SOURCES if s.root_key == "reviews"]
     held = F.when(F.col("source").isin(review_rooted), F.col("roots.reviews")).otherwise(
@@ -52,6 +55,7 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     )
     return docs.withColumn("roots", F.from_json("body", _ROOTS, _STRICT)).select(
         "file",
+        F.monotonically_increasing_id().alias("line"),
         "source",
         "topic",
         F.coalesce(held, F.create_map().cast(_DAY_MAP)).alias("days"),
@@ -60,16 +64,16 @@ def parse_documents(docs: DataFrame) -> DataFrame:
 
 
 def scan_entries(docs: DataFrame) -> DataFrame:
-    """A row per day entry: ``source, topic, day, entry``."""
+    """A row per day entry: ``file, line, source, topic, day, entry``."""
     # The outer form: a plain explode would parse each document once more, for a
     # filter on the size of the map.
     return parse_documents(docs).select(
-        "source", "topic", F.explode_outer("days").alias("day", "entry")
+        "file", "line", "source", "topic", F.explode_outer("days").alias("day", "entry")
     ).filter("day is not null")
 
 
 def scan_articles(docs: DataFrame) -> DataFrame:
-    """A row per article with its source, topic, day key and position.
+    """A row per article with its document, source, topic, day key and position.
 
     ``items`` is used, or the older ``articles`` where items is missing or empty.
     """
@@ -78,8 +82,8 @@ def scan_articles(docs: DataFrame) -> DataFrame:
         F.col("entry.articles")
     )
     return entries.select(
-        "source", "topic", "day", F.posexplode(listed).alias("pos", "item")
-    ).select("source", "topic", "day", "pos", "item.*")
+        "file", "line", "source", "topic", "day", F.posexplode(listed).alias("pos", "item")
+    ).select("file", "line", "source", "topic", "day", "pos", "item.*")
 
 
 def scan_all(docs: DataFrame, sources: list[str] | None, topics: list[str]) -> DataFrame:
@@ -144,19 +148,23 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 def drop_days(days: DataFrame, table: str, parts: list[str]) -> int:
     """Delete the partition folders that ``days`` lists; no data is read.
 
-    The list is metadata, a row per folder, and its size is checked.
+    The list is metadata, a row per folder; it passes through the driver one task's
+    rows at a time, and folders are deleted by a few threads.
     """
     spark = days.sparkSession
-    folders = days.select(*parts).distinct().limit(MAX_DAY_FOLDERS + 1).collect()
-    if len(folders) > MAX_DAY_FOLDERS:
-        raise ValueError(f"more than {MAX_DAY_FOLDERS} day folders to drop")
+    folders = written(days.select(*parts).distinct(), "dropped_days")
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(table).getFileSystem(spark._jsc.hadoopConfiguration())
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in folders:
+
+    def delete(row) -> int:
         steps = [f"{name}={escape(str(row[name]))}" for name in parts]
         fs.delete(hadoop("/".join([table, *steps])), True)
-    return len(folders)
+        return 1
+
+    with ThreadPoolExecutor(8) as threads:
+        rows = folders.toLocalIterator()
+        return sum(sum(threads.map(delete, lot)) for lot in iter(lambda: list(islice(rows, 1000)), []))
 
 
 def trim_days(spark: SparkSession, table: str, parts: list[str], keep: Column) -> int:

@@ -17,17 +17,9 @@ def read_feed_documents(spark: SparkSession, path: str, one_per_line: bool = Fal
     )
 
 
-def _elements(body: Column, tag: str) -> Column:
-    return F.regexp_extract_all(body, F.lit(rf"(?s)<{tag}\b[^>]*>.*?</{tag}>"), F.lit(0))
-
-
-def _fields(raw: str, schema: str) -> Column:
-    """The child elements as columns.
-
-    Unnested from an array of one, so that each element is parsed once however
-    many filters look at its fields.
-    """
-    return F.inline_outer(F.array(F.from_xml(raw, schema, {"mode": "PERMISSIVE"})))
+def _parsed(body: str, schema: str) -> Column:
+    """A document parsed as XML, once; text that is not XML gives nulls."""
+    return F.inline_outer(F.array(F.from_xml(body, schema, {"mode": "PERMISSIVE"})))
 
 
 def rss_items(docs: DataFrame, base_url: str, feed: str = "file") -> DataFrame:
@@ -36,10 +28,12 @@ def rss_items(docs: DataFrame, base_url: str, feed: str = "file") -> DataFrame:
     Items without title, link or readable date are dropped. A URL found more
     than once keeps its first place in (feed, position) order.
     """
-    schema = "title string, link string, pubDate string, description string"
-    parsed = docs.select(
-        F.col(feed).alias("feed"), F.posexplode(_elements(F.col("body"), "item")).alias("pos", "raw")
-    ).select("feed", "pos", _fields("raw", schema))
+    item = "struct<title:string,link:string,pubDate:string,description:string>"
+    parsed = (
+        docs.select(F.col(feed).alias("feed"), _parsed("body", f"channel struct<item:array<{item}>>"))
+        .select("feed", F.posexplode("channel.item").alias("pos", "one"))
+        .select("feed", "pos", "one.*")
+    )
     items = parsed.select(
         "feed",
         "pos",
@@ -58,8 +52,10 @@ def sitemap_urls(docs: DataFrame, start_date: Column, pattern: str = r"/news/[0-
 
     A URL without a readable ``lastmod`` is kept.
     """
-    parsed = docs.select(F.explode(_elements(F.col("body"), "url")).alias("raw")).select(
-        _fields("raw", "loc string, lastmod string")
+    parsed = (
+        docs.select(_parsed("body", "url array<struct<loc:string,lastmod:string>>"))
+        .select(F.explode("url").alias("one"))
+        .select("one.*")
     )
     return (
         parsed.select(

@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 import datetime
+from html import unescape as html_unescape
 import json
 import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from pressmill.functions.text import normalize_whitespace, resolve_url
 from pressmill.sources import markup
@@ -108,7 +110,8 @@ PROFILES = {
                     Body(box, piece_sep="\n", settles=True),
                 )
             ),
-            Body("meta[name='description'], meta[property='og:description']", attribute="content"),
+            Body("meta[name='description']", attribute="content"),
+            Body("meta[property='og:description']", attribute="content"),
         ),
         close_paragraphs=False,
     ),
@@ -282,14 +285,10 @@ _HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
-# The character references unescaped in link texts.
-CHAR_REFS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-
-
-def unescape(col: Column) -> Column:
-    for written, meant in CHAR_REFS:
-        col = F.replace(col, F.lit(written), F.lit(meant))
-    return col
+@F.pandas_udf(StringType())
+def unescape(values: pd.Series) -> pd.Series:
+    """All character references, named and numeric, as HTML reads them."""
+    return values.map(html_unescape, na_action="ignore")
 
 
 def extract_links(

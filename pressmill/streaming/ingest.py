@@ -6,9 +6,6 @@ run continuously. State is bounded by watermarks; sinks are idempotent per batch
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -35,15 +32,21 @@ def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
 
 
 def ingest_append(
-    stream: DataFrame, store: PeriodStore, checkpoint: str, available_now: bool = True, **keys
+    stream: DataFrame,
+    store: PeriodStore,
+    checkpoint: str,
+    available_now: bool = True,
+    name: str = "stream",
+    **keys,
 ) -> StreamingQuery:
     """Append the unseen rows of each micro-batch to the open period.
 
-    The batch number is the batch id, so a replayed batch replaces itself.
+    The batch is named by the stream and the batch id, so a replayed batch replaces
+    itself and no other writer's.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.append(batch, batch=batch_id, **keys)
+        store.append(batch, batch=batch_id, writer=name, **keys)
 
     return _start(stream.writeStream.foreachBatch(sink), checkpoint, available_now)
 
@@ -53,17 +56,7 @@ def _timed(stream: DataFrame, time: str, late: str) -> DataFrame:
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], time: str, keep_for: str) -> DataFrame:
-    """First arrival per key; keys are forgotten ``keep_for`` after the watermark.
-
-    Repeats inside an Arrow batch go before the shuffle to the state, so a hot
-    key sends one row per batch.
-    """
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values(time, kind="stable").drop_duplicates(keys)
-
-    stream = stream.mapInPandas(fold, stream.schema)
+    """First arrival per key; keys are forgotten ``keep_for`` after the watermark."""
     return _timed(stream, time, keep_for).dropDuplicatesWithinWatermark(keys)
 
 

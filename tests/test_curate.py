@@ -45,14 +45,14 @@ def test_curate_equals_plain_computation(spark, folder, threshold):
         kept = sequential([(o, r["source"], r["url"], r["title"]) for o, (r, _) in held.items()])
         score = {o: min(30 * len(held[o][1]), 100) for o in kept}
         texts = spark.createDataFrame([(o, held[o][0]["text"]) for o in kept], "id long, text string")
-        vectors = {r.id: r.vec for r in hashed_vectors(texts, "id", "text", 64).collect()}
+        vectors = {r.id: r.vec for r in hashed_vectors(texts, "id", "text", 64).collect() if r.vec}
         group = closure(brute([(o, "t", vectors[o]) for o in vectors], threshold))
         best = {}
         for o in sorted(group):
             root = group[o]
             if root not in best or score[o] > score[best[root]]:
                 best[root] = o
-        left = [o for o in kept if o in vectors and (o not in group or best[group[o]] == o)]
+        left = [o for o in kept if o not in group or best[group[o]] == o]
         ranked = sorted((o for o in left if score[o] >= 30), key=lambda o: (-score[o], o))[:15]
         expected |= {(profile.name, o, n + 1, n < 10, score[o]) for n, o in enumerate(ranked)}
     assert {(r.topic, r.ord, r.top_rank, r.is_top, r.score) for r in out} == expected
@@ -71,6 +71,13 @@ def test_held_rows_are_not_added_again(spark, folder):
 def test_vectors_depend_on_the_words_only(spark):
     rows = [(1, "One two, two!"), (2, "two ONE two"), (3, "three"), (4, "")]
     out = hashed_vectors(spark.createDataFrame(rows, "id long, t string"), "id", "t", 32)
-    vec = {r.id: tuple(r.vec) for r in out.collect()}
-    assert vec[1] == vec[2] != vec[3] and 4 not in vec
+    vec = {r.id: r.vec and tuple(r.vec) for r in out.collect()}
+    assert vec[1] == vec[2] != vec[3] and vec[4] is None
     assert abs(sum(x * x for x in vec[1]) - 1) < 1e-6
+
+
+def test_an_article_without_text_stays(spark):
+    rows = [(n, "s", f"u{n}", f"licence {n}", text) for n, text in ((1, "some words"), (2, ""), (3, None))]
+    items = spark.createDataFrame(rows, "ord long, source string, url string, title string, text string")
+    out = curate(items.withColumn("topic", F.lit("t")), [PACKS[0]], top_n=9, reserve_n=0)
+    assert sorted(r.ord for r in out.collect()) == [1, 2, 3]

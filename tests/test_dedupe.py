@@ -62,13 +62,13 @@ def test_append_twice_adds_nothing(spark):
     assert dd.append_new_only(once, new).count() == once.count()
 
 
-def test_append_keeps_urlless_rows_and_first_batch(spark):
+def test_append_keeps_urlless_rows_and_first_repeats(spark):
     old = _period(spark, [(1, "a", "x")])
     new = _period(spark, [(2, "", "x"), (3, None, "x"), (4, " / ", "x")])
     assert dd.append_new_only(old, new).count() == 4
-    repeated = _period(spark, [(1, "a", "x"), (2, "a", "x")])
-    assert dd.append_new_only(None, repeated).count() == 2
-    assert dd.append_new_only(old.limit(0), repeated).count() == 2
+    repeated = _period(spark, [(2, "a", "x"), (1, "a", "x"), (3, "", "x"), (4, "", "x")])
+    for held in (None, old.limit(0)):
+        assert sorted(r.ord for r in dd.append_new_only(held, repeated).collect()) == [1, 3, 4]
 
 
 def test_period_store(spark):
@@ -87,3 +87,46 @@ def test_period_store(spark):
     held = store.read_archive().collect()
     assert sorted((r.period_id, r.ord) for r in held) == [("p1", 3), ("p1", 9)]
     assert store.read_open() is None
+
+
+def test_greedy_treats_null_scopes_as_one(spark):
+    rows = [(1, None, "a", ""), (2, None, "b", ""), (3, "x", "a", ""), (4, None, "a", "")]
+    df = spark.createDataFrame(rows, "ord long, topic string, url string, title string")
+    assert sorted(r.ord for r in dd.dedupe_greedy(df, ["topic"]).collect()) == [1, 2, 3]
+
+
+def test_greedy_refuses_an_order_with_ties(spark):
+    rows = [(1, "x", "a", ""), (2, "x", "b", ""), (2, "x", "a", "")]
+    df = spark.createDataFrame(rows, "ord long, topic string, url string, title string")
+    with pytest.raises(ValueError, match="tell the rows"):
+        dd.dedupe_greedy(df, ["topic"])
+
+
+def test_batches_of_two_writers_stay(spark):
+    store = PeriodStore(spark, work_path(spark, "period"))
+    store.append(_period(spark, [(1, "a", "x")]))
+    store.append(_period(spark, [(2, "b", "x")]), batch=0, writer="stream")
+    store.append(_period(spark, [(3, "c", "x")]), batch=0)
+    again = store.append(_period(spark, [(2, "b", "x"), (4, "d", "x")]), batch=0, writer="stream")
+    assert sorted(r.ord for r in again.collect()) == [1, 2, 3, 4]
+    assert sorted(r.ord for r in store.compact().collect()) == [1, 2, 3, 4]
+
+
+def test_a_break_before_the_mark_leaves_no_stale_rows(spark, monkeypatch):
+    store = PeriodStore(spark, work_path(spark, "period"))
+    store.append(_period(spark, [(1, "a", "x"), (2, "b", "x")]))
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PeriodStore, "_mark_closed", broken)
+        with pytest.raises(RuntimeError):
+            store.replace(store.read_open().filter("ord = 1"))
+        with pytest.raises(RuntimeError):
+            store.close("p0")
+    assert store.read_open().count() == 2
+    store.close("p1")
+    assert store.read_open() is None
+    assert store.append(_period(spark, [(5, "a", "x")])).count() == 1
+    assert store.read_archive().count() == 2

@@ -96,3 +96,14 @@ def test_exclusion_core_and_gated_secondary(spark):
 def test_rule_that_matches_nothing_counts(spark):
     profile = RuleProfile("p", "P", core=(Rule("any", "x*"), Rule("y", "y")))
     assert _select(spark, profile, [("abc", ""), ("y", "")]) == {0: "any: «»", 1: "any: «»; y: «y»"}
+
+
+def test_matches_without_width_count(spark):
+    from pressmill.functions import rules as rx
+    from pyspark.sql import functions as F
+
+    rules = [rx.Rule("ahead", "(?=foo)"), rx.Rule("java", r"\p{Lu}bar"), rx.Rule("none", "(?=zzz)")]
+    row = spark.createDataFrame([("a foo Xbar",)], "t string")
+    hits = F.array(*[rx.is_hit(rx.first_hit(F.col("t"), r), rules) for r in rules])
+    assert row.select(hits.alias("h")).first().h[:2] == [True, True]
+    assert not row.select(hits[2].alias("h")).first().h

@@ -95,3 +95,24 @@ def test_three_runs(spark, tmp_path):
     }
     kept = runs.rank_run(asked, top_n=1, only_topic="ssem").collect()
     assert sum(r.is_top for r in kept) == 1
+
+
+def test_one_failing_prompt_fails_alone(spark):
+    from pressmill.operators.scoring import score_rows
+
+    def scorer(prompts):
+        if any("bad" in p for p in prompts):
+            raise RuntimeError("refused")
+        return ['{"score": 70, "is_candidate": true}' for _ in prompts]
+
+    rows = spark.createDataFrame([(i, "taxes", "bad" if i == 4 else "good") for i in range(10)], "id long, topic string, p string")
+    got = {r.id: r.score for r in score_rows(rows, "id", scorer, F.col("p")).collect()}
+    assert got == {i: 0 if i == 4 else 70 for i in range(10)}
+
+
+def test_documents_of_one_source_and_topic_are_told_apart(spark, tmp_path):
+    docs = [("f", "cbr", "taxes", '{"days": {"2024-03-09": {"items": [{"url": "u%s", "title": "T%d"}]}}}' % (u, i))
+            for i, u in enumerate("aab")]
+    df = spark.createDataFrame(docs, "file string, source string, topic string, body string")
+    kept = runs.cached_articles(df, None, ["taxes"], 5, F.lit("2024-03-10").cast("date"))
+    assert sorted(r.url for r in kept.collect()) == ["ua", "ub"]
