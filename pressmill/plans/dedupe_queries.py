@@ -197,7 +197,29 @@ def embed_rows(spark, d):
     )
 
 
-@query("embed_texts")
+def hashed_cosines(rows: str, size: int) -> str:
+    """SQL CTEs ``counts`` and ``cosines(scope, l, r, cosine)`` of ``rows(id, scope, text)``."""
+    return f"""words AS (SELECT id, scope, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS w
+      FROM {rows}),
+    counts AS (SELECT id, scope, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {size} AS slot, count(*) AS n
+      FROM words WHERE w <> '' GROUP BY ALL),
+    lengths AS (SELECT id, scope, sqrt(sum(n * n)) AS len FROM counts GROUP BY ALL),
+    cosines AS (SELECT a.scope, a.id AS l, b.id AS r, sum(a.n * b.n) / any_value(x.len * y.len) AS cosine
+      FROM counts a JOIN counts b ON a.scope = b.scope AND a.slot = b.slot AND a.id < b.id
+      JOIN lengths x ON x.id = a.id AND x.scope = a.scope JOIN lengths y ON y.id = b.id AND y.scope = b.scope
+      GROUP BY ALL)"""
+
+
+@query(
+    "embed_texts",
+    f"""WITH RECURSIVE docs AS (SELECT doc_id AS id, lang AS scope, text FROM documents),
+    {hashed_cosines("docs", 256)},
+    links AS (SELECT l, r FROM cosines WHERE cosine >= 0.995),
+    reach(id, other) AS (SELECT l, r FROM links UNION SELECT r, l FROM links
+      UNION SELECT reach.id, CASE WHEN links.l = reach.other THEN links.r ELSE links.l END
+      FROM reach JOIN links ON reach.other IN (links.l, links.r))
+    SELECT id, least(id, min(other)) AS component FROM reach GROUP BY id""",
+)
 def embed_texts(spark, d):
     """Default embedder over whole texts, and the near copies it finds per language."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")
