@@ -175,7 +175,8 @@ def disclosing_terms(
     held = rows_of_key.groupBy("entity").agg(F.count("*").alias("n_entity"))
     both = together.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     terms = both.select("term").distinct()
-    known = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
+    # An inner join stays above the counts; a semi join would be pushed below them.
+    known = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
     total = max(docs.count(), 1)
     n = F.lit(float(total))
     information = -F.log2(F.col("n_entity") / n)
