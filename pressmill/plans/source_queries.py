@@ -258,6 +258,90 @@ def html_profiles(spark, d):
     return out
 
 
+_CLEAN = "replace(replace({0}, '&quot;', '\"'), '&amp;', '&')"
+# The page's own heading and its plain paragraphs, put into each site's containers.
+_SITE_PARTS = f"""s AS (SELECT page_id, url,
+    [trim({_CLEAN.format("x")}) FOR x IN regexp_extract_all(html, '<p>([^<&]*(?:&(?:amp|quot);[^<&]*)*)</p>', 1)] AS every FROM pages),
+  t AS (SELECT page_id, url, [x FOR x IN every IF length(x) > 10] AS ps, CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) AS day FROM s)"""
+_SITE_BOXES = {
+    "interfax": ("<article itemprop='articleBody'>", "<p>", "</article>", "chr(10)"),
+    "nalog": ("<div class='text_block'>", "<p>", "</div>", "' '"),
+    "kommersant": ("<div class='article_text_wrapper'>", "<p class='doc__text'>", "</div>", "chr(10) || chr(10)"),
+    "garant": ("<div class='clearfix'>", "<p>", "</div>", "chr(10) || chr(10)"),
+    "rbc": ("<div class='article__text'>", "<p>", "</div>", "' '"),
+}
+_SITE_DATES = {
+    "interfax": "<meta itemprop='datePublished' content='{}'>",
+    "garant": "<time datetime='{}T10:00:00'>x</time>",
+}
+
+
+@query(
+    "site_profiles",
+    f"WITH {_SITE_PARTS} "
+    + " UNION ALL ".join(
+        f"""SELECT page_id, '{name}' AS profile, {"CAST(day AS VARCHAR)" if name in _SITE_DATES else "''"} AS date,
+      md5(array_to_string(ps, {join})) AS text_md5 FROM t"""
+        for name, (_, _, _, join) in _SITE_BOXES.items()
+    )
+    + " UNION ALL SELECT page_id, 'kommersant meta', '', md5('named ' || page_id) FROM t",
+)
+def site_profiles(spark, d):
+    """The given pages' paragraphs as the sites wrap them, with their dates."""
+    pages = table(spark, d, "pages", heavy=True)
+    long = _long_paragraphs()
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int")).cast("string")
+    out = None
+    for name, (start, mark, end, _) in _SITE_BOXES.items():
+        lines = F.array_join(F.transform(long, lambda x: F.concat(F.lit(mark), x, F.lit("</p>"))), "")
+        head, tail = _SITE_DATES.get(name, "{}").split("{}")
+        date = F.concat(F.lit(head), day, F.lit(tail)) if name in _SITE_DATES else F.lit("")
+        html = F.concat(F.lit("<html><body>"), date, F.lit(start), lines, F.lit(end), F.lit("<p>outside the text</p>"))
+        part = _profile(pages.select("page_id", html.alias("html")), name, name)
+        out = part if out is None else out.unionByName(part)
+    named = F.concat(
+        F.lit("<meta property='og:description' content='other'><meta name='description' content='named "),
+        F.col("page_id").cast("string"),
+        F.lit("'>"),
+    )
+    return out.unionByName(_profile(pages.select("page_id", named.alias("html")), "kommersant", "kommersant meta"))
+
+
+def _long_paragraphs():
+    """Plain paragraphs of more than ten characters, as they stand in the page."""
+    inner = F.regexp_extract_all("html", F.lit("<p>([^<&]*(?:&(?:amp|quot);[^<&]*)*)</p>"), F.lit(1))
+
+    def shown(x):
+        return F.trim(F.replace(F.replace(x, F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&")))
+
+    return F.filter(inner, lambda x: F.length(shown(x)) > 10)
+
+
+def _profile(pages, profile, name):
+    return pg.extract_articles(pages, pg.PROFILES[profile], "page_id").select(
+        "page_id", F.lit(name).alias("profile"), "date", F.md5("text").alias("text_md5")
+    )
+
+
+@query(
+    "review_pages",
+    f"""WITH {_SITE_PARTS} SELECT page_id, 'ФИНАНСЫ. БЮДЖЕТ' AS category, '/doc/' || page_id AS href,
+      'A title that is long enough to be kept ' || page_id AS title, md5(coalesce(ps[1], '')) AS text_md5 FROM t WHERE len(ps) > 0""",
+)
+def review_pages(spark, d):
+    """Review pages with one kept category, built from the given pages."""
+    long = _long_paragraphs()
+    key = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<h3>Финансы. Бюджет</h3><p><a href='/doc/"), key, F.lit("'>A document whose name is longer than thirty characters</a></p><p><strong>A title that is long enough to be kept "),
+        key, F.lit("</strong></p><p>"), F.get(long, F.lit(0)),
+        F.lit("</p><h3>Прочее</h3><p><a href='/doc/x'>Another document whose name is longer than that</a></p><p><strong>A title of a category that is left out</strong></p><p>no</p>"),
+    )
+    pages = table(spark, d, "pages", heavy=True).select("page_id", html.alias("html")).filter("html is not null")
+    found = pg.review_entries(pages, pg.REVIEW_CATEGORIES, "/doc/", "page_id")
+    return found.select("page_id", "category", "href", "title", F.md5("text").alias("text_md5"))
+
+
 @query(
     "title_link_match",
     """WITH a AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS raws, url FROM pages),
