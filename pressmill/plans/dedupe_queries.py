@@ -163,6 +163,19 @@ def similar_pairs(spark, d):
     return ends.select(F.col("topic").cast("int").alias("label"), "vec_id", F.lit(True).alias("linked"))
 
 
+@query(
+    "similar_pairs_cut",
+    f"""WITH {_PAIRS} SELECT label, vec_id, true AS linked FROM embeddings
+    WHERE vec_id IN (SELECT l FROM pairs UNION SELECT r FROM pairs)""",
+)
+def similar_pairs_cut(spark, d):
+    """As ``similar_pairs``, with blocks so small that every topic is cut in rounds."""
+    rows = table(spark, d, "embeddings")
+    links = sm.similar_links(rows, "vec_id", "embedding", "label", THRESHOLD, block_rows=16, max_pivots=8)
+    ends = links.select("topic", F.explode(F.array("left", "right")).alias("vec_id")).distinct()
+    return ends.select(F.col("topic").cast("int").alias("label"), "vec_id", F.lit(True).alias("linked"))
+
+
 @query("semantic_components", f"WITH {_COMPONENTS} SELECT id, component FROM comp")
 def semantic_components(spark, d):
     return sm.components(_links(spark, d))

@@ -13,7 +13,7 @@ LAZY = sorted(
     set(QUERIES)
     - {n for n in QUERIES if n.startswith(("stream_", "scan_", "semantic_", "dedupe_greedy"))}
     - {
-        "similar_pairs", "embed_texts", "curate_run", "score_rows", "upsert_day", "retention_trim",
+        "similar_pairs", "similar_pairs_cut", "enrich_run", "rank_run", "collect_run", "collect_stats", "embed_texts", "curate_run", "score_rows", "upsert_day", "retention_trim",
         "write_period_table", "close_period", "export_flat",
     }
 )
