@@ -21,7 +21,7 @@ CACHED = (
 )
 
 
-def _cache_documents(spark, d):
+def _cache_documents(spark, d, sources=None, topics=None):
     """documents as day caches: one review-rooted source, one topic in the older shape."""
     art = articles(spark, d)
     slot = F.floor(F.col("ord") / 20)
@@ -40,7 +40,7 @@ def _cache_documents(spark, d):
         day.alias("date"),
     )
     path = dc.stage_documents(rows, spark)
-    return dc.read_documents(spark, path, one_per_line=True)
+    return dc.read_documents(spark, path, True, sources, topics)
 
 
 @query(
@@ -89,7 +89,8 @@ def scan_corrupt_tolerant(spark, d):
 )
 def scan_all_sources(spark, d):
     sources = [f"src{n}" for n in range(19)] + ["consultant"]
-    out = dc.scan_all(_cache_documents(spark, d), sources, ["en", "es", "de"])
+    topics = ["en", "es", "de"]
+    out = dc.scan_all(_cache_documents(spark, d, sources, topics), sources, topics)
     return out.groupBy("topic", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("long")).alias("n_chars")
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -27,14 +28,46 @@ def _path_part(back: int) -> Column:
     return F.url_decode(F.regexp_replace(folder, "^[A-Za-z_]+=", ""))
 
 
-def read_documents(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+def _wanted_folders(
+    spark: SparkSession, path: str, sources: list[str] | None, topics: list[str] | None
+) -> list[str]:
+    """The ``{source}/{topic}`` folders of the wanted ids, from a listing of names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(hadoop(f"{path}/*/*")) or []
+
+    def bare(name: str) -> str:
+        return unquote(name.partition("=")[2] or name)
+
+    out = []
+    for status in found:
+        folder = status.getPath()
+        source, topic = bare(folder.getParent().getName()), bare(folder.getName())
+        if (sources is None or source in sources) and (topics is None or topic in topics):
+            out.append(folder.toString())
+    return out
+
+
+def read_documents(
+    spark: SparkSession,
+    path: str,
+    one_per_line: bool = False,
+    sources: list[str] | None = None,
+    topics: list[str] | None = None,
+) -> DataFrame:
     """``(file, source, topic, body)``, a row per cache document.
 
     ``path`` holds ``{source}/{topic}/<file>``. With ``one_per_line`` a file
-    holds many compact documents.
+    holds many compact documents. Of the wanted sources and topics (None for
+    all) only the folders are opened.
     """
+    paths = [path]
+    if sources is not None or topics is not None:
+        paths = _wanted_folders(spark, path.rstrip("/"), sources, topics)
+    if not paths:
+        return spark.createDataFrame([], "file string, source string, topic string, body string")
     reader = spark.read.option("recursiveFileLookup", "true")
-    return reader.text(path, wholetext=not one_per_line).select(
+    return reader.text(paths, wholetext=not one_per_line).select(
         F.col("_metadata.file_path").alias("file"),
         _path_part(3).alias("source"),
         _path_part(2).alias("topic"),

@@ -31,6 +31,9 @@ def test_day_cache_layout(spark, tmp_path):
     broken = {(r.source, r.topic) for r in dc.parse_documents(docs).filter("broken").collect()}
     assert broken == {("cbr", "ssem"), ("rbc", "ssem"), ("consultant", "taxes")}
     assert dc.scan_all(docs, ["cbr"], ["taxes", "ssem"]).count() == 2
+    few = dc.read_documents(spark, str(tmp_path), sources=["cbr"], topics=["taxes", "ssem"])
+    assert 0 < few.count() <= docs.count() and {r.source for r in few.collect()} == {"cbr"}
+    assert dc.read_documents(spark, str(tmp_path), sources=["none"]).count() == 0
 
 
 def test_upsert_replaces_only_its_days(spark, tmp_path):
