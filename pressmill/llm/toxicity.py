@@ -24,6 +24,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressmill.functions.text import bind
 from pressmill.llm.common import table
 from pressmill.session import written
 
@@ -83,42 +84,58 @@ def _word(pattern: str) -> str:
 
 
 def features(text: Column, terms: list[str]) -> Column:
-    """The dense features of a text, in the order of ``FEATURES``."""
+    """The dense features of a text, in the order of ``FEATURES``.
+
+    Every pattern and count is evaluated once for a row, also where the score stands in
+    a filter and Spark would write it out once for each use.
+    """
     text = F.coalesce(text, F.lit(""))
-    low = F.lower(text)
     lexicon, person = _any_of(terms), _any_of(SECOND_PERSON)
     gap = r"[^\p{L}]+(?:\p{L}+[^\p{L}]+){0,3}"
-    hits = F.regexp_extract_all(low, F.lit("(" + _word(lexicon) + ")"), 1)
     near = f"{_word(person)}{gap}(?:{lexicon})|{_word(lexicon)}{gap}(?:{person})"
 
-    def among(chars: str) -> Column:
-        return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
-
-    chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = among(" \n\t\r") + 1
-    capitals, signs, digits = among(CAPITALS), among(SIGNS), among("0123456789")
-    letters = F.greatest(chars - words - signs - digits, F.lit(1.0))
-    n = F.size(hits).cast("double")
-
-    def count(pattern: str, when: Column, source: Column = text) -> Column:
-        return F.when(when, F.regexp_count(source, F.lit(pattern)).cast("double")).otherwise(0.0)
-
-    values = (
-        n,
-        F.log1p(words),
-        n / words,
-        F.size(F.array_distinct(hits)).cast("double"),
-        count(near, n > 0, low) / words,
-        F.regexp_count(low, F.lit(_word(person))).cast("double") / words,
-        capitals / letters,
-        count(r"(?<!\p{L})\p{Lu}{3,}(?!\p{L})", capitals > 2) / words,
-        signs / chars,
-        among("!?") / chars,
-        count(r"\p{L}[0-9@$*#]+\p{L}", signs + digits > 0) / words,
-        digits / chars,
-        letters / words,
-    )
-    return F.array(*values)
+    def measured(p: Column) -> Column:
+        def among(chars: str) -> Column:
+            return (F.length(p["text"]) - F.length(F.translate(p["text"], chars, ""))).cast("double")
+
+        counts = {
+            "text": p["text"],
+            "low": p["low"],
+            "hits": F.regexp_extract_all(p["low"], F.lit("(" + _word(lexicon) + ")"), 1),
+            "person": F.regexp_count(p["low"], F.lit(_word(person))).cast("double"),
+            "chars": F.greatest(F.length(p["text"]), F.lit(1)).cast("double"),
+            "words": among(" \n\t\r") + 1,
+            "capitals": among(CAPITALS),
+            "signs": among(SIGNS),
+            "calls": among("!?"),
+            "digits": among("0123456789"),
+        }
+        return bind(counts, _values)
+
+    def _values(c: Column) -> Column:
+        def count(pattern: str, when: Column, source: str = "text") -> Column:
+            found = F.regexp_count(c[source], F.lit(pattern)).cast("double")
+            return F.when(when, found).otherwise(0.0)
+
+        n, words, chars, signs = F.size(c["hits"]).cast("double"), c["words"], c["chars"], c["signs"]
+        letters = F.greatest(chars - words - signs - c["digits"], F.lit(1.0))
+        return F.array(
+            n,
+            F.log1p(words),
+            n / words,
+            F.size(F.array_distinct(c["hits"])).cast("double"),
+            count(near, n > 0, "low") / words,
+            c["person"] / words,
+            c["capitals"] / letters,
+            count(r"(?<!\p{L})\p{Lu}{3,}(?!\p{L})", c["capitals"] > 2) / words,
+            signs / chars,
+            c["calls"] / chars,
+            count(r"\p{L}[0-9@$*#]+\p{L}", signs + c["digits"] > 0) / words,
+            c["digits"] / chars,
+            letters / words,
+        )
+
+    return bind({"text": text, "low": F.lower(text)}, measured)
 
 
 @dataclass
