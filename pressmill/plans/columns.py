@@ -288,7 +288,7 @@ def coerce_model_columns(spark, d):
     f"""WITH {ART}, t AS (SELECT ord, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title,
       trim(regexp_replace(text, '\\s+', ' ', 'g')) AS body FROM art)
     SELECT ord, md5(rtrim('Заголовок: ' || title || chr(10) || 'Краткое содержание: ' ||
-      CASE WHEN ord % 4 = 0 THEN 'summary ' || ord ELSE substr(body, 1, 1000) END)) AS text_md5 FROM t""",
+      CASE WHEN ord % 4 = 0 THEN 'summary ' || ord ELSE body END)) AS text_md5 FROM t""",
 )
 def build_embedding_text(spark, d):
     summary = F.when(F.col("ord") % 4 == 0, F.concat(F.lit(" summary  "), F.col("ord").cast("string")))
@@ -305,7 +305,7 @@ _TEMPLATES = {
 
 @query(
     "build_prompt_column",
-    f"""WITH {ART}, t AS (SELECT ord, topic, news_date, source, title, substr(trim(text, ' ' || chr(10)), 1, 8000) AS body FROM art),
+    f"""WITH {ART}, t AS (SELECT ord, topic, news_date, source, title, trim(text, ' ' || chr(10)) AS body FROM art),
     p AS (SELECT ord, topic, CASE topic
       WHEN 'en' THEN 'Rate this for en.' || chr(10) || 'Date: ' || news_date || chr(10) || 'Source: ' || source || chr(10) ||
         'Title: ' || title || chr(10) || 'Text:' || chr(10) || body
