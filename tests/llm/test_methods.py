@@ -342,3 +342,57 @@ def test_main_text_of_the_given_pages(spark, folder):
         lines = [" ".join(library.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
         assert r.text == "\n".join(line for line in lines if line)
         assert r.n_chars == len(r.text)
+
+
+def _plain_clean(text):
+    spans = sorted((a, b, kind) for kind, a, b in _base(text))
+    out, at = "", 0
+    for a, b, kind in spans:
+        if a >= at:
+            out += text[at:a] + f"<{kind}>"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_pipeline_against_plain_steps(spark, folder, library):
+    import corpus_pipeline
+
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_duplicates", "personal_data", "packing"]
+    given = {r.doc_id: r.text for r in documents.collect()}
+
+    calm = stages["toxicity"](spark, documents, folder).cache()
+    kept = {r.doc_id: r.text for r in calm.collect()}
+    clean = [i for i in given if labels.get(i) == 0]
+    assert sum(i in kept for i in clean) >= 0.98 * len(clean)
+    assert calm.columns == documents.columns and kept.items() <= given.items()
+
+    one = stages["near_duplicates"](spark, calm, folder).cache()
+    sets, parent = {i: _shingles(t) for i, t in kept.items()}, {i: i for i in kept}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            shared = len(sets[i] & sets[j])
+            if j < i and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared) - 1e-9:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    left = {r.doc_id: r.text for r in one.collect()}
+    assert left == {i: kept[i] for i in kept if root(i) == i}
+
+    clean_docs = stages["personal_data"](spark, one, folder).cache()
+    texts = {r.doc_id: (r.text, r.n_chars) for r in clean_docs.collect()}
+    assert texts == {i: (_plain_clean(t), len(_plain_clean(t))) for i, t in left.items()}
+
+    pieces = stages["packing"](spark, clean_docs, folder).collect()
+    sizes = Counter()
+    for p in pieces:
+        sizes[p.doc_id] += p.length
+    ids = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, (t, _) in texts.items()}
+    assert sizes == ids
