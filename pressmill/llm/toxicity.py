@@ -49,6 +49,15 @@ SECOND_PERSON = (
 CAPITALS = "".join(chr(c) for c in range(0x250) if chr(c).isupper())
 SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¡¿«»„“”‘’–—…"
 
+#: Each counted character and the one that stands for its kind.
+KINDS = (
+    dict.fromkeys(CAPITALS, "A")
+    | dict.fromkeys(SIGNS, ".")
+    | dict.fromkeys("!?", "!")
+    | dict.fromkeys("0123456789", "0")
+    | dict.fromkeys(" \n\t\r", " ")
+)
+
 FEATURES = (
     "hits words_log hit_density distinct_hits near_you second_person capitals shouting "
     "punctuation exclamations obfuscated digits mean_word"
@@ -95,8 +104,9 @@ def features(text: Column, terms: list[str]) -> Column:
     near = f"{_word(person)}{gap}(?:{lexicon})|{_word(lexicon)}{gap}(?:{person})"
 
     def measured(p: Column) -> Column:
-        def among(chars: str) -> Column:
-            return (F.length(p["text"]) - F.length(F.translate(p["text"], chars, ""))).cast("double")
+        def among(kind: str) -> Column:
+            rest = F.replace(p["kinds"], F.lit(kind), F.lit(""))
+            return (F.length(p["kinds"]) - F.length(rest)).cast("double")
 
         counts = {
             "text": p["text"],
@@ -104,11 +114,11 @@ def features(text: Column, terms: list[str]) -> Column:
             "hits": F.regexp_extract_all(p["low"], F.lit("(" + _word(lexicon) + ")"), 1),
             "person": F.regexp_count(p["low"], F.lit(_word(person))).cast("double"),
             "chars": F.greatest(F.length(p["text"]), F.lit(1)).cast("double"),
-            "words": among(" \n\t\r") + 1,
-            "capitals": among(CAPITALS),
-            "signs": among(SIGNS),
-            "calls": among("!?"),
-            "digits": among("0123456789"),
+            "words": among(" ") + 1,
+            "capitals": among("A"),
+            "signs": among(".") + among("!"),
+            "calls": among("!"),
+            "digits": among("0"),
         }
         return bind(counts, _values)
 
@@ -135,7 +145,8 @@ def features(text: Column, terms: list[str]) -> Column:
             letters / words,
         )
 
-    return bind({"text": text, "low": F.lower(text)}, measured)
+    kinds = F.translate(text, "".join(KINDS), "".join(KINDS.values()))
+    return bind({"text": text, "low": F.lower(text), "kinds": kinds}, measured)
 
 
 @dataclass
