@@ -1,14 +1,17 @@
 """Personal data: base patterns, and terms that disclose what they protect.
 
 Protected entities are the addresses and numbers that the base patterns find. A term (a
-word near an entity) discloses it as far as knowing the term tells the entity: over all
-documents, PMI(entity; term) / IC(entity), which is 1 if the term never occurs without
-the entity. Terms above ``DISCLOSURE`` that were seen with the entity in ``CONTEXTS``
-different surroundings at least (copies of one text show nothing new) are generalised in
-the documents that hold the entity, as are the entities themselves.
-
-Only DataFrame expressions are used. Texts are shuffled only if the table of disclosing
-terms is too large for Spark to broadcast.
+word outside all entities, at any distance, in a document that holds the entity)
+discloses it as far as knowing the term tells the entity: over all documents,
+PMI(entity; term) / IC(entity), which is 1 if the term never occurs without the entity.
+Terms above ``DISCLOSURE`` that were seen with the entity in ``CONTEXTS`` different texts
+at least, or next to it in as many different surroundings (copies of one text show
+nothing new), are generalised in every document they occur in, with or without the
+entity, as are the entities themselves.
+
+Only DataFrame expressions are used. Only words of documents whose entities are seen often
+enough are paired with them, and only those rare enough to tell one. Texts are shuffled
+only if the table of disclosing terms is too large for Spark to broadcast.
 
 Defined results: a null text is empty and has no spans; repeated rows get equal results;
 rows with equal ``doc_id`` and different texts are different documents; overlapping spans
@@ -26,7 +29,8 @@ from pressmill.llm.common import table
 from pressmill.session import written
 
 DISCLOSURE, CONTEXTS = 0.9, 3
-#: Code points on either side of an entity that are its surroundings.
+#: Code points on either side of an entity that tell one of its surroundings from another
+#: within a text; terms are counted in whole texts.
 REACH = 80
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -116,12 +120,22 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def _key() -> Column:
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    return F.concat_ws(":", doc_id, F.xxhash64("text")).alias("key")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``row`` (all given columns, so that no name clashes), ``key, text, base``."""
     text = F.coalesce("text", F.lit("")).alias("text")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", text)
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text"))
-    return rows.select("row", key.alias("key"), "text", base_spans(F.col("text")).alias("base"))
+    return rows.select("row", _key(), "text", base_spans(F.col("text")).alias("base"))
+
+
+def _keyed_words(docs: DataFrame) -> DataFrame:
+    """``key, term``: the words of every text."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select(_key(), F.explode(_words(F.col("text"))).alias("term"))
 
 
 def _words(text: Column) -> Column:
@@ -129,68 +143,130 @@ def _words(text: Column) -> Column:
     return F.filter(words, lambda w: F.length(w) > 2)
 
 
-def disclosing_terms(
+def _entity(span: Column) -> Column:
+    match = F.substr(F.col("text"), (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+    digits = F.when(span["kind"].isin("card", "phone"), _digits(match)).otherwise(F.lower(match))
+    return F.concat_ws(":", span["kind"], digits)
+
+
+def _around(span: Column) -> Column:
+    before = F.least(span["start"], F.lit(REACH))
+    left = F.substr(F.col("text"), (span["start"] - before + 1).cast("int"), before.cast("int"))
+    right = F.substr(F.col("text"), (span["end"] + 1).cast("int"), F.lit(REACH))
+    return F.concat_ws("\n", left, right)
+
+
+def telling_terms(
     docs: DataFrame, disclosure: float = DISCLOSURE, contexts: int = CONTEXTS
 ) -> DataFrame:
-    """``key, terms``: for each document with an entity, the terms that disclose it."""
-    place = F.col("span")
-    left = F.expr(f"substr(text, cast(greatest(span.start - {REACH}, 0) + 1 as int), "
-                  f"cast(least(span.start, {REACH}) as int))")
-    right = F.expr(f"substr(text, cast(span.end + 1 as int), {REACH})")
-    match = F.expr("substr(text, cast(span.start + 1 as int), cast(span.end - span.start as int))")
-    digits = F.when(place["kind"].isin("card", "phone"), _digits(match)).otherwise(F.lower(match))
-    found = (
+    """``term``: the terms that disclose an entity, counted over whole texts."""
+    text = F.col("text")
+    unnamed = F.transform("base", lambda s: s.withField("kind", F.lit("")))
+    found = written(
         _keyed(docs)
         .where(F.size("base") > 0)
-        .select("key", "text", F.explode("base").alias("span"))
         .select(
             "key",
-            F.concat_ws(":", place["kind"], digits).alias("entity"),
-            F.concat_ws("\n", left, right).alias("around"),
-        )
-    )
-    found = written(
-        found.select(
-            "key", "entity", F.xxhash64("around").alias("context"), _words(F.col("around")).alias("terms")
+            F.xxhash64("text").alias("whole"),
+            _words(sanitised(text, unnamed)).alias("words"),  # those outside all entities
+            F.transform(
+                "base",
+                lambda s: F.struct(
+                    _entity(s).alias("entity"),
+                    F.xxhash64(_around(s)).alias("context"),
+                    _words(_around(s)).alias("near"),
+                ),
+            ).alias("places"),
         ),
         "entities",
     )
-    pairs = found.select("key", "entity", "context", F.explode("terms").alias("term"))
-    seen = (
-        pairs.groupBy("entity", "term", "context")
+    # Rows, not distinct texts, are the documents of all counts below.
+    rows_of_key = (
+        found.select("key", "whole", F.explode(F.array_distinct("places.entity")).alias("entity"))
+        .groupBy("key", "whole", "entity")
+        .agg(F.count("*").alias("rows"))
+    )
+    held = (
+        rows_of_key.groupBy("entity", "whole")
+        .agg(F.sum("rows").alias("rows"))
+        .groupBy("entity")
+        .agg(F.sum("rows").alias("n_entity"), F.count("*").alias("n_texts"))
+    )
+    places = found.select(F.explode("places").alias("place")).select("place.*")
+    surroundings = (
+        places.groupBy("entity", "context")
         .agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term")
-        .agg(F.sum("one").alias("contexts"))
-        .where(F.col("contexts") >= contexts)
+        .groupBy("entity")
+        .agg(F.sum("one").alias("n_contexts"))
     )
-    # Rows, not distinct texts, are the documents of all counts below.
-    together = (
-        pairs.join(seen.select("entity", "term"), ["entity", "term"], "left_semi")
-        .select("key", "entity", "term")
+    # No term is seen more often with an entity than the entity is seen.
+    repeated = written(
+        held.join(surroundings, "entity")
+        .where((F.col("n_texts") >= contexts) | (F.col("n_contexts") >= contexts))
+        .select("entity", "n_entity"),
+        "repeated",
+    )
+    entities = written(rows_of_key.join(repeated, "entity"), "entities_of_documents")
+    words = (
+        found.join(entities.select("key").distinct(), "key", "left_semi")
+        .select("key", F.explode("words").alias("term"))
         .distinct()
     )
-    together = written(together, "together")
-    words = docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("term"))
-    rows_of_key = found.groupBy("key", "entity").agg(F.lit(1).alias("one"))
-    held = rows_of_key.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    both = together.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    terms = both.select("term").distinct()
+    terms = words.select("term").distinct()
+    everywhere = docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("term"))
     # An inner join stays above the counts; a semi join would be pushed below them.
-    known = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
-    total = max(docs.count(), 1)
-    n = F.lit(float(total))
+    known = everywhere.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
+    known = written(known, "known_terms")
+    n = F.lit(float(max(docs.count(), 1)))
+    # Of a term in more documents the share with the entity is too small, as n_both <= n_entity.
+    most = F.col("n_entity") * F.pow(n / F.col("n_entity"), F.lit(1.0 - disclosure)) * (1 + 1e-9)
+    both = (
+        words.join(known, "term")
+        .join(entities, "key")
+        .where(F.col("n_term") <= most)
+        .groupBy("entity", "term", "whole")
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.max("n_entity").alias("n_entity"),
+            F.max("n_term").alias("n_term"),
+        )
+        .groupBy("entity", "term")
+        .agg(
+            F.sum("rows").alias("n_both"),
+            F.count("*").alias("n_texts"),
+            F.max("n_entity").alias("n_entity"),
+            F.max("n_term").alias("n_term"),
+        )
+    )
+    near = (
+        places.join(repeated.select("entity"), "entity", "left_semi")
+        .select("entity", "context", F.explode("near").alias("term"))
+        .groupBy("entity", "term", "context")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("entity", "term")
+        .agg(F.sum("one").alias("n_contexts"))
+    )
     information = -F.log2(F.col("n_entity") / n)
     pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
-    telling = (
-        both.join(known, "term")
-        .join(held, "entity")
+    return (
+        both.join(near, ["entity", "term"], "left")
+        .where((F.col("n_texts") >= contexts) | (F.col("n_contexts") >= contexts))
         .where((information > 0) & (pmi / information >= disclosure))
-        .select("entity", "term")
+        .select("term")
+        .distinct()
     )
+
+
+def disclosing_terms(
+    docs: DataFrame, disclosure: float = DISCLOSURE, contexts: int = CONTEXTS
+) -> DataFrame:
+    """``key, terms``: for each document with telling terms, these, with or without the entity."""
+    telling = written(telling_terms(docs, disclosure, contexts), "telling")
+    words = _keyed_words(docs)
     return (
-        together.join(telling, ["entity", "term"])
+        words.join(telling, "term")
         .groupBy("key")
-        .agg(F.sort_array(F.collect_set("term")).alias("terms"))  # words near one text's entities
+        .agg(F.sort_array(F.collect_set("term")).alias("terms"))  # words of one text
     )
 
 

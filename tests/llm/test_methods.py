@@ -251,6 +251,21 @@ def test_disclosing_terms_and_generalised_text(spark):
     assert same.text == docs[0].replace("boss@corp.org", "<email>")  # copies show nothing new
 
 
+def test_disclosing_terms_far_from_the_entity(spark):
+    pad = "the matter about nothing wrote from here " * 6
+    docs = [f"{'abcdefgh'[i] * 4} Zorvex {pad}boss@corp.org" for i in range(4)]
+    docs += [f"{'abcdefgh'[i] * 4} {pad}ip 10.0.0.{i}" for i in range(4)] + ["Zorvex walks alone"]
+    docs += [pad] * 40
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    out = [r.text for r in disclosure.sanitise(rows).orderBy("doc_id").collect()]
+    assert out[0] == f"aaaa <term> {pad}<email>"
+    assert out[8] == "<term> walks alone"  # the term alone tells the entity
+    assert out[4] == f"aaaa {pad}ip <ip>" and out[9:] == docs[9:]
+    twice = rows.union(rows)  # rows are the documents of all counts
+    again = disclosure.sanitise(twice).where("doc_id = 8").collect()
+    assert [r.text for r in again] == ["<term> walks alone"] * 2
+
+
 def test_merkle_edits_and_likeness(spark):
     a, b = "one\ntwo\n\nthree\nfour", "one\nTWO\n\nthree\nfour\nfive"
     row = spark.createDataFrame([(a, b)], "a string, b string").select(
