@@ -5,10 +5,14 @@ Markup is stripped to lines, one for each block of text. Elements that say what
 tag, role, class or id) leave nothing behind; borders of containers leave empty lines.
 The weight of a line is the length of its text outside links. Sums over a sliding window
 of lines rise at a surge point, where text begins, and fall to nothing at a dive point,
-where a container ends before the next begins. The text from the first surge to the last dive whose
-peak is that of running text is kept, with the headings right before it; if no stretch
-reaches that, the heaviest one is kept. A page that marks its article has its lines taken
-from there, and any text outside links makes a surge.
+where a container ends before the next begins. Stretches whose peak is that of running
+text, or else the heaviest one, say where the article is: the innermost element that holds
+them all. Its text is kept whole, with the headings right before it. An element of one
+line is a paragraph, lists, quotes, tables and figures are parts of what holds them, and an
+element among text lines belongs with these; so then the next outer element is taken. Of
+what stands before the first surge or after the last dive, blocks of links alone are left
+out if they have an element of their own or only the page holds them. A page that marks
+its article has all lines taken from there.
 
 The page is the unit of work: one Arrow batch of pages is held at a time, and a page's
 cost is linear in its length.
@@ -43,6 +47,8 @@ _CONTAINERS = set(
     "html body main article section div header table tbody blockquote figure ul ol dl details "
     "center td th".split()
 )
+#: Elements that can hold an article; other containers are parts of one.
+_HOLDERS = set("html body main article section div td th".split())
 _BLOCKS = set(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr pre hr address figcaption caption summary legend".split()
 )
@@ -88,23 +94,39 @@ def _is_boilerplate(name: str, attributes: str) -> bool:
 
 
 class _Lines:
-    """Lines of text with their weight; empty ones between containers."""
+    """Lines of text with their weight and holder; empty ones between containers.
+
+    Holders are numbered as they open, so that a parent's number is below its children's;
+    0 is the document.
+    """
 
     def __init__(self) -> None:
         self.texts: list[str] = []
         self.weights: list[int] = []
         self.heading: list[bool] = []
         self.inside: list[bool] = []
+        self.holders: list[int] = []
+        self.parents, self.pages = [0], {0}
         self.parts: list[str] = []
         self.linked = 0
 
-    def end(self, heading: bool, inside: bool) -> None:
+    def open(self, name: str, holder: int) -> int:
+        """The holder of what stands in the element, which ``holder`` holds."""
+        if name not in _HOLDERS or (name == "section" and holder not in self.pages):
+            return holder
+        self.parents.append(holder)
+        if name in ("html", "body"):
+            self.pages.add(len(self.parents) - 1)
+        return len(self.parents) - 1
+
+    def end(self, heading: bool, inside: bool, holder: int) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             self.texts.append(text)
             self.weights.append(max(len(text) - self.linked, 0))
             self.heading.append(heading)
             self.inside.append(inside)
+            self.holders.append(holder)
         self.parts, self.linked = [], 0
 
     def border(self) -> None:
@@ -113,19 +135,20 @@ class _Lines:
             self.weights += [0] * WINDOW
             self.heading += [False] * WINDOW
             self.inside += [False] * WINDOW
+            self.holders += [0] * WINDOW
 
 
 def _lines(html: str) -> _Lines:
     out = _Lines()
-    stack: list[tuple[str, bool]] = []  # open elements that matter: name, dropped
-    dropped = articles = links = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements that matter: name, dropped, holder
+    dropped = articles = links = holder = 0
     heading = False
     at = 0
 
     def close(depth: int) -> None:
-        nonlocal dropped, articles
+        nonlocal dropped, articles, holder
         while len(stack) > depth:
-            name, gone = stack.pop()
+            name, gone, holder = stack.pop()
             dropped -= gone
             articles -= name in ("article", "main")
 
@@ -155,12 +178,12 @@ def _lines(html: str) -> _Lines:
             elif name in _SPACED:
                 out.parts.append(" ")
             elif not attributes.endswith("/") and _is_boilerplate(name, attributes):
-                stack.append((name, True))
+                stack.append((name, True, holder))
                 dropped += 1
             continue
         was_dropped = dropped
         if not dropped:
-            out.end(heading, articles > 0)
+            out.end(heading, articles > 0, holder)
         heading = name in _HEADINGS and not ending
         links = 0
         if ending:
@@ -173,35 +196,62 @@ def _lines(html: str) -> _Lines:
             while stack and stack[-1][0] in _BLOCKS:
                 close(len(stack) - 1)
             if name in ("body", "main", "article"):
-                heads = [i for i, (open_name, _) in enumerate(stack) if open_name == "head"]
+                heads = [i for i, (open_name, *_) in enumerate(stack) if open_name == "head"]
                 if heads:
                     close(heads[0])
             gone = _is_boilerplate(name, attributes)
             if name == "header" and not articles:
                 gone = True
             if (structural or gone) and not (attributes or "").endswith("/") and name != "hr":
-                stack.append((name, gone))
+                stack.append((name, gone, holder))
+                holder = out.open(name, holder)
                 dropped += gone
                 articles += name in ("article", "main")
         if name in _CONTAINERS and not (was_dropped or dropped):
             out.border()  # what is dropped leaves no border in the text around it
     if at < len(html) and not dropped:
         out.parts.append(unescape(html[at:]))
-    out.end(heading, articles > 0)
+    out.end(heading, articles > 0, holder)
     return out
 
 
+def _sums(own: list[int], parents: list[int]) -> list[int]:
+    """For each holder the sum over itself and all within it."""
+    total = list(own)
+    for node in range(len(total) - 1, 0, -1):
+        total[parents[node]] += total[node]
+    return total
+
+
+def _holder(lines: _Lines, chosen: list[int]) -> int:
+    """The innermost element that holds an article with the chosen lines."""
+    parents = lines.parents
+    own, marked, text = ([0] * len(parents) for _ in range(3))
+    for i, holder in enumerate(lines.holders):
+        own[holder] += bool(lines.texts[i])
+        text[holder] |= lines.weights[i] > 0 and not lines.heading[i]
+    for i in chosen:
+        marked[lines.holders[i]] += 1
+    held, counts = _sums(marked, parents), _sums(own, parents)
+    node = max(k for k in range(len(parents)) if held[k] == len(chosen))
+    while node and counts[node] == 1:
+        node = parents[node]
+    outer = node
+    while outer:
+        outer = parents[outer]
+        if text[outer]:
+            node = outer
+        elif counts[outer] != counts[node]:  # more than a wrapper
+            break
+    return node
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the main text, joined by line breaks."""
     lines = _lines(html or "")
-    keep = range(len(lines.texts))
-    surge = SURGE
-    if any(lines.inside):  # the page marks its article: all running text in it counts
-        surge = 1
-        keep = [i for i in keep if lines.inside[i] or not lines.texts[i]]
-    weights = [lines.weights[i] for i in keep]
-    texts = [lines.texts[i] for i in keep]
-    heading = [lines.heading[i] for i in keep]
+    texts, weights, heading = lines.texts, lines.weights, lines.heading
+    if any(lines.inside):  # the page marks its article: all of its lines count
+        return "\n".join(t for t, inside in zip(texts, lines.inside) if inside)
 
     stretches: list[tuple[int, int, int, bool]] = []  # surge, dive, peak, only headings
     begin, total, peak = None, 0, 0
@@ -216,9 +266,19 @@ def main_text(html: str | None) -> str:
             begin, peak = None, 0
     if not stretches:
         return ""
-    heaviest = max(range(len(stretches)), key=lambda k: sum(weights[slice(*stretches[k][:2])]))
-    chosen = {k for k, s in enumerate(stretches) if s[2] >= surge} | {heaviest}
-    chosen.update(range(min(chosen), max(chosen)))  # from the first surge to the last dive
+    weight = [sum(weights[slice(*s[:2])]) for s in stretches]
+    heaviest = max(range(len(stretches)), key=lambda k: weight[k])
+    surging = {k for k, s in enumerate(stretches) if s[2] >= SURGE} | {heaviest}
+    first, last = min(surging), max(surging)
+    article = _holder(lines, [i for k in surging for i in range(*stretches[k][:2])])
+    within = [node == article for node in range(len(lines.parents))]
+    for node in range(1, len(within)):
+        within[node] = within[node] or within[lines.parents[node]]
+    chosen = set(range(first, last + 1))  # from the first surge to the last dive
+    for k, (begin, *_) in enumerate(stretches):
+        holder = lines.holders[begin]
+        if within[holder] and (weight[k] or (holder == article and article not in lines.pages)):
+            chosen.add(k)
     for k in sorted(chosen, reverse=True):
         while k > 0 and stretches[k - 1][3]:
             k -= 1

@@ -345,6 +345,32 @@ def test_main_text_of_an_unmarked_page():
     assert html_blocks.main_text(page) == f"Title & more\n{para}\nshort\nend"
 
 
+def test_main_text_keeps_short_beginnings_and_ends():
+    para = "This paragraph is long enough to be seen as running text, with many words in it."
+    menu = "<div><a href=x>Home</a></div>"
+
+    def page(body):
+        return f"<html><body>{menu}<div id=page>{menu}{body}<div>Imprint of us</div></div></body></html>"
+
+    part = f"<p>Short start.</p><ul><li>x</li></ul><p>{para}</p><ul><li>y</li></ul><p>Short end.</p>"
+    whole = f"Short start.\nx\n{para}\ny\nShort end."
+    assert html_blocks.main_text(page(f"<div class=content>{part}</div>")) == whole
+    quoted = part.replace(f"<p>{para}</p>", f"<blockquote><p>{para}</p><p>q</p></blockquote>")
+    assert html_blocks.main_text(page(f"<div>{quoted}</div>")) == whole.replace(para, f"{para}\nq")
+    boxed = part.replace(f"<p>{para}</p>", f"<div><div><p>{para}</p><p>q</p></div></div>")
+    assert html_blocks.main_text(f"<div>{boxed}</div>") == whole.replace(para, f"{para}\nq")
+    divs = f"<div>Short start.</div><div>{para}</div><div>{para}</div><div>Short end.</div>"
+    each = f"Short start.\n{para}\n{para}\nShort end."
+    assert html_blocks.main_text(page(f"<div class=content>{divs}</div>")) == each
+    one = "<div>Short start.</div><div>" + para + "</div><div>Short end.</div>"
+    assert html_blocks.main_text(page(f"<div>{one}</div>")) == f"Short start.\n{para}\nShort end."
+    links = f"<ul><li><a href=x>first</a></li></ul><p>{para}</p><ul><li><a href=y>last</a></li></ul>"
+    for name in ("article", "div"):
+        assert html_blocks.main_text(page(f"<{name}>{links}</{name}>")) == f"first\n{para}\nlast"
+    deep = "<div>" * 2_000 + f"<p>{para}</p>" + "</div><p>end</p>" * 2_000
+    assert html_blocks.main_text(deep).count("end") == 2_000
+
+
 def test_main_text_of_the_given_pages(spark, folder):
     rows = catalog.QUERIES["op1_html_blocks"](spark, folder).collect()
     html = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
