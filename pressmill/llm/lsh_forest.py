@@ -1,13 +1,14 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
+"""N-gram Jaccard join with MinHash prefixes of one depth (banding).
 
 Texts (lower case, words split at white space) are sets of five-word shingles; a text of
 fewer words is one shingle. The join finds all pairs of texts with a Jaccard similarity
 of 0.8 or more.
 
 1. Equal word sequences collapse to one node with its number of rows.
-2. Each node gets one sorted signature prefix for each of ``TREES`` tries. Prefixes start
-   at full depth and are shortened, level by level, until a pair at the threshold meets
-   in some trie with the target recall (``depth_for``).
+2. Each node gets one hashed signature prefix for each of ``TREES`` tries. All have the
+   longest depth at which a pair at the threshold meets in some trie with the target recall
+   (``depth_for``). The depth does not follow the data: all pairs are wanted, so a node that
+   met others at a greater depth must still be matched at this one.
 3. Nodes that share a prefix are candidates. A prefix group is cut into blocks of bounded
    size, each pair of blocks being one piece of work, so that a hot prefix is spread over
    many tasks. A pair is verified only in the first trie where it meets; groups whose
