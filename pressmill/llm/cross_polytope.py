@@ -8,7 +8,8 @@ The index holds every row once in each table. A bucket is cut into blocks of row
 of queries of bounded size; every pair of blocks is one piece of work that returns a few
 neighbours per query, so neither a hot bucket nor the candidates of a query meet in one
 task, and candidate pairs are never rows. Of equal vectors only the smallest ids, one
-more than asked for, can be among the results; the others are left out of the index.
+more than asked for, can be among the results; the others are left out of the index. A
+query that finds fewer rows than asked for is compared with all rows in the same blocks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 take no part, nor do rows without id; vectors of different lengths are never compared;
@@ -125,24 +126,8 @@ def _hashed(rows: DataFrame, probes: int, tables: int, hashes: int) -> DataFrame
     )
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, tables: int = TABLES,
-            probes: int = PROBES, hashes: int = HASHES) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of ``id, vector`` rows and queries.
-
-    Rows with the id of the query are no candidates.
-    """
-    copies = Window.partitionBy("vector").orderBy("id")
-    indexed = (
-        rows.where(usable(F.col("vector")) & F.col("id").isNotNull())
-        .distinct()
-        .withColumn("copy", F.row_number().over(copies))
-        .where(F.col("copy") <= k + 1)
-        .drop("copy")
-    )
-    asked = queries.where(usable(F.col("vector")) & F.col("id").isNotNull()).distinct()
-    index = written(_hashed(indexed, 1, tables, hashes), "index")
-    probed = written(_hashed(asked, probes, tables, hashes), "probes")
-    place = ["size", "tree", "bucket"]
+def _searched(index: DataFrame, probed: DataFrame, place: list[str], k: int) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` nearest rows with the place of a query."""
     sizes = (
         index.groupBy(*place).agg(F.ceil(F.count("*") / ROW_BLOCK).cast("int").alias("row_blocks"))
         .join(
@@ -177,9 +162,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, tables: in
                 [pa.array(c) for c in found], ["query_id", "vec_id", "score"]
             )
 
-    spark = rows.sparkSession
     found = (
-        work.repartition(parts_of(spark), "task")
+        work.repartition(parts_of(index.sparkSession), "task")
         .sortWithinPartitions("task")
         .mapInArrow(search, "query_id long, vec_id long, score double")
     )
@@ -192,6 +176,32 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, tables: in
     )
 
 
+def nearest(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, tables: int = TABLES,
+            probes: int = PROBES, hashes: int = HASHES) -> DataFrame:
+    """``query_id, rank, vec_id, score`` of ``id, vector`` rows and queries.
+
+    Rows with the id of the query are no candidates.
+    """
+    copies = Window.partitionBy("vector").orderBy("id")
+    indexed = (
+        rows.where(usable(F.col("vector")) & F.col("id").isNotNull())
+        .distinct()
+        .withColumn("copy", F.row_number().over(copies))
+        .where(F.col("copy") <= k + 1)
+        .drop("copy")
+    )
+    asked = queries.where(usable(F.col("vector")) & F.col("id").isNotNull()).distinct()
+    index = written(_hashed(indexed, 1, tables, hashes), "index")
+    probed = written(_hashed(asked, probes, tables, hashes), "probes")
+    found = written(_searched(index, probed, ["size", "tree", "bucket"], k), "found")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = asked.join(full, "id", "left_anti").withColumn("size", F.size("vector"))
+    exact = _searched(index.where("tree = 0"), short, ["size"], k)
+    return found.join(full.withColumnRenamed("id", "query_id"), "query_id", "left_semi").select(
+        "query_id", "rank", "vec_id", "score"
+    ).unionByName(exact)
+
+
 def best(vectors: np.ndarray, ids: np.ndarray, asks: np.ndarray, k: int):
     """Columns query id, row id, cosine: the ``k`` nearest rows of each query."""
     vectors = scaled(vectors)

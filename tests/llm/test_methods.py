@@ -251,6 +251,18 @@ def test_disclosing_terms_and_generalised_text(spark):
     assert same.text == docs[0].replace("boss@corp.org", "<email>")  # copies show nothing new
 
 
+def test_small_tables_give_all_candidates(spark):
+    pick = np.random.default_rng(4)
+    for n in (4, 20):
+        vectors = pick.standard_normal((n, 64))
+        rows = spark.createDataFrame(
+            [(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vector array<double>"
+        )
+        got = cross_polytope.nearest(rows, rows).collect()
+        assert len(got) == n * min(n - 1, 5)
+        assert len({(r.query_id, r["rank"]) for r in got}) == len(got)
+
+
 def test_disclosing_terms_far_from_the_entity(spark):
     pad = "the matter about nothing wrote from here " * 6
     docs = [f"{'abcdefgh'[i] * 4} Zorvex {pad}boss@corp.org" for i in range(4)]
