@@ -4,8 +4,10 @@ from pressmill.llm import (
     chat_format,
     cross_polytope,
     disclosure,
+    fill_middle,
     html_blocks,
     interleave,
+    line_dedup,
     lsh_forest,
     merkle,
     nnls_packing,
@@ -24,6 +26,8 @@ _MODULES = (
     disclosure,
     nnls_packing,
     speculative_bpe,
+    line_dedup,
+    fill_middle,
 )
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
