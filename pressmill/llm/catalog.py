@@ -12,6 +12,7 @@ from pressmill.llm import (
     merkle,
     nnls_packing,
     speculative_bpe,
+    token_alignment,
     toxicity,
 )
 
@@ -26,6 +27,7 @@ _MODULES = (
     disclosure,
     nnls_packing,
     speculative_bpe,
+    token_alignment,
     line_dedup,
     fill_middle,
 )
