@@ -33,7 +33,7 @@ SAMPLE_ROWS = 12_000
 SEED = 7
 #: A learned term occurs in this share of the toxic texts at least, and at least this
 #: many times as often in them as in the others.
-TERM_SHARE, TERM_LIFT, TERM_ROWS, TERMS = 0.01, 12.0, 4, 200
+TERM_SHARE, TERM_LIFT, TERM_ROWS = 0.01, 12.0, 4
 PREFIXES = (4, 5, 6, 7, 8)
 
 # General insults and words of address.
@@ -212,9 +212,7 @@ def learned_terms(rows: DataFrame) -> list[str]:
         .where(F.col("bad") >= least)
         .withColumn("lift", ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("good") + 0.5) / (good + 1)))
         .where(F.col("lift") >= TERM_LIFT)
-        .orderBy(F.desc("bad"), F.desc("lift"), "term")
-        .limit(TERMS)
-        .collect()  # at most TERMS rows
+        .collect()  # each in TERM_SHARE of the sample's toxic texts, so bounded with the sample
     )
     terms = sorted({r["term"] for r in found} | set(BASE_TERMS))
     starts = tuple(t[:-1] for t in terms if t.endswith("*"))
