@@ -20,14 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm.chunk_ids import ChunkEncoder, steps
+from pressmill.llm.arrow_tasks import text_steps
 from pressmill.llm.common import ranked, table
 from pressmill.llm.speculative_bpe import default_path
 from pressmill.session import written
@@ -36,39 +38,128 @@ WINDOW = 2048
 #: Lengths are rounded up to multiples of this in the least squares.
 UNIT = 16
 END_ID = 1
-#: A special token of the file, and how many chunks it joins in one call.
+#: A special token of the file, and how many chunks or words are joined in one call.
 SPECIAL_ID, JOINED = 49_407, 500
+#: Chunks and words of one generation; a worker remembers the current and the last one.
+ENTRIES = 300_000
+#: Longer ones (unbroken text) are encoded each time.
+LONGEST = 48
+#: Bytes of text of one vectorised step.
+STEP_BYTES = 8_000_000
+WORD_END = "</w>"
+#: White space, the letters and numbers up to U+00FF, and the tokenizer file's pattern of words.
+_WIDE = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_WHITE = f"[\t-\r {_WIDE[1:-1]}]+"
+_LETTERS, _NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
 
 Pattern = tuple[tuple[int, ...], int]
 
 
-@lru_cache(maxsize=2)
-def _library(path: str) -> ChunkEncoder:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-
-    # A special token between chunks keeps them apart, so many are encoded at once.
-    mark = tokenizer.id_to_token(SPECIAL_ID)
-
-    def encode(chunks: list[str]) -> list[bytes]:
-        plain = [c for c in chunks if "<|" not in c]
-        texts = [mark.join(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)]
+def _simple(chunk: str) -> bool:
+    """Whether the pattern above splits it as the library does: no special token, no character
+    that combines with another."""
+    if "<|" in chunk:
+        return False
+    try:
+        chunk.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Library:
+    """The library's ids of whole texts, through those of their distinct words.
+
+    No token reaches across white space, so Arrow splits texts there and codes the chunks;
+    simple chunks are split on into words, and only new words go to the library.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+        # A special token between chunks keeps them apart, so many are encoded at once.
+        self.mark = self.tokenizer.id_to_token(SPECIAL_ID)
+        self.known: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
+
+    def _joined(self, parts: list[str], between: str) -> Iterator[np.ndarray]:
+        texts = [between.join(parts[i : i + JOINED]) for i in range(0, len(parts), JOINED)]
+        for done in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(done.ids, "<u4")
+
+    def _learned(self, words: list[str]) -> dict[str, bytes]:
+        """The last token of a word, and no other, carries the end of the word."""
         out: list[bytes] = []
-        for done in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(done.ids, "<u4")
-            cuts = np.flatnonzero(ids == SPECIAL_ID) * 4
-            raw = ids.tobytes()
+        for ids in self._joined(words, " "):
+            cuts, raw = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        return dict(zip(words, out, strict=True))
+
+    def _by_words(self, chunks: list[str]) -> list[bytes]:
+        if len(self.known) > ENTRIES:
+            self.known, self.last = {}, self.known
+        known, last = self.known, self.last
+        new = [c for c in chunks if c not in known]
+        again = [c for c in new if c in last]
+        known.update((c, last[c]) for c in again)
+        new = [c for c in new if c not in known]
+        split = [_WORDS.findall(c.lower()) for c in new]
+        words = set().union(*split).difference(known) if split else set()
+        known.update(self._learned(list(words)))
+        known.update(zip(new, [b"".join(map(known.__getitem__, parts)) for parts in split]))
+        out = list(map(known.__getitem__, chunks))
+        for long in [x for x in words.union(new) if len(x) > LONGEST]:
+            del known[long]
+        return out
+
+    def _by_chunks(self, chunks: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for ids in self._joined(chunks, self.mark):
+            cuts, raw = np.flatnonzero(ids == SPECIAL_ID) * 4, ids.tobytes()
             out += [raw[a:b] for a, b in zip([0, *(cuts + 4)], [*cuts, len(raw)], strict=True)]
-        known = dict(zip(plain, out, strict=True))
-        rest = [c for c in chunks if "<|" in c]
-        for chunk, done in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[chunk] = np.array(done.ids, "<u4").tobytes()
-        return [known[c] for c in chunks]
+        return out
+
+    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks, as little-endian 32-bit bytes."""
+        simple = [c for c in chunks if _simple(c)]
+        found = dict(zip(simple, self._by_words(simple), strict=True))
+        other = [c for c in chunks if c not in found]
+        plain = [c for c in other if "<|" not in c]
+        found.update(zip(plain, self._by_chunks(plain), strict=True))
+        rest = [c for c in other if "<|" in c]
+        for chunk, done in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            found[chunk] = np.array(done.ids, "<u4").tobytes()
+        return [found[c] for c in chunks]
+
+    def texts(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        # Lower case, as the tokenizer has it, where each character stands alone.
+        plain = pa.array([t.lower() if _simple(t) else t for t in texts], pa.string())
+        if pc.any(pc.match_substring_regex(plain, _WIDE)).as_py():
+            split = pc.split_pattern_regex(plain, _WHITE)
+        else:
+            split = pc.ascii_split_whitespace(plain)  # the same there, and much faster
+        coded = split.flatten().dictionary_encode()
+        ids = self.chunk_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
+        flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat).take(coded.indices)
+        raw = lists.flatten().to_numpy().tobytes()
+        bounds = lists.offsets.to_numpy()[split.offsets.to_numpy()].tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            yield raw[4 * a : 4 * b]
+
 
-    return ChunkEncoder(encode)
+@lru_cache(maxsize=2)
+def _library(path: str) -> Library:
+    return Library(path)
 
 
 def cut(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
@@ -78,8 +169,8 @@ def cut(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _library(path or default_path())
         end = END_ID.to_bytes(4, "little")
-        for batch in steps(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+        for batch in text_steps(batches, 1, STEP_BYTES):
+            texts = batch.column(1).to_pylist()
             rows, starts, lengths, sums, totals = [], [], [], [], []
             for row, ids in enumerate(encoder.texts(texts)):
                 ids += end
@@ -95,7 +186,7 @@ def cut(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataF
             owner = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([owner, *columns], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))).mapInArrow(
         run, ", ".join(f"{n} long" for n in names)
     )
 
