@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pressmill.functions.text import strip, text_or_empty, url_key
+from pressmill.functions.text import strip, text_or_empty
+from pressmill.operators.key_index import KEY, keyed
 from pressmill.session import written
 
 
@@ -130,25 +132,37 @@ def append_new_only(
 def new_rows(existing: DataFrame | None, incoming: DataFrame, url: str, topic: str, order: str) -> DataFrame:
     """The rows ``append_new_only`` adds."""
 
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {"_url": url_key(F.col(url)), "_topic": strip(text_or_empty(F.col(topic)))}
-        )
+    def held(first: DataFrame) -> DataFrame | None:
+        if existing is None:
+            return None
+        # Of the keys held, only those of the batch are shuffled and compared.
+        keys = keyed(existing.select(url, topic), url, topic).filter("_url <> ''").select(KEY)
+        return keys.join(first.select(KEY), KEY, "left_semi").distinct()
+
+    return unseen_rows(incoming, held, url, topic, order)
 
-    fresh = keyed(incoming)
-    key = ["_url", "_topic"]
+
+def unseen_rows(
+    incoming: DataFrame,
+    held: Callable[[DataFrame], DataFrame | None],
+    url: str,
+    topic: str,
+    order: str,
+) -> DataFrame:
+    """The first row of each key that ``held`` does not return, and all rows without a url.
+
+    ``held`` gets the batch's first rows (with ``_url`` and ``_topic``) and returns those of
+    their keys that were there before.
+    """
+    fresh = keyed(incoming, url, topic)
     # Rows without a url skip window and join, so they form no hot key.
     unkeyed = fresh.filter("_url = ''")
     # Both sides shrink to one row per key and task before they are shuffled,
     # and the join reuses the partitioning of that shuffle.
-    first = first_by(fresh.filter("_url <> ''"), key, [order])
-    unseen = first
-    if existing is not None:
-        # Of the keys held, only those of the batch are shuffled and compared.
-        held = keyed(existing.select(url, topic)).filter("_url <> ''").select(key)
-        held = held.join(first.select(key), key, "left_semi").distinct()
-        unseen = first.join(held, key, "left_anti")
-    return unseen.unionByName(unkeyed).drop("_url", "_topic")
+    first = first_by(fresh.filter("_url <> ''"), KEY, [order])
+    before = held(first)
+    unseen = first if before is None else first.join(before, KEY, "left_anti")
+    return unseen.unionByName(unkeyed).drop(*KEY)
 
 
 def union_append(existing: DataFrame, new: DataFrame) -> DataFrame:

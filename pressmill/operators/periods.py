@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill.functions.dates import parse_news_date
-from pressmill.operators.dedupe import new_rows
+from pressmill.operators.dedupe import unseen_rows
+from pressmill.operators.key_index import KeyIndex, hashed
+from pressmill.session import written
 
 PERIOD_COLUMN = "period_id"
 # The append a row came with; rows of later appends stand behind it.
@@ -68,6 +70,7 @@ class PeriodStore:
     another writer's. ``closed/g<generation>`` names the period a generation
     became and the folder of the next one: that marker alone decides which folder
     is open, so rows written before a break are never taken up by accident.
+    ``keys/<folder>`` indexes the keys of each batch (``key_index``).
     Closing copies no rows.
     """
 
@@ -89,12 +92,8 @@ class PeriodStore:
     def _batches(self, folder: str) -> list[str]:
         return _children(self.spark, f"{self.root}/rows/{folder}")
 
-    def _read(self, folder: str, before: int | None = None) -> DataFrame | None:
-        paths = [
-            f"{self.root}/rows/{folder}/{name}"
-            for name in self._batches(folder)
-            if before is None or _number(name) < before
-        ]
+    def _read(self, folder: str) -> DataFrame | None:
+        paths = [f"{self.root}/rows/{folder}/{name}" for name in self._batches(folder)]
         if not paths:
             return None
         return self.spark.read.option("mergeSchema", "true").parquet(*paths)
@@ -114,17 +113,30 @@ class PeriodStore:
         """Append the unseen rows of a batch and return the open period.
 
         ``writer`` and ``batch`` name a batch that may be written again; without a
-        number the batch gets a name of its own.
+        number the batch gets a name of its own. Held keys are looked up in the period's
+        key index, so an append reads the index files of its own buckets, not the period.
+        Two appends at the same time do not see one another's rows: have one writer, or
+        let a later ``read_open`` be deduplicated with ``first_by``.
         """
         folder = self._open_folder()
         held = self._batches(folder)
         tag = f"{writer}.{uuid.uuid4().hex if batch is None else batch}"
         again = [n for n in held if n.partition(".")[2] == tag]
         number = _number(again[0]) if again else max(map(_number, held), default=-1) + 1
-        fresh = new_rows(self._read(folder, before=number), incoming, url, topic, order)
-        fresh.withColumn(BATCH_COLUMN, F.lit(number)).write.mode("overwrite").parquet(
-            f"{self.root}/rows/{folder}/b{number:09d}.{tag}"
-        )
+        name = f"b{number:09d}.{tag}"
+        path = f"{self.root}/rows/{folder}"
+        index = KeyIndex(self.spark, f"{self.root}/keys/{folder}/{url}-{topic}")
+        earlier = [n for n in held if _number(n) < number]
+        for missing in [n for n in earlier if not index.has(n)]:
+            index.add(missing, self.spark.read.parquet(f"{path}/{missing}"), url, topic)
+        index.drop(name)  # until the rows of this name are there again
+
+        def known(first: DataFrame) -> DataFrame | None:
+            return index.held(written(hashed(first), "batch_keys"), earlier) if earlier else None
+
+        fresh = unseen_rows(incoming, known, url, topic, order)
+        fresh.withColumn(BATCH_COLUMN, F.lit(number)).write.mode("overwrite").parquet(f"{path}/{name}")
+        index.add(name, self.spark.read.parquet(f"{path}/{name}"), url, topic)
         return self._read(folder)
 
     def _mark_closed(self, generation: int, period_id: str | None, folder: str, following: str) -> None:

@@ -34,6 +34,25 @@ def write_period_table(spark, d):
     return store.append(incoming, batch=1).select("ord", _bare_url().alias("url"), "topic", "origin")
 
 
+@query(
+    "append_indexed",
+    f"""WITH {ART}, inc AS (SELECT ord, CASE WHEN ord % 23 = 0 THEN '' ELSE url END AS url, topic,
+      CASE WHEN ord % 3 > 0 THEN ord % 3 - 1 WHEN topic = 'fr' THEN 3 ELSE 2 END AS batch FROM art)
+    SELECT ord, url, topic, CAST(batch AS INTEGER) AS batch FROM inc
+    QUALIFY url = '' OR row_number() OVER (PARTITION BY url, topic ORDER BY batch, ord) = 1""",
+)
+def append_indexed(spark, d):
+    """Four appends, each looked up in the key index of those before it."""
+    url = F.when(F.col("ord") % 23 == 0, " / ").otherwise(F.concat("url", F.lit("/")))
+    art = articles(spark, d).select("ord", url.alias("url"), "topic", "title")
+    third = F.col("ord") % 3
+    batch = F.when(third > 0, third - 1).when(F.col("topic") == "fr", 3).otherwise(2)
+    store = pr.PeriodStore(spark, work_path(spark, "period"))
+    for n in range(4):
+        rows = store.append(art.filter(batch == n), batch=n)
+    return rows.select("ord", _bare_url().alias("url"), "topic", F.col(pr.BATCH_COLUMN).alias("batch"))
+
+
 @query(
     "close_period",
     f"""WITH {APPEND}, taken AS (SELECT 'first' AS period_id, ord, url, topic FROM held
