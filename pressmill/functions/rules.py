@@ -81,6 +81,14 @@ def fold(text: Column, profiles: Sequence[RuleProfile]) -> Column:
     return F.lower(text)
 
 
+def fold_all(text: Column) -> Column:
+    """Case-folded text for rules that are not known yet."""
+    odd = _odd_letters()
+    replaced = F.translate(text, "".join(odd), "".join(odd.values()))
+    has_odd = F.regexp_like(text, F.lit("[" + "".join(odd) + "]"))
+    return F.lower(F.when(has_odd, replaced).otherwise(text))
+
+
 _MAX_NEEDED = 8
 
 
@@ -171,7 +179,7 @@ def matches(text: Column, raw: str, folded: Column | None = None) -> Column:
 def first_hit(text: Column, rule: Rule, folded: Column | None = None) -> Column:
     """``(label, fragment)``; ``is_hit`` tells whether the rule matched."""
     found = F.regexp_extract(text, _pattern(rule.pattern), 0)
-    if _may_be_empty(rule):
+    if may_be_empty(rule.pattern):
         # The rule can match nothing at all, so "" does not mean "no match".
         found = F.when(matches(text, rule.pattern), found)
     else:
@@ -180,15 +188,15 @@ def first_hit(text: Column, rule: Rule, folded: Column | None = None) -> Column:
     return F.struct(F.lit(rule.label).alias("label"), found.alias("fragment"))
 
 
-def _may_be_empty(rule: Rule) -> bool:
+def may_be_empty(pattern: str) -> bool:
     """Whether some match may have no width, as that of a look-ahead."""
-    parsed = _parsed(rule.pattern)
+    parsed = _parsed(pattern)
     return parsed is None or parsed.getwidth()[0] == 0
 
 
 def is_hit(hit: Column, rules: Sequence[Rule]) -> Column:
     """Keeps a cell of ``first_hit``; the fragment is looked at, not found again."""
-    empty = [rule.label for rule in rules if _may_be_empty(rule)]
+    empty = [rule.label for rule in rules if may_be_empty(rule.pattern)]
     filled = hit["fragment"] != ""
     return filled | (hit["label"].isin(empty) & hit["fragment"].isNotNull()) if empty else filled
 

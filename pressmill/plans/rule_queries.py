@@ -8,6 +8,7 @@ from pressmill.functions import rules as rx
 from pressmill.functions import text as tx
 from pressmill.operators import articles as ar
 from pressmill.operators import quality as ql
+from pressmill.operators import rule_index as ri
 from pressmill.operators import rules as ru
 from pressmill.operators import windows as wn
 from pressmill.plans.registry import query
@@ -101,6 +102,88 @@ def rule_hits_long(spark, d):
     return ru.rule_hits_long(articles(spark, d, heavy=True), ru.profiles_from_table(rules, heads))
 
 
+#: Patterns made of each longer word of ``benchmark``; some 5,000 rules at sf0.01.
+_VARIANTS = (
+    "{w}",
+    "{w}[a-z]{{1,3}}",
+    "[a-z]{{2}}{w}",
+    "{w}[ ,.]+[a-z]+",
+    "(?:{w}|{r})[a-z]",
+    "{s}[a-z]*",
+    "[0-9]+ {w}",
+    "(?:un|re|ge|de){s}",
+)
+
+
+def _word_rules(spark, d):
+    words = table(spark, d, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("w")
+    )
+    words = words.distinct().filter("length(w) >= 5")
+    parts = {"w": F.col("w"), "r": F.reverse("w"), "s": F.substring("w", 1, 5)}
+    cells = []
+    for seq, form in enumerate(_VARIANTS):
+        pattern = F.lit(form.replace("{{", "{").replace("}}", "}"))
+        for name, value in parts.items():
+            pattern = F.replace(pattern, F.lit(f"{{{name}}}"), value)
+        kind = ("core", "secondary", "exclude")[seq % 3]
+        cells.append(F.struct(F.lit(kind).alias("kind"), F.lit(seq).alias("seq"), pattern.alias("pattern")))
+    rules = words.select(F.substring("w", 1, 1).alias("profile"), F.col("w").alias("label"), F.inline(F.array(*cells)))
+    return rules.select("profile", "kind", "seq", "label", "pattern")
+
+
+_SQL_VARIANTS = ", ".join(
+    "{'kind': '%s', 'seq': %d, 'pattern': %s}"
+    % (
+        ("core", "secondary", "exclude")[seq % 3],
+        seq,
+        "replace(replace(replace('%s', '{w}', w), '{r}', reverse(w)), '{s}', substr(w, 1, 5))"
+        % form.replace("{{", "{").replace("}}", "}"),
+    )
+    for seq, form in enumerate(_VARIANTS)
+)
+_WORD_HITS = (
+    ST
+    + f""", words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark),
+  rules AS (SELECT substr(w, 1, 1) AS profile, w AS label, unnest([{_SQL_VARIANTS}], recursive := true)
+    FROM words WHERE length(w) >= 5),
+  tried AS (SELECT ord, profile, kind, CAST(seq AS INTEGER) AS seq, label,
+      regexp_extract(txt, '(?i)' || pattern, 0) AS fragment
+    FROM st JOIN rules ON contains(lower(txt), substr(label, 1, 5)) OR contains(lower(txt), substr(reverse(label), 1, 5))),
+  long AS (SELECT * FROM tried WHERE fragment <> '')"""
+)
+
+
+@query("rule_hits_indexed", f"WITH {_WORD_HITS} SELECT * FROM long")
+def rule_hits_indexed(spark, d):
+    """Thousands of rules as rows: an inverted index instead of plan literals."""
+    return ri.RuleIndex(_word_rules(spark, d)).hits(articles(spark, d, heavy=True))
+
+
+@query(
+    "rule_hit_counts_indexed",
+    f"WITH {_WORD_HITS} SELECT profile, kind, label, count(DISTINCT ord) AS n_articles FROM long GROUP BY ALL",
+)
+def rule_hit_counts_indexed(spark, d):
+    return ri.hit_counts(rule_hits_indexed(spark, d))
+
+
+def _pack_table(spark):
+    rows = [(p.name, k, n, r.label, r.pattern) for p in PACKS for k, n, r in p.rules()]
+    return spark.createDataFrame(rows, "profile string, kind string, seq int, label string, pattern string")
+
+
+@query(
+    "profile_fanout_indexed",
+    f"WITH {VERDICTS} SELECT ord, profile, {_EVIDENCE} AS matched_keyword FROM verdicts WHERE kept",
+)
+def profile_fanout_indexed(spark, d):
+    """All profiles from a rule table."""
+    heads = [(p.name, p.context, p.require_core) for p in PACKS]
+    heads = spark.createDataFrame(heads, "profile string, context string, require_core boolean")
+    return ri.fanout(articles(spark, d, heavy=True), _pack_table(spark), heads)
+
+
 @query(
     "rule_hit_counts",
     f"""WITH {_ALL_HITS} SELECT profile, kind, label, count(DISTINCT ord) AS n_articles
