@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import count
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pressmill.functions.text import strip, text_or_empty
+from pressmill.operators.components import components
 from pressmill.operators.key_index import KEY, keyed
 from pressmill.session import written
 
+#: Rounds before the pending rows are parted, and rows of a component decided in one pass.
+ROUNDS, COMPONENT_ROWS = 3, 50_000
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row per key.
@@ -52,9 +58,11 @@ def dedupe_greedy(
     Empty keys never block, and dropped rows register nothing. The kept rows are
     the greedy matching of urls and titles in ``order``. Each round keeps every
     row that is the first of both its groups and drops the rows these block, so
-    the result equals the sequential pass; rounds run until nothing is pending.
-    ``order`` must tell the rows of a scope apart, which is checked. Null is a
-    scope value like any other.
+    the result equals the sequential pass. After each ``ROUNDS`` rounds the pending
+    rows are parted into components, which decide nothing of one another: one of at
+    most ``COMPONENT_ROWS`` rows is decided in one pass, whatever its chains, and only
+    larger ones go on in rounds, until nothing is pending. ``order`` must tell the rows
+    of a scope apart, which is checked. Null is a scope value like any other.
 
     The rounds work on keys only, and equal (url, title) pairs collapse to their
     first row before the first shuffle, so groups of copies cost one row per
@@ -78,7 +86,7 @@ def dedupe_greedy(
         .agg(F.min("_ord").alias("_ord"))
     )
     kept = [free]
-    while True:
+    for done in count(1):
         marked = _mark_first(pending, scope)
         held = written(marked, "greedy_round")
         kept.append(held.filter("_first").select(*scope, "_ord"))
@@ -90,11 +98,76 @@ def dedupe_greedy(
             taken = winners.filter(F.col(name).isNotNull()).select(*scope, name).distinct()
             rest = rest.join(taken, [*scope, name], "left_anti")
         pending = rest
+        if done % ROUNDS == 0:
+            decided, pending = _by_component(pending)
+            kept.append(decided)
+            if pending.isEmpty():
+                break
     chosen = reduce(DataFrame.unionByName, kept)
     rows = articles.withColumns({"_scope": within, "_ord": F.col(order)})
     return rows.join(chosen, ["_scope", "_ord"], "left_semi").select(*articles.columns)
 
 
+def _by_component(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The kept rows of the smaller components, and the rows of the larger ones.
+
+    Nodes are hashes of keys. A collision joins two components, which changes no result:
+    rows block one another by their keys.
+    """
+    nodes = [
+        F.when(F.col(n).isNotNull(), F.xxhash64(F.lit(n), "_scope", n)) for n in ("_url", "_title")
+    ]
+    rows = pending.withColumns({"_u": F.coalesce(*nodes), "_v": F.coalesce(*nodes[::-1])})
+    links = rows.filter("_u <> _v").select("_u", "_v").distinct().repartition("_u")
+    member = components(links.mapInPandas(_forest, "left long, right long"))
+    placed = written(
+        rows.join(member.withColumnRenamed("id", "_u"), "_u", "left")
+        .withColumn("component", F.coalesce("component", "_u"))
+        .select(*pending.columns, "component"),
+        "greedy_components",
+    )
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("rows"))
+    large = sizes.filter(F.col("rows") > COMPONENT_ROWS).select("component")
+    place = Window.partitionBy("component").orderBy("_ord")
+    small = placed.join(large, "component", "left_anti").withColumn("_at", F.row_number().over(place))
+    first = (
+        small.select("component", "_at", F.to_json(F.struct("_scope")).alias("_within"), "_url", "_title")
+        .groupBy("component")
+        .applyInPandas(_in_turn, "component long, _at int")
+    )
+    decided = small.join(first, ["component", "_at"], "left_semi").select("_scope", "_ord")
+    return written(decided, "greedy_decided"), placed.join(large, "component", "left_semi").drop("component")
+
+
+def _forest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A task's links as links of each node to one node of its component."""
+    parent: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while (above := parent.setdefault(node, node)) != node:
+            parent[node] = parent[above]
+            node = above
+        return node
+
+    for part in parts:
+        for u, v in zip(part["_u"].tolist(), part["_v"].tolist()):
+            a, b = root(u), root(v)
+            parent[max(a, b)] = min(a, b)
+    links = [(node, root(node)) for node in parent]
+    yield pd.DataFrame([x for x in links if x[0] != x[1]], columns=["left", "right"], dtype="int64")
+
+
+def _in_turn(group: pd.DataFrame) -> pd.DataFrame:
+    """One component in order: a row stays unless a kept one has its url or title."""
+    taken, kept = set(), []
+    for row in group.sort_values("_at").itertuples(index=False):
+        keys = {(n, row[2], k) for n, k in enumerate(row[3:]) if isinstance(k, str)}
+        if not keys & taken:
+            taken |= keys
+            kept.append(row[:2])
+    return pd.DataFrame(kept, columns=["component", "_at"])
+
+
 def _mark_first(pending: DataFrame, scope: list[str]) -> DataFrame:
     """Adds ``_first``: the row is the first of its url group and title group."""
     out = pending

@@ -4,7 +4,7 @@ import pytest
 
 from pressmill.operators import dedupe as dd
 from pressmill.operators.periods import PeriodStore
-from pressmill.session import work_path
+from pressmill.session import work_path, written
 
 ROWS = "ord long, scope string, url string, title string"
 
@@ -130,3 +130,37 @@ def test_a_break_before_the_mark_leaves_no_stale_rows(spark, monkeypatch):
     assert store.read_open() is None
     assert store.append(_period(spark, [(5, "a", "x")])).count() == 1
     assert store.read_archive().count() == 2
+
+
+def _chain(n, scope):
+    """Each row shares its url with the one before or its title with the one behind."""
+    return [(i, scope, f"u{(i + 1) // 2}", f"t{i // 2}") for i in range(n)]
+
+
+def test_a_chain_of_5000_rows_takes_few_writes(spark, monkeypatch):
+    names = []
+
+    def noted(df, name):
+        names.append(name)
+        return written(df, name)
+
+    monkeypatch.setattr(dd, "written", noted)
+    monkeypatch.setattr("pressmill.operators.components.written", noted)
+    rows = _chain(5000, "a")
+    out = dd.dedupe_greedy(spark.createDataFrame(rows, ROWS), ["scope"])
+    assert sorted(r.ord for r in out.collect()) == sequential(rows)
+    assert len(names) <= 15
+
+
+@pytest.mark.parametrize("limit", [7, 40])
+def test_components_and_rounds_give_the_sequential_rows(spark, monkeypatch, limit):
+    rng = random.Random(limit)
+    monkeypatch.setattr(dd, "COMPONENT_ROWS", limit)
+    monkeypatch.setattr(dd, "ROUNDS", 1)
+    rows = [(i, s, u, t) for i, (_, s, u, t) in enumerate(_chain(30, "a") + _chain(9, None))]
+    rows += [
+        (100 + i, rng.choice(["a", "b", None]), rng.choice(["", None, f"u{rng.randint(0, 30)}"]), f"t{rng.randint(0, 40)}")
+        for i in range(80)
+    ]
+    out = dd.dedupe_greedy(spark.createDataFrame(rows, ROWS).repartition(3), ["scope"])
+    assert sorted(r.ord for r in out.collect()) == sequential(rows)
