@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from pressmill.functions.text import strip, text_or_empty
-
+from pressmill.session import work_path
 
 
 class MissingColumns(ValueError):
@@ -26,6 +26,47 @@ def run_stats(rejects: DataFrame) -> DataFrame:
     )
 
 
+class Counters:
+    """Counts that a run's own writes take on the way, without a scan of their own.
+
+    ``watch`` attaches an observation to a frame; its figures are there once the frame
+    has been written. Watch what belongs to the writing stage itself, behind the last
+    shuffle: a part made again after a lost executor is counted once there.
+    """
+
+    def __init__(self):
+        self._watched: list[Observation] = []
+
+    def watch(self, df: DataFrame, **counts: Column) -> DataFrame:
+        seen = Observation()
+        self._watched.append(seen)
+        return df.observe(seen, *[c.alias(name) for name, c in counts.items()])
+
+    def figures(self) -> dict[str, int]:
+        return {name: n for seen in self._watched for name, n in seen.get.items()}
+
+
+def split_rows(df: DataFrame, reason: Column, reasons: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Kept rows, rejected rows with their ``reason``, and ``(reason, n)``, in one pass.
+
+    ``reason`` is null for a row to keep. All rows are written once, by outcome, and each
+    side reads its own folder; the counts (``kept`` and each of ``reasons``, zeros
+    included) are taken by that write.
+    """
+    spark, counters = df.sparkSession, Counters()
+    tagged = df.withColumn("reason", reason)
+    each = {f"n{i}": F.count_if(F.col("reason") == r) for i, r in enumerate(reasons)}
+    tagged = counters.watch(tagged, kept=F.count_if(F.col("reason").isNull()), **each)
+    path = work_path(spark, "outcomes")
+    by_outcome = tagged.withColumn("outcome", F.when(F.col("reason").isNull(), "kept").otherwise("rejected"))
+    by_outcome.write.partitionBy("outcome").parquet(path)
+    written = spark.read.schema(by_outcome.schema).parquet(path)
+    n = counters.figures()
+    rows = [("kept", n["kept"]), *[(r, n[f"n{i}"]) for i, r in enumerate(reasons)]]
+    kept, rejected = (written.filter(F.col("outcome") == o).drop("outcome") for o in ("kept", "rejected"))
+    return kept.drop("reason"), rejected, spark.createDataFrame(rows, "reason string, n long")
+
+
 def counts_by_source_topic(articles: DataFrame, sources: DataFrame, topics: DataFrame) -> DataFrame:
     """Articles per source and topic of the dimensions, zeros included.
 

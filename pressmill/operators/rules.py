@@ -22,11 +22,14 @@ def apply_profile(articles: DataFrame, profile: RuleProfile) -> DataFrame:
     return profile_fanout(articles, [profile]).drop("profile")
 
 
-def profile_fanout(articles: DataFrame, profiles: list[RuleProfile]) -> DataFrame:
+def profile_fanout(
+    articles: DataFrame, profiles: list[RuleProfile], first: str | None = None
+) -> DataFrame:
     """A row per article and profile it passes, evaluated in one scan.
 
     Exclusions are tested first and the hit arrays are built only where none
-    hits; verdict and evidence both come from those arrays.
+    hits; verdict and evidence both come from those arrays. ``first`` names a column
+    that marks one row of each article that passes at all.
     """
     text, folded = F.col(TEXT), F.col(FOLDED)
     hits = []
@@ -40,14 +43,22 @@ def profile_fanout(articles: DataFrame, profiles: list[RuleProfile]) -> DataFram
         hits.append(F.when(~rx.excluded(text, profile, folded), found))
     keep = [c for c in articles.columns if c != "matched_keyword"]
     core, secondary = F.col("hit.core"), F.col("hit.secondary")
-    wanted = (F.size(core) > 0) | (~F.col("hit.require_core") & (F.size(secondary) > 0))
+
+    def passed(hit: Column) -> Column:
+        return (F.size(hit["core"]) > 0) | (~hit["require_core"] & (F.size(hit["secondary"]) > 0))
+
+    mark = []
+    if first is not None:
+        earliest = F.get(F.filter("_verdicts", passed), F.lit(0))["profile"]
+        mark = [(F.col("hit.profile") == earliest).alias(first)]
     return (
         with_search_text(articles, profiles)
         .withColumn("_verdicts", F.array(*hits))
         .withColumn("hit", F.explode_outer("_verdicts"))
-        .filter(wanted)
+        .filter(passed(F.col("hit")))
         .select(
             *keep,
+            *mark,
             F.col("hit.profile").alias("profile"),
             rx.evidence(core, secondary).alias("matched_keyword"),
             (F.size(core) + F.size(secondary)).alias("n_hits"),

@@ -70,11 +70,11 @@ def build_search_text(spark, d):
     f"""WITH {ITEMS} SELECT ord, strftime(CAST(date AS DATE), '%d.%m.%Y') AS news_date, title, url,
     CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'Site ' || substr(source, 4) ELSE source END AS source,
     CASE topic WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' WHEN 'fr' THEN 'French' ELSE topic END AS topic,
-    matched_keyword AS keywords FROM items""",
+    matched_keyword AS keywords, sha256(text) AS text_sha256 FROM items""",
 )
 def project_export(spark, d):
     out = ar.project_export(ar.normalize_articles(_items(spark, d)), LABELLED, TITLED)
-    return out.drop("text")
+    return out.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
 
 
 _MONTH_LIST = list(dt.MONTHS)

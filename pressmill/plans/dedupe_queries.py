@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pressmill.functions.vectors import norm, unit
+from pressmill.functions.vectors import norm
 from pressmill.operators import dedupe as dd
 from pressmill.operators import similarity as sm
 from pressmill.plans.registry import query
@@ -194,22 +194,6 @@ def semantic_survivors(spark, d):
     return out.select("vec_id", "label")
 
 
-@query(
-    "embed_rows",
-    """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, true AS is_unit,
-      CAST(round(list_extract(embedding, 1) / sqrt(list_inner_product(embedding, embedding)) * 1000) AS INTEGER) AS first_milli
-    FROM embeddings""",
-)
-def embed_rows(spark, d):
-    out = table(spark, d, "embeddings").select("vec_id", unit(F.col("embedding")).alias("v"))
-    return out.select(
-        "vec_id",
-        F.size("v").alias("size"),
-        (F.abs(norm(F.col("v")) - 1) < 1e-5).alias("is_unit"),
-        F.round(F.get("v", F.lit(0)) * 1000).cast("int").alias("first_milli"),
-    )
-
-
 def hashed_cosines(rows: str, size: int) -> str:
     """SQL CTEs ``counts`` and ``cosines(scope, l, r, cosine)`` of ``rows(id, scope, text)``."""
     return f"""words AS (SELECT id, scope, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS w
@@ -223,6 +207,27 @@ def hashed_cosines(rows: str, size: int) -> str:
       GROUP BY ALL)"""
 
 
+@query(
+    "embed_rows",
+    f"""WITH docs AS (SELECT doc_id AS id, lang AS scope, coalesce(text, '') AS text FROM documents),
+    {hashed_cosines("docs", 256)}, slots AS (SELECT id, count(*) AS n_slots, min(slot) FILTER (n = most) AS top_slot,
+      max(n) / sqrt(sum(n * n)) AS top FROM (SELECT *, max(n) OVER (PARTITION BY id) AS most FROM counts) GROUP BY id)
+    SELECT id AS doc_id, 256 AS size, n_slots IS NOT NULL AS is_unit, CAST(coalesce(n_slots, 0) AS INTEGER) AS n_slots,
+      CAST(coalesce(top_slot, 0) AS INTEGER) AS top_slot FROM docs LEFT JOIN slots USING (id)""",
+)
+def embed_rows(spark, d):
+    """Whole texts through a user function, 32 at a time."""
+    docs = table(spark, d, "documents", heavy=True).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = sm.embed_rows(docs, "doc_id", "text", sm.hashed_encoder(256)).withColumn("top", F.array_max("vec"))
+    return out.select(
+        "doc_id",
+        F.size("vec").alias("size"),
+        (F.abs(norm(F.col("vec")) - 1) < 1e-5).alias("is_unit"),
+        F.size(F.filter("vec", lambda x: x > 0)).alias("n_slots"),
+        (F.array_position("vec", F.col("top")) - 1).cast("int").alias("top_slot"),
+    )
+
+
 @query(
     "embed_texts",
     f"""WITH RECURSIVE docs AS (SELECT doc_id AS id, lang AS scope, text FROM documents),

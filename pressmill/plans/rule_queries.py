@@ -285,6 +285,41 @@ def run_stats(spark, d):
     return ql.run_stats(ar.reject_rows(incomplete(spark, d), LABELLED))
 
 
+_REASONS = ["empty_url", "empty_text", "empty_date", "empty_title", "digest"]
+_OUTCOMES = (
+    INCOMPLETE
+    + """, outcomes AS (SELECT ord, source, CASE WHEN kind IS NOT NULL THEN kind
+    WHEN contains(lower(title), 'and the') THEN 'digest' END AS reason FROM reasons)"""
+)
+
+
+def _outcomes(spark, d):
+    digest = F.when(ar.is_digest(F.col("title"), ("and the",)), "digest")
+    return ql.split_rows(incomplete(spark, d), F.coalesce(ar.incomplete_reason(LABELLED), digest), _REASONS)
+
+
+@query(
+    "reject_channel",
+    f"WITH {_OUTCOMES} SELECT ord, source, reason FROM outcomes",
+)
+def reject_channel(spark, d):
+    """Kept and rejected rows of one pass, each side read from its own folder."""
+    kept, rejected, _ = _outcomes(spark, d)
+    kept = kept.select("ord", "source", F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(rejected.select("ord", "source", "reason"))
+
+
+@query(
+    "reject_counts",
+    f"""WITH {_OUTCOMES}, names AS (SELECT unnest({["kept", *_REASONS]}) AS reason)
+    SELECT reason, count(ord) AS n FROM names
+    LEFT JOIN (SELECT ord, coalesce(reason, 'kept') AS reason FROM outcomes) USING (reason) GROUP BY reason""",
+)
+def reject_counts(spark, d):
+    """The counts that the write of the reject channel takes."""
+    return _outcomes(spark, d)[2]
+
+
 @query(
     "drop_digests",
     f"""WITH {ART} SELECT ord, title FROM art

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,6 +15,7 @@ from pressmill.operators import ranking as rk
 from pressmill.operators import scoring as sc
 from pressmill.operators import windows as wn
 from pressmill.operators.dedupe import dedupe_greedy
+from pressmill.operators.quality import Counters
 from pressmill.operators.rules import profile_fanout
 from pressmill.operators.similarity import DEFAULT_THRESHOLD, semantic_survivors
 from pressmill.schema import SCORE_COLUMNS, SOURCES, TOPICS, Source, Topic
@@ -44,36 +44,33 @@ def collect_run(
     Only days of the window that are not held, or are among the last
     ``refresh_days``, are worked on: their articles are fanned out to the profiles,
     deduplicated per topic and stored as whole days. Days that fell out of the
-    window go. ``raw`` has ``ord, source, day, url, title, text``.
+    window go. ``raw`` has ``ord, source, day, url, title, text``. The counters are taken
+    by the run's own writes.
     """
     spark = raw.sparkSession
     span = wn.day_range(raw.select("source").distinct(), days, today)
     held = spark.read.parquet(table).select("source", "day") if dc.folder_exists(spark, table) else None
     cached = span.select("source", "day").limit(0) if held is None else held.distinct()
     plan = written(wn.refresh_plan(span, cached, refresh_days).filter("process"), "plan").select("source", "day")
-    work = raw.join(plan, ["source", "day"], "left_semi")
-    chosen = written(profile_fanout(work, profiles).withColumn("topic", F.col("profile")).drop("profile"), "chosen")
-    kept = written(dedupe_greedy(chosen, ["topic"]), "kept")
+    counters = Counters()
+    rows, one = F.count(F.lit(1)), "_first"
+    work = counters.watch(raw.join(plan, ["source", "day"], "left_semi"), articles=rows)
+    chosen = profile_fanout(work, profiles, one).withColumn("topic", F.col("profile")).drop("profile")
+    chosen = written(counters.watch(chosen, selected=rows, matched=F.count_if(one)).drop(one), "chosen")
+    no_title = F.count_if(strip(text_or_empty(F.col("title"))) == "")
+    kept = written(counters.watch(dedupe_greedy(chosen, ["topic"]), kept=rows, without_title=no_title), "kept")
     topics = F.array(*[F.lit(p.name) for p in profiles])
     dc.upsert_days(kept, table, processed=plan.select("source", F.explode(topics).alias("topic"), "day"))
     dc.trim_days(spark, table, dc.DAY_PARTS, F.col("day") > F.date_sub(today, days))
-    counted = {
-        "articles": work,
-        "matched": chosen.select("ord").distinct(),
-        "selected": chosen,
-        "kept": kept,
-        "without_title": kept.filter(strip(text_or_empty(F.col("title"))) == ""),
+    n = counters.figures()
+    figures = {
+        "n_articles": n["articles"],
+        "n_filtered": n["articles"] - n["matched"],
+        "n_duplicates": n["selected"] - n["kept"],
+        "n_kept": n["kept"],
+        "n_without_title": n["without_title"],
     }
-    parts = [df.select(F.lit(name).alias("kind")) for name, df in counted.items()]
-    rows = reduce(DataFrame.unionByName, parts).groupBy().pivot("kind", list(counted)).count()
-    n = {name: F.coalesce(name, F.lit(0)) for name in counted}
-    return rows.select(
-        n["articles"].alias("n_articles"),
-        (n["articles"] - n["matched"]).alias("n_filtered"),
-        (n["selected"] - n["kept"]).alias("n_duplicates"),
-        n["kept"].alias("n_kept"),
-        n["without_title"].alias("n_without_title"),
-    )
+    return spark.createDataFrame([tuple(figures.values())], ", ".join(f"{k} long" for k in figures))
 
 
 def cached_articles(
