@@ -70,7 +70,8 @@ class PeriodStore:
     another writer's. ``closed/g<generation>`` names the period a generation
     became and the folder of the next one: that marker alone decides which folder
     is open, so rows written before a break are never taken up by accident.
-    ``keys/<folder>`` indexes the keys of each batch (``key_index``).
+    ``derived/<folder>`` holds what is made from each batch and can be made again: its
+    keys (``key_index``) and partial counts (``batch_counts``).
     Closing copies no rows.
     """
 
@@ -101,6 +102,25 @@ class PeriodStore:
     def read_open(self) -> DataFrame | None:
         return self._read(self._open_folder())
 
+    def open_batches(self) -> list[tuple[str, str]]:
+        """Name and folder of each batch of the open period."""
+        folder = self._open_folder()
+        return [(name, f"{self.root}/rows/{folder}/{name}") for name in self._batches(folder)]
+
+    def derived(self, kind: str, batch: str) -> str:
+        """Where what is derived from a batch is kept; it goes when the batch is written again."""
+        return f"{self.root}/derived/{self._open_folder()}/{kind}/batch={batch}"
+
+    def committed(self, path: str) -> bool:
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+
+    def _drop_derived(self, folder: str, batch: str) -> None:
+        every = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/derived/{folder}/*/batch={batch}")
+        fs = every.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in fs.globStatus(every) or []:
+            fs.delete(status.getPath(), True)
+
     def append(
         self,
         incoming: DataFrame,
@@ -125,11 +145,11 @@ class PeriodStore:
         number = _number(again[0]) if again else max(map(_number, held), default=-1) + 1
         name = f"b{number:09d}.{tag}"
         path = f"{self.root}/rows/{folder}"
-        index = KeyIndex(self.spark, f"{self.root}/keys/{folder}/{url}-{topic}")
+        index = KeyIndex(self.spark, f"{self.root}/derived/{folder}/keys-{url}-{topic}")
         earlier = [n for n in held if _number(n) < number]
         for missing in [n for n in earlier if not index.has(n)]:
             index.add(missing, self.spark.read.parquet(f"{path}/{missing}"), url, topic)
-        index.drop(name)  # until the rows of this name are there again
+        self._drop_derived(folder, name)  # until the rows of this name are there again
 
         def known(first: DataFrame) -> DataFrame | None:
             return index.held(written(hashed(first), "batch_keys"), earlier) if earlier else None

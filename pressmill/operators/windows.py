@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressmill.session import written
+
 
 def in_exact_window(key: Column, days: int, today: Column, key_format: str) -> Column:
     """Day key is one of the last ``days`` days, in the source's own notation.
@@ -11,8 +13,8 @@ def in_exact_window(key: Column, days: int, today: Column, key_format: str) -> C
     The key must be written exactly as the format writes it.
     """
     day = F.try_to_date(key, key_format)
-    written = F.date_format(day, key_format) == key
-    return F.coalesce(written & day.between(F.date_sub(today, days - 1), today), F.lit(False))
+    as_written = F.date_format(day, key_format) == key
+    return F.coalesce(as_written & day.between(F.date_sub(today, days - 1), today), F.lit(False))
 
 
 def in_cutoff_window(key: Column, days: int, today: Column) -> Column:
@@ -64,6 +66,21 @@ def day_range(sources: DataFrame, days: int, today: Column) -> DataFrame:
     )
 
 
+def in_window_table(days: DataFrame, windows: DataFrame, today: Column) -> DataFrame:
+    """The rows of a day table that lie in their source's window.
+
+    ``days`` is partitioned by ``source`` and ``day``; ``windows`` is ``(source, days)``, a
+    row per source. The windows are unfolded to their days and joined, so the scan opens
+    the partitions of these days only (dynamic partition pruning). They are written first,
+    which gives the planner their size: it broadcasts them where they are small, as pruning
+    needs. Sources without a window have no rows.
+    """
+    span = F.sequence(F.date_sub(today, F.col("days").cast("int") - 1), today)
+    wanted = windows.filter("days > 0").select("source", F.explode(span).alias("day"))
+    wanted = written(wanted.distinct(), "window_days").filter(F.col("day") <= today)
+    return days.join(wanted, ["source", "day"])
+
+
 def group_by_day(articles: DataFrame, day: Column, order: Column) -> DataFrame:
     """Articles and their span per day; the rows stay in the day-partitioned table."""
     return articles.groupBy(day.alias("day")).agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pressmill.functions.dates import format_news_date
+from pressmill.operators import batch_counts as bc
 from pressmill.operators import periods as pr
 from pressmill.operators import windows as wn
 from pressmill.plans.dedupe_queries import APPEND, period_halves
@@ -34,25 +35,42 @@ def write_period_table(spark, d):
     return store.append(incoming, batch=1).select("ord", _bare_url().alias("url"), "topic", "origin")
 
 
-@query(
-    "append_indexed",
-    f"""WITH {ART}, inc AS (SELECT ord, CASE WHEN ord % 23 = 0 THEN '' ELSE url END AS url, topic,
-      CASE WHEN ord % 3 > 0 THEN ord % 3 - 1 WHEN topic = 'fr' THEN 3 ELSE 2 END AS batch FROM art)
-    SELECT ord, url, topic, CAST(batch AS INTEGER) AS batch FROM inc
-    QUALIFY url = '' OR row_number() OVER (PARTITION BY url, topic ORDER BY batch, ord) = 1""",
-)
-def append_indexed(spark, d):
-    """Four appends, each looked up in the key index of those before it."""
+_APPENDED = ART + """, inc AS (SELECT ord, CASE WHEN ord % 23 = 0 THEN '' ELSE url END AS url, source, topic,
+      CASE WHEN ord % 3 > 0 THEN ord % 3 - 1 WHEN topic = 'fr' THEN 3 ELSE 2 END AS batch FROM art),
+    held AS (SELECT ord, url, source, topic, CAST(batch AS INTEGER) AS batch FROM inc
+    QUALIFY url = '' OR row_number() OVER (PARTITION BY url, topic ORDER BY batch, ord) = 1)"""
+
+
+def _appended(spark, d):
+    """A store after four appends, each looked up in the key index of those before it."""
     url = F.when(F.col("ord") % 23 == 0, " / ").otherwise(F.concat("url", F.lit("/")))
-    art = articles(spark, d).select("ord", url.alias("url"), "topic", "title")
+    art = articles(spark, d).select("ord", url.alias("url"), "source", "topic", "title")
     third = F.col("ord") % 3
     batch = F.when(third > 0, third - 1).when(F.col("topic") == "fr", 3).otherwise(2)
     store = pr.PeriodStore(spark, work_path(spark, "period"))
     for n in range(4):
-        rows = store.append(art.filter(batch == n), batch=n)
+        yield store, store.append(art.filter(batch == n), batch=n)
+
+
+@query("append_indexed", f"WITH {_APPENDED} SELECT ord, url, topic, batch FROM held")
+def append_indexed(spark, d):
+    *_, (_, rows) = _appended(spark, d)
     return rows.select("ord", _bare_url().alias("url"), "topic", F.col(pr.BATCH_COLUMN).alias("batch"))
 
 
+@query(
+    "counts_by_batch",
+    f"WITH {_APPENDED} SELECT source, topic, count(*) AS n, count(*) FILTER (url = '') AS n_without_url FROM held GROUP BY ALL",
+)
+def counts_by_batch(spark, d):
+    """Counts per source and topic, kept up with each append and added up from the batches."""
+    no_url = F.count_if(_bare_url() == "")
+    for store, _ in _appended(spark, d):
+        counts = bc.BatchCounts(store, "by_topic", ["source", "topic"], n=F.count(F.lit(1)), n_without_url=no_url)
+        out = counts.current()
+    return out
+
+
 @query(
     "close_period",
     f"""WITH {APPEND}, taken AS (SELECT 'first' AS period_id, ord, url, topic FROM held
@@ -143,6 +161,23 @@ def retention_trim(spark, d):
     return spark.read.parquet(path).groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "window_table",
+    """WITH s AS (SELECT event_type AS source, count(*) % 7 + 3 AS days FROM events GROUP BY 1)
+    SELECT source, CAST(ts AS DATE) AS day, count(*) AS n FROM events JOIN s ON event_type = source
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-25' - CAST(days - 1 AS INTEGER) AND DATE '2024-01-25' GROUP BY ALL""",
+)
+def window_table(spark, d):
+    """Each source's own window, read from a day table by dynamic partition pruning."""
+    path = work_path(spark, "days")
+    events = table(spark, d, "events")
+    rows = events.select(F.col("event_type").alias("source"), F.to_date("ts").alias("day"), "event_id")
+    rows.hint("rebalance", "source", "day").write.partitionBy("source", "day").parquet(path)
+    windows = events.groupBy(F.col("event_type").alias("source")).agg((F.count(F.lit(1)) % 7 + 3).alias("days"))
+    kept = wn.in_window_table(spark.read.parquet(path), windows, F.lit("2024-01-25").cast("date"))
+    return kept.groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "refresh_plan",
     """WITH r AS (SELECT s.source, CAST(DATE '2024-02-02' - CAST(age AS INTEGER) AS DATE) AS day, age FROM

@@ -74,7 +74,7 @@ def test_appends_give_the_rows_of_a_full_scan(spark):
 def test_missing_and_stale_index_entries_are_made_again(spark):
     store = PeriodStore(spark, work_path(spark, "period"))
     store.append(_rows(spark, 0, 50), batch=0, writer="w")
-    index = ki.KeyIndex(spark, f"{store.root}/keys/g000000/url-topic")
+    index = ki.KeyIndex(spark, f"{store.root}/derived/g000000/keys-url-topic")
     index.drop("b000000000.w.0")
     assert store.append(_rows(spark, 40, 60), batch=1, writer="w").count() == 60
     assert index.has("b000000000.w.0")

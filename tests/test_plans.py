@@ -14,7 +14,7 @@ LAZY = sorted(
     - {n for n in QUERIES if n.startswith(("stream_", "scan_", "semantic_", "dedupe_greedy"))}
     - {
         "similar_pairs", "similar_pairs_cut", "enrich_run", "rank_run", "collect_run", "collect_stats", "embed_texts", "curate_run", "score_rows", "upsert_day", "retention_trim",
-        "write_period_table", "append_indexed", "reject_channel", "reject_counts", "close_period", "export_flat",
+        "write_period_table", "append_indexed", "counts_by_batch", "window_table", "reject_channel", "reject_counts", "close_period", "export_flat",
     }
 )
 
