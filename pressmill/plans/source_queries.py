@@ -129,55 +129,78 @@ def _joined_documents(items, group, item, head, tail):
     )
 
 
+_TITLE = "<title>([^<]*)</title>"
+
+
+def _escaped(text):
+    return F.replace(text, F.lit("&"), F.lit("&amp;"))
+
+
 @query(
     "scan_rss_items",
-    """WITH i AS (SELECT page_id, page_id // 50 AS feed, 'Page ' || page_id || ' & more' AS title,
-      'https://site.example/news/' || (page_id * 7 % 180) AS url,
-      CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) AS news_date FROM pages
-      WHERE page_id % 10 <> 3 AND page_id % 11 <> 4)
-    SELECT url, title, news_date FROM i QUALIFY row_number() OVER (PARTITION BY url ORDER BY feed, page_id) = 1""",
+    f"""WITH p AS (SELECT page_id, url, page_id // 50 AS feed, page_id % 11 = 4 AS blank, page_id % 10 = 3 AS undated,
+      trim(regexp_replace(regexp_extract(html, '{_TITLE}', 1), '\s+', ' ', 'g')) AS title,
+      trim(regexp_replace(html, '\s+', ' ', 'g')) AS html,
+      CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) AS news_date FROM pages),
+    i AS (SELECT page_id, feed, url, title, html, news_date FROM p WHERE NOT blank AND title <> '' AND NOT undated
+      UNION ALL SELECT page_id, feed + 1, url, 'Again ' || title, html, news_date FROM p WHERE NOT undated)
+    SELECT url, title, news_date, sha256(html) AS description_sha256 FROM i
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY feed, page_id) = 1""",
 )
 def scan_rss_items(spark, d):
+    """The given pages as items of two feeds, with their url, title and whole html."""
     pages = table(spark, d, "pages")
     key = F.col("page_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 28).cast("int"))
     stamp = F.when(key % 10 == 3, "some day").otherwise(F.date_format(day, "E, dd MMM yyyy '08:00:00 +0300'"))
-    title = F.when(key % 11 == 4, " ").otherwise(F.concat(F.lit("  Page  "), key.cast("string"), F.lit(" &amp; more")))
+    own = F.concat(F.lit("  "), F.regexp_extract("html", _TITLE, 1))
+    both = F.array(
+        F.struct(F.floor(key / 50).alias("feed"), F.when(key % 11 == 4, " ").otherwise(own).alias("title")),
+        F.struct((F.floor(key / 50) + 1).alias("feed"), F.concat(F.lit("Again "), own).alias("title")),
+    )
+    items = pages.select("page_id", "url", "html", F.inline(both))
+
+    def raw(text):
+        return F.concat(F.lit("<![CDATA["), F.replace(text, F.lit("]]>"), F.lit("]]]]><![CDATA[>")), F.lit("]]>"))
+
     item = F.concat(
-        F.lit("<item><title>"), title, F.lit("</title><link> /news/"), (key * 7 % 180).cast("string"),
-        F.lit("</link><pubDate>"), stamp, F.lit("</pubDate><description><![CDATA[<b>x</b></item>]]></description></item>"),
+        F.lit("<item><title>"), raw(F.col("title")), F.lit("</title><link> "), _escaped(F.col("url")),
+        F.lit(" </link><pubDate>"), stamp, F.lit("</pubDate><description>"), raw(F.col("html")),
+        F.lit("</description></item>"),
     )
-    feed = F.floor(key / 50)
     head = F.concat(F.lit('<rss id="'), F.lpad(F.col("g").cast("string"), 12, "0"), F.lit('"><channel>'))
     path = work_path(spark, "rss")
-    _joined_documents(pages, feed, item, head, "</channel></rss>").write.text(path)
+    # A document a line: line breaks within are white space.
+    docs = _joined_documents(items, F.col("feed"), item, head, "</channel></rss>")
+    docs.select(F.regexp_replace("value", "[\r\n]", " ")).write.text(path)
     docs = fd.read_feed_documents(spark, path, one_per_line=True)
     docs = docs.withColumn("feed", F.regexp_extract("body", '<rss id="([0-9]+)"', 1))
-    return fd.rss_items(docs, "https://site.example", feed="feed").select("url", "title", "news_date")
+    found = fd.rss_items(docs, "https://site.example", feed="feed")
+    return found.select("url", "title", "news_date", F.sha2("description", 256).alias("description_sha256"))
+
+
+_ARTICLE_URL = "/[a-z]{2}/[0-9]+$"
 
 
 @query(
     "scan_sitemap",
-    """SELECT 'https://site.example/news/' || page_id || '/' AS url,
-      CASE WHEN page_id % 5 <> 0 THEN CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) END AS lastmod
-    FROM pages WHERE page_id % 3 <> 0 AND (page_id % 5 = 0 OR page_id % 28 >= 14)""",
+    f"""SELECT url, CASE WHEN page_id % 5 <> 0 THEN CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) END AS lastmod
+    FROM pages WHERE regexp_matches(url, '{_ARTICLE_URL}') AND (page_id % 5 = 0 OR page_id % 28 >= 14)""",
 )
 def scan_sitemap(spark, d):
+    """The given urls as sitemaps; those with a query are no articles."""
     pages = table(spark, d, "pages")
     key = F.col("page_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 28).cast("int"))
-    where = F.when(key % 3 == 0, "/about/").otherwise("/news/")
     stamp = F.when(key % 5 == 0, "").otherwise(
         F.concat(F.lit("<lastmod>"), F.date_format(day, "yyyy-MM-dd'T'10:00:00+03:00"), F.lit("</lastmod>"))
     )
-    item = F.concat(
-        F.lit("<url><loc>https://site.example"), where, key.cast("string"), F.lit("/</loc>"), stamp, F.lit("</url>")
-    )
+    item = F.concat(F.lit("<url><loc>"), _escaped(F.col("url")), F.lit("</loc>"), stamp, F.lit("</url>"))
     path = work_path(spark, "sitemap")
     head = F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">')
     _joined_documents(pages, F.floor(key / 50), item, head, "</urlset>").write.text(path)
     docs = fd.read_feed_documents(spark, path, one_per_line=True)
-    return fd.sitemap_urls(docs, F.lit("2024-01-15").cast("date"))
+    return fd.sitemap_urls(docs, F.lit("2024-01-15").cast("date"), _ARTICLE_URL)
 
 
 @query(
