@@ -138,7 +138,7 @@ def _escaped(text):
 
 @query(
     "scan_rss_items",
-    f"""WITH p AS (SELECT page_id, url, page_id // 50 AS feed, page_id % 11 = 4 AS blank, page_id % 10 = 3 AS undated,
+    rf"""WITH p AS (SELECT page_id, url, page_id // 50 AS feed, page_id % 11 = 4 AS blank, page_id % 10 = 3 AS undated,
       trim(regexp_replace(regexp_extract(html, '{_TITLE}', 1), '\s+', ' ', 'g')) AS title,
       trim(regexp_replace(html, '\s+', ' ', 'g')) AS html,
       CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) AS news_date FROM pages),
