@@ -11,8 +11,14 @@ them all. Its text is kept whole, with the headings right before it. An element
 line is a paragraph, lists, quotes, tables and figures are parts of what holds them, and an
 element among text lines belongs with these; so then the next outer element is taken. Of
 what stands before the first surge or after the last dive, blocks of links alone are left
-out if they have an element of their own or only the page holds them. A page that marks
-its article has all lines taken from there.
+out if they have an element of their own or only the page holds them.
+
+Marks (``article``, ``main``) are evidence, not an answer. Of the marked elements the one
+with most running text is taken, unless a stretch outside all of them outweighs it: then
+the marked ones are cards or teasers, and the article is sought beside them. Within the
+taken one, a marked element with at least half of the running text is the article itself;
+where its own text has that share, marked elements in it (readers' comments, teasers) go;
+else all of it is kept.
 
 The page is the unit of work: one Arrow batch of pages is held at a time, and a page's
 cost is linear in its length.
@@ -27,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html import unescape
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +70,9 @@ _BOILERPLATE = set(
     "complementary contentinfo dialog form header".split()
 )
 _CONTENT = set("article post entry content story main body text title".split())
+#: Words that keep a marked element whose class also has a word of the above.
+_STORY = set("article post entry story main hentry".split())
+_MARKED = {"article", "main"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -82,7 +92,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 def _is_boilerplate(name: str, attributes: str) -> bool:
     if name in _DROPPED:
         return True
-    if not attributes or name in ("html", "body", "main", "article"):
+    if not attributes or name in ("html", "body"):
         return False
     if _HIDDEN.search(attributes):
         return True
@@ -90,6 +100,8 @@ def _is_boilerplate(name: str, attributes: str) -> bool:
         w.lower() for _, value in _MARKS.findall(attributes) for w in _WORD.findall(value)
     }
     found = words & _BOILERPLATE
+    if name in _MARKED:
+        return bool(found) and not words & _STORY
     return bool(found) and not (found <= {"header", "form"} and words & _CONTENT)
 
 
@@ -104,9 +116,8 @@ class _Lines:
         self.texts: list[str] = []
         self.weights: list[int] = []
         self.heading: list[bool] = []
-        self.inside: list[bool] = []
         self.holders: list[int] = []
-        self.parents, self.pages = [0], {0}
+        self.parents, self.pages, self.marks = [0], {0}, set()
         self.parts: list[str] = []
         self.linked = 0
 
@@ -117,15 +128,16 @@ class _Lines:
         self.parents.append(holder)
         if name in ("html", "body"):
             self.pages.add(len(self.parents) - 1)
+        elif name in _MARKED:
+            self.marks.add(len(self.parents) - 1)
         return len(self.parents) - 1
 
-    def end(self, heading: bool, inside: bool, holder: int) -> None:
+    def end(self, heading: bool, holder: int) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             self.texts.append(text)
             self.weights.append(max(len(text) - self.linked, 0))
             self.heading.append(heading)
-            self.inside.append(inside)
             self.holders.append(holder)
         self.parts, self.linked = [], 0
 
@@ -134,7 +146,6 @@ class _Lines:
             self.texts += [""] * WINDOW
             self.weights += [0] * WINDOW
             self.heading += [False] * WINDOW
-            self.inside += [False] * WINDOW
             self.holders += [0] * WINDOW
 
 
@@ -150,7 +161,7 @@ def _lines(html: str) -> _Lines:
         while len(stack) > depth:
             name, gone, holder = stack.pop()
             dropped -= gone
-            articles -= name in ("article", "main")
+            articles -= name in _MARKED
 
     for match in _TOKEN.finditer(html):
         if match.start() > at and not dropped:
@@ -183,7 +194,7 @@ def _lines(html: str) -> _Lines:
             continue
         was_dropped = dropped
         if not dropped:
-            out.end(heading, articles > 0, holder)
+            out.end(heading, holder)
         heading = name in _HEADINGS and not ending
         links = 0
         if ending:
@@ -206,12 +217,12 @@ def _lines(html: str) -> _Lines:
                 stack.append((name, gone, holder))
                 holder = out.open(name, holder)
                 dropped += gone
-                articles += name in ("article", "main")
+                articles += name in _MARKED
         if name in _CONTAINERS and not (was_dropped or dropped):
             out.border()  # what is dropped leaves no border in the text around it
     if at < len(html) and not dropped:
         out.parts.append(unescape(html[at:]))
-    out.end(heading, articles > 0, holder)
+    out.end(heading, holder)
     return out
 
 
@@ -246,14 +257,18 @@ def _holder(lines: _Lines, chosen: list[int]) -> int:
     return node
 
 
-def main_text(html: str | None) -> str:
-    """The blocks of the main text, joined by line breaks."""
-    lines = _lines(html or "")
-    texts, weights, heading = lines.texts, lines.weights, lines.heading
-    if any(lines.inside):  # the page marks its article: all of its lines count
-        return "\n".join(t for t, inside in zip(texts, lines.inside) if inside)
+class _Stretch(NamedTuple):
+    begin: int
+    dive: int
+    peak: int
+    weight: int
+    headings: bool  # nothing else
 
-    stretches: list[tuple[int, int, int, bool]] = []  # surge, dive, peak, only headings
+
+def _stretches(lines: _Lines) -> list[_Stretch]:
+    """The runs of text lines, each from its surge to its dive."""
+    texts, weights = lines.texts, lines.weights
+    out: list[_Stretch] = []
     begin, total, peak = None, 0, 0
     for i in range(len(texts) + 1):
         total += weights[i] if i < len(texts) else 0
@@ -262,32 +277,104 @@ def main_text(html: str | None) -> str:
             begin = i if begin is None else begin
             peak = max(peak, total)
         elif begin is not None:
-            stretches.append((begin, i, peak, all(heading[begin:i])))
+            out.append(_Stretch(begin, i, peak, sum(weights[begin:i]), all(lines.heading[begin:i])))
             begin, peak = None, 0
+    return out
+
+
+def _under(lines: _Lines, tops: set[int]) -> list[int]:
+    """For each holder the nearest of ``tops`` at or above it, or -1 if there is none."""
+    out = [0 if 0 in tops else -1]
+    for node in range(1, len(lines.parents)):
+        out.append(node if node in tops else out[lines.parents[node]])
+    return out
+
+
+def _marked_article(
+    lines: _Lines, stretches: list[_Stretch], surging: set[int], roots: list[int]
+) -> tuple[int, set[int]] | None:
+    """The marked element that is the article, and the marked ones in it that are not.
+
+    None if running text outside all marked elements outweighs each of them.
+    """
+    heavy, all_text, own = ([0] * len(lines.parents) for _ in range(3))
+    outside = 0
+    for k, stretch in enumerate(stretches):
+        holder = lines.holders[stretch.begin]
+        own[holder] += 1
+        all_text[holder] += stretch.weight
+        heavy[holder] += stretch.weight if k in surging else 0
+        if roots[holder] < 0 and stretch.peak >= SURGE:
+            outside = max(outside, stretch.weight)
+    heavy, all_text, own = (_sums(w, lines.parents) for w in (heavy, all_text, own))
+    tops = [n for n in sorted(lines.marks) if roots[n] == n and own[n]]
+    if not tops:
+        return None
+    node = max(tops, key=lambda n: (heavy[n], all_text[n], -n))
+    if outside > heavy[node]:
+        return None
+    nearest = _under(lines, lines.marks)
+    kids: dict[int, list[int]] = {}
+    for n in sorted(lines.marks):
+        kids.setdefault(nearest[lines.parents[n]], []).append(n)
+    while inner := [n for n in kids.get(node, []) if own[n]]:
+        if 2 * (heavy[node] - sum(heavy[n] for n in inner)) >= heavy[node]:
+            return node, set(inner)
+        best = max(inner, key=lambda n: (heavy[n], -n))
+        if 2 * heavy[best] < heavy[node]:
+            break
+        node = best
+    return node, set()
+
+
+def main_text(html: str | None) -> str:
+    """The blocks of the main text, joined by line breaks."""
+    lines = _lines(html or "")
+    stretches = _stretches(lines)
     if not stretches:
         return ""
-    weight = [sum(weights[slice(*s[:2])]) for s in stretches]
-    heaviest = max(range(len(stretches)), key=lambda k: weight[k])
-    surging = {k for k, s in enumerate(stretches) if s[2] >= SURGE} | {heaviest}
-    first, last = min(surging), max(surging)
-    article = _holder(lines, [i for k in surging for i in range(*stretches[k][:2])])
-    within = [node == article for node in range(len(lines.parents))]
-    for node in range(1, len(within)):
-        within[node] = within[node] or within[lines.parents[node]]
-    chosen = set(range(first, last + 1))  # from the first surge to the last dive
-    for k, (begin, *_) in enumerate(stretches):
-        holder = lines.holders[begin]
-        if within[holder] and (weight[k] or (holder == article and article not in lines.pages)):
-            chosen.add(k)
+    heaviest = max(range(len(stretches)), key=lambda k: stretches[k].weight)
+    surging = {k for k, s in enumerate(stretches) if s.peak >= SURGE} | {heaviest}
+    marks = lines.marks
+    around = _under(lines, marks)
+    top = _under(lines, {n for n in marks if around[lines.parents[n]] < 0})
+    found = _marked_article(lines, stretches, surging, top) if marks else None
+    if found:
+        article, others = found
+        near = _under(lines, {article} | others)
+        chosen = {k for k, s in enumerate(stretches) if near[lines.holders[s.begin]] == article}
+        eligible = {k for k, s in enumerate(stretches) if top[lines.holders[s.begin]] == top[article]}
+    else:
+        eligible = {k for k, s in enumerate(stretches) if top[lines.holders[s.begin]] < 0}
+        if not eligible:
+            return ""
+        chosen = _unmarked_article(lines, stretches, surging & eligible or {max(eligible)}) & eligible
     for k in sorted(chosen, reverse=True):
-        while k > 0 and stretches[k - 1][3]:
+        while k - 1 in eligible and stretches[k - 1].headings:
             k -= 1
             chosen.add(k)
     return "\n".join(
-        t for k in sorted(chosen) for t in texts[stretches[k][0] : stretches[k][1]] if t
+        t for k in sorted(chosen) for t in lines.texts[stretches[k].begin : stretches[k].dive] if t
     )
 
 
+def _unmarked_article(lines: _Lines, stretches: list[_Stretch], surging: set[int]) -> set[int]:
+    """The stretches of the innermost element that holds all running text."""
+    first, last = min(surging), max(surging)
+    article = _holder(
+        lines, [i for k in surging for i in range(stretches[k].begin, stretches[k].dive)]
+    )
+    within = _under(lines, {article})
+    chosen = set(range(first, last + 1))  # from the first surge to the last dive
+    for k, stretch in enumerate(stretches):
+        holder = lines.holders[stretch.begin]
+        if within[holder] == article and (
+            stretch.weight or (holder == article and article not in lines.pages)
+        ):
+            chosen.add(k)
+    return chosen
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of ``page_id, url, html``."""
 
