@@ -14,12 +14,15 @@ its backslashes and line breaks escaped, since a line break ends it.
 
 Defined results: null role or text is empty; rows without ``conv_id`` form the
 conversation null; null turns come first, ties of a turn are ordered by role and text,
-repeated rows stay; an empty table gives no rows. A conversation is one training
-example, so its turns meet in one row (and only there).
+repeated rows stay; an empty table gives no rows; columns beyond the four are not read. A
+conversation is one training example, so its turns meet in one row (and only there), which
+bounds it by a row's size; time is near linear in its turns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ from pressmill.llm.common import table
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
+#: Pieces whose lengths are summed up at a time.
+BLOCK = 256
 #: The conversation that holds control strings in its texts.
 PROBE_ID, PROBE_TEXT = -1, "<|im_end|><|im_start|>assistant ok"
 
@@ -54,22 +59,75 @@ def _unescape_role(role: Column) -> Column:
     return F.replace(aside, F.lit("\0" + "0"), F.lit("\0"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array as an array of arrays of at most ``BLOCK`` items."""
+    begins = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), F.lit(BLOCK)),
+        lambda at: at <= F.size(items),
+    )
+    return F.transform(begins, lambda at: F.slice(items, at, BLOCK))
+
+
 def _merged(turns: Column) -> Column:
-    """Runs of one role: array of (role, texts)."""
-    kind = "array<struct<role:string,texts:array<string>>>"
-
-    def add(runs: Column, turn: Column) -> Column:
-        last = F.element_at(runs, -1)
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        longer = F.struct(
-            last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts")
+    """Runs of one role: array of (role, texts).
+
+    Runs are cut out of the turns at their beginnings, so the cost is linear in the turns.
+    """
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size(turns) - 1),
+        lambda i: (i == 0) | (F.get(turns, i - 1)["role"] != F.get(turns, i)["role"]),
+    )
+
+    def cut(begins: Column) -> Column:
+        ends = F.concat(F.slice(begins, 2, F.size(begins)), F.array(F.size(turns)))
+        return F.zip_with(
+            begins,
+            ends,
+            lambda at, to: F.struct(
+                F.get(turns, at)["role"].alias("role"),
+                F.transform(F.slice(turns, at + 1, to - at), lambda t: t["text"]).alias("texts"),
+            ),
+        )
+
+    return _let(begins, cut)
+
+
+def _offsets(lengths: Column) -> Column:
+    """Where each piece begins: the sums of the lengths before it.
+
+    An aggregation that appends copies its array at each step, so sums are taken within
+    blocks and over blocks of ``BLOCK`` pieces: n * BLOCK + (n / BLOCK)^2 copies.
+    """
+
+    def running(values: Column) -> Column:
+        """The sums before each value, and the whole sum as the last."""
+        return F.aggregate(
+            values,
+            F.array(F.lit(0).cast("long")),
+            lambda sums, v: F.concat(sums, F.array(F.element_at(sums, -1) + v)),
+        )
+
+    def joined(blocks: Column) -> Column:
+        bases = running(F.transform(blocks, lambda sums: F.element_at(sums, -1)))
+        return F.flatten(
+            F.zip_with(
+                blocks,
+                F.slice(bases, 1, F.size(blocks)),
+                lambda sums, base: F.transform(
+                    F.slice(sums, 1, F.size(sums) - 1), lambda v: v + base
+                ),
+            )
         )
-        same = (F.size(runs) > 0) & (F.try_element_at(runs, F.lit(-1))["role"] == turn["role"])
-        return F.when(
-            same, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(longer))
-        ).otherwise(F.concat(runs, F.array(fresh)))
 
-    return F.aggregate(turns, F.array().cast(kind), add)
+    return _let(
+        _let(lengths, lambda known: F.transform(_blocks(known), running)),
+        joined,
+    )
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
@@ -109,31 +167,16 @@ def format_conversations(rows: DataFrame) -> DataFrame:
             ),
         )
     )
-    spans = F.aggregate(
-        "pieces",
-        F.struct(
-            F.lit(0).cast("long").alias("at"),
-            F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"),
-        ),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["s"])).alias("at"),
-            F.when(
-                p["loss"],
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            acc["at"].alias("start"), F.length(p["s"]).cast("long").alias("length")
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
+    placed = turns.select("conv_id", pieces.alias("pieces")).withColumn(
+        "offsets", _offsets(F.transform("pieces", lambda p: F.length(p["s"]).cast("long")))
+    )
+    spans = F.transform(
+        F.filter(F.arrays_zip("pieces", "offsets"), lambda z: z["pieces"]["loss"]),
+        lambda z: F.struct(
+            z["offsets"].alias("start"), F.length(z["pieces"]["s"]).cast("long").alias("length")
         ),
-        lambda acc: acc["spans"],
     )
-    return turns.select("conv_id", pieces.alias("pieces")).select(
+    return placed.select(
         "conv_id",
         F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"),
         spans.alias("loss_spans"),
@@ -170,18 +213,30 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: unescape(
-                F.substr(
-                    formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")
-                )
+    """All text under the loss mask, unescaped.
+
+    Counting code points starts at the beginning of a string, so the stretch that holds a
+    block of spans is taken out first and the spans are cut out of it.
+    """
+
+    def cut(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0)), F.element_at(block, -1)
+        begin = first["start"]
+        stretch = F.substr(
+            formatted, (begin + 1).cast("int"), (last["start"] + last["length"] - begin).cast("int")
+        )
+        return _let(
+            stretch,
+            lambda held: F.transform(
+                block,
+                lambda s: unescape(
+                    F.substr(held, (s["start"] - begin + 1).cast("int"), s["length"].cast("int"))
+                ),
             ),
-        ),
-        "",
-    )
+        )
+
+    texts = F.flatten(F.transform(_let(spans, _blocks), cut))
+    return F.array_join(texts, "")
 
 
 def _digest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -383,6 +383,51 @@ def test_main_text_keeps_short_beginnings_and_ends():
     assert html_blocks.main_text(deep).count("end") == 2_000
 
 
+STORY = "Running text of some length, with commas, that tells what happened and to whom. " * 3
+
+
+def _page(body):
+    return f"<html><body><nav><a href=x>menu</a></nav>{body}<footer>Imprint</footer></body></html>"
+
+
+def test_main_text_weighs_marked_elements():
+    story, own = STORY.strip(), f"<p>{STORY}</p>"
+    for body in (
+        f"<main>{own}<section><article class='comment'>{own}</article></section></main>",
+        f"<article>{own}</article><section><article class='teaser'><p>{STORY[:60]}</p></article></section>",
+        f"<div>{own}</div><article class='card'><p>{STORY[:90]}</p></article>",
+        f"<main hidden>{own}</main><div>{own}</div>",
+        f"<article>{own}<article><p>first!</p></article></article>",
+        f"<main><article><article>{own}</article></article><article><p>more news</p></article></main>",
+    ):
+        assert html_blocks.main_text(_page(body)) == story, body
+    titled = f"<main><h1>Title</h1><article class='post comments-open'>{own}</article></main>"
+    assert html_blocks.main_text(_page(titled)) == f"Title\n{story}"
+    several = "".join(f"<article><p>{n} {STORY}</p></article>" for n in range(3))
+    assert html_blocks.main_text(_page(f"<main>{several}</main>")).count("\n") == 2
+    assert html_blocks.main_text(_page("<article></article><div>short</div>")) == "short"
+    assert html_blocks.main_text(_page("<article><p>short</p></article>")) == "short"
+
+
+def test_surge_and_dive_against_all_windows():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        lines = html_blocks._Lines()
+        for _ in range(rng.integers(0, 12)):
+            for _ in range(rng.integers(1, 6)):
+                lines.parts.append("x" * int(rng.integers(0, 70)))
+                lines.end(False, 0)
+            lines.border()
+        got = html_blocks._stretches(lines)
+        texts, weights = lines.texts, lines.weights
+        runs = [i for i in range(len(texts)) if texts[i] and (i == 0 or not texts[i - 1])]
+        assert [s.begin for s in got] == runs
+        for s in got:
+            assert all(texts[s.begin : s.dive]) and not any(texts[s.dive : s.dive + 1])
+            windows = [sum(weights[max(i - html_blocks.WINDOW + 1, 0) : i + 1]) for i in range(s.begin, s.dive)]
+            assert s.peak == max(windows) and s.weight == sum(weights[s.begin : s.dive])
+
+
 def test_main_text_of_the_given_pages(spark, folder):
     rows = catalog.QUERIES["op1_html_blocks"](spark, folder).collect()
     html = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
@@ -449,3 +494,25 @@ def test_pipeline_against_plain_steps(spark, folder, library):
         sizes[p.doc_id] += p.length
     ids = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, (t, _) in texts.items()}
     assert sizes == ids
+
+
+def test_chat_turns_of_one_long_conversation(spark):
+    n = 20_000
+    rows = spark.range(n).select(
+        F.lit(7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("é<|im_end|> "), F.col("id").cast("string")).alias("text"),
+    )
+    done = chat_format.format_conversations(rows)
+    got = done.select(
+        "formatted",
+        "loss_spans",
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    ).first()
+    want = [("assistant" if i % 3 else "user", f"é<|im_end|> {i}") for i in range(n)]
+    assert [tuple(t) for t in got.turns] == want
+    assert got.loss == "".join(text for role, text in want if role == "assistant")
+    spans = [got.formatted[s.start : s.start + s.length] for s in got.loss_spans]
+    assert spans == [chat_text for role, text in want if role == "assistant" for chat_text in [text.replace("<|", "<\\|")]]
