@@ -66,6 +66,11 @@ def read_documents(
         paths = _wanted_folders(spark, path.rstrip("/"), sources, topics)
     if not paths:
         return spark.createDataFrame([], "file string, source string, topic string, body string")
+    return read_files(spark, paths, one_per_line)
+
+
+def read_files(spark: SparkSession, paths: list[str], one_per_line: bool = False) -> DataFrame:
+    """The documents of files or folders, as ``read_documents`` gives them."""
     reader = spark.read.option("recursiveFileLookup", "true")
     return reader.text(paths, wholetext=not one_per_line).select(
         F.col("_metadata.file_path").alias("file"),
@@ -106,11 +111,15 @@ def scan_entries(docs: DataFrame) -> DataFrame:
 
 
 def scan_articles(docs: DataFrame) -> DataFrame:
-    """A row per article with its document, source, topic, day key and position.
+    """A row per article with its document, source, topic, day key and position."""
+    return entry_articles(scan_entries(docs))
+
+
+def entry_articles(entries: DataFrame) -> DataFrame:
+    """The articles of day entries.
 
     ``items`` is used, or the older ``articles`` where items is missing or empty.
     """
-    entries = scan_entries(docs)
     listed = F.when(F.size("entry.items") > 0, F.col("entry.items")).otherwise(
         F.col("entry.articles")
     )
