@@ -8,6 +8,7 @@ from pressmill.operators import articles as ar
 from pressmill.plans.registry import query
 from pressmill.plans.standins import ART, articles, table
 from pressmill.session import work_path
+from pressmill.sources import cache_ranges as cr
 from pressmill.sources import day_cache as dc
 from pressmill.sources import feeds as fd
 from pressmill.sources import pages as pg
@@ -54,6 +55,21 @@ def scan_day_cache(spark, d):
     return out.select("source", "topic", "day", "pos", "url", "title", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "scan_cache_ranges",
+    f"""WITH {ART} SELECT source, topic, CAST(DATE '2000-01-01' + CAST((ord // 20) % 36500 AS INTEGER) AS VARCHAR) AS day,
+      CAST(row_number() OVER (PARTITION BY source, topic, (ord // 20) % 36500 ORDER BY ord) - 1 AS INTEGER) AS pos,
+      url, title, md5(text) AS text_md5 FROM art""",
+)
+def scan_cache_ranges(spark, d):
+    """documents as one indented cache document per source and topic, read by ranges."""
+    day = F.date_add(F.lit("2000-01-01").cast("date"), (F.floor(F.col("ord") / 20) % 36500).cast("int"))
+    rows = articles(spark, d).withColumn("day", day.cast("string"))
+    path = dc.stage_indented(rows, spark)
+    out = dc.entry_articles(cr.scan_entries(spark, path))
+    return out.select("source", "topic", "day", "pos", "url", "title", F.md5("text").alias("text_md5"))
+
+
 @query(
     "scan_corrupt_tolerant",
     f"""WITH {CACHED}, docs AS (SELECT src, topic, chunk, count(*) AS n FROM cached GROUP BY ALL),

@@ -250,3 +250,49 @@ def stage_documents(articles: DataFrame, spark: SparkSession) -> str:
         "source", "topic"
     ).text(path)
     return path
+
+
+def stage_indented(articles: DataFrame, spark: SparkSession) -> str:
+    """Write articles as one indented document per source and topic, a line per day.
+
+    ``articles`` has ``source, topic, day, ord`` and the item fields; a day of a source and
+    topic must hold a bounded number of rows, a document need not.
+    """
+    path = work_path(spark, "day_cache")
+    part = ["source", "topic"]
+    fields = ["url", "title", "date", "text", "matched_keyword"]
+    item = F.struct("ord", F.struct(*[c for c in fields if c in articles.columns]).alias("item"))
+    days = articles.groupBy(*part, "day").agg(F.array_sort(F.collect_list(item)).alias("held"))
+    entry = F.struct(
+        F.col("day").alias("date"),
+        F.lit("processed").alias("status"),
+        F.size("held").cast("long").alias("links_found"),
+        F.transform("held", lambda h: h["item"]).alias("items"),
+    )
+    ends = days.groupBy(*part).agg(F.max("day").alias("last"))
+    lines = days.join(ends, part).select(
+        *part,
+        F.col("day").alias("place"),
+        F.concat(
+            F.lit('    "'),
+            "day",
+            F.lit('": '),
+            F.to_json(entry),
+            F.when(F.col("day") == F.col("last"), F.lit("")).otherwise(F.lit(",")),
+        ).alias("value"),
+    )
+    review_rooted = [s.id for s in SOURCES if s.root_key == "reviews"]
+    root = F.when(F.col("source").isin(review_rooted), F.lit("reviews")).otherwise(F.lit("days"))
+    head = F.concat(F.lit('{\n  "'), root, F.lit('": {'))
+    first = ends.select(*part, F.lit("").alias("place"), head.alias("value"))
+    tail = ends.select(*part, F.lit("~").alias("place"), F.lit("  }\n}").alias("value"))
+    (
+        lines.unionByName(first)
+        .unionByName(tail)
+        .repartition(*part)
+        .sortWithinPartitions(*part, "place")
+        .drop("place")
+        .write.partitionBy(*part)
+        .text(path)
+    )
+    return path
