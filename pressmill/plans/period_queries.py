@@ -14,6 +14,7 @@ from pressmill.plans.standins import ART, articles, table
 from pressmill.session import work_path
 from pressmill.sources import day_cache as dc
 from pressmill.streaming import ingest as st
+from pressmill.streaming.versions import refresh_changed
 
 
 def _bare_url():
@@ -230,15 +231,13 @@ def stream_dedupe(spark, d):
     return spark.read.schema(stream.schema).parquet(out).select("user_id", "event_type")
 
 
-@query(
-    "stream_late_refresh",
-    """WITH e AS (SELECT event_type AS source, CAST(ts AS DATE) AS day, event_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+_REFRESHED = """WITH e AS (SELECT event_type AS source, CAST(ts AS DATE) AS day, event_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
     s AS (SELECT *, CASE WHEN event_id % 3 = 0 AND day > DATE '2024-01-30' - 10 THEN cents + 1 ELSE cents END AS now FROM e WHERE source <> 'error')
     SELECT source, day, count(*) AS n, CAST(sum(now) AS BIGINT) AS cents FROM s GROUP BY ALL
-    UNION ALL SELECT source, day, count(*), CAST(sum(cents) AS BIGINT) FROM e WHERE source = 'error' GROUP BY ALL""",
-)
-def stream_late_refresh(spark, d):
-    """Days land, then edited rows for all of them and one source that came late."""
+    UNION ALL SELECT source, day, count(*), CAST(sum(cents) AS BIGINT) FROM e WHERE source = 'error' GROUP BY ALL"""
+
+
+def _refreshed(spark, d, refresh):
     rows = table(spark, d, "events").select(
         F.col("event_type").alias("source"),
         F.lit("all").alias("topic"),
@@ -257,11 +256,37 @@ def stream_late_refresh(spark, d):
     for lot in lots:
         lot.write.mode("append").parquet(landing)
         source = st.landed(spark, landing, rows.schema)
-        _run(st.late_refresh(source, out, ["source", "event_id"], "version", out + "_checkpoint", 10))
+        _run(refresh(source, out))
     held = spark.read.schema(rows.schema).parquet(out)
     return held.groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
 
 
+@query(
+    "stream_late_refresh",
+    _REFRESHED,
+)
+def stream_late_refresh(spark, d):
+    """Days land, then edited rows for all of them and one source that came late."""
+
+    def refresh(source, out):
+        return st.late_refresh(source, out, ["source", "event_id"], "version", out + "_checkpoint", 10)
+
+    return _refreshed(spark, d, refresh)
+
+
+@query(
+    "stream_refresh_changed",
+    _REFRESHED,
+)
+def stream_refresh_changed(spark, d):
+    """The same rows with the newest versions held as state."""
+
+    def refresh(source, out):
+        return refresh_changed(source, out, ["source", "event_id"], "version", out + "_checkpoint", 10)
+
+    return _refreshed(spark, d, refresh)
+
+
 @query(
     "stream_daily_counts",
     "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL",

@@ -1,7 +1,9 @@
+from datetime import date
 
 from pressmill.operators.periods import PeriodStore
 from pressmill.session import work_path
 from pressmill.streaming import ingest as st
+from pressmill.streaming import versions
 
 
 def _land(spark, rows, schema, path):
@@ -75,3 +77,30 @@ def test_counts_close_with_the_watermark(spark):
     assert run([1, 1, 2]) == set()
     assert run([2, 3, 20]) == {(1, 2), (2, 2), (3, 1)}
     assert run([3, 21]) == {(1, 2), (2, 2), (3, 1)}
+
+
+def test_changed_versions_open_their_own_days_only(spark):
+    schema = "source string, topic string, day date, k long, v long, version int"
+    landing, table = work_path(spark, "landing"), work_path(spark, "days")
+    fields = spark.createDataFrame([], schema).schema
+
+    def run(rows):
+        _land(spark, [("s", "t", date(2024, 1, d), k, v, ver) for d, k, v, ver in rows], schema, landing)
+        stream = st.landed(spark, landing, fields)
+        versions.refresh_changed(
+            stream, table, ["source", "k"], "version", table + "_checkpoint", 4
+        ).awaitTermination()
+        held = spark.read.schema(fields).parquet(table)
+        files = {f for (f,) in held.select("_metadata.file_path").distinct().collect()}
+        return sorted((r.day.day, r.k, r.v) for r in held.collect()), files
+
+    held, files = run([(1, 1, 10, 0), (8, 3, 80, 0), (9, 2, 90, 0), (10, 4, 100, 0), (10, 4, 99, -1)])
+    assert held == [(1, 1, 10), (8, 3, 80), (9, 2, 90), (10, 4, 100)]
+    # Day 1 is closed, day 5 was never held, key 4 is edited, an old version comes late.
+    held, later = run([(1, 1, 11, 1), (5, 5, 50, 1), (10, 4, 101, 1), (9, 2, 0, -1)])
+    assert held == [(1, 1, 10), (5, 5, 50), (8, 3, 80), (9, 2, 90), (10, 4, 101)]
+    assert len(files & later) == 3  # days 1, 8 and 9 are as they were
+    # A row moves: its day is left empty and goes.
+    held, last = run([(10, 3, 81, 2)])
+    assert held == [(1, 1, 10), (5, 5, 50), (9, 2, 90), (10, 3, 81), (10, 4, 101)]
+    assert len(later & last) == 3
