@@ -25,7 +25,8 @@ cost is linear in its length.
 
 Defined results: null or empty html gives an empty text; a page without text gives an
 empty text; broken or cut-off markup is read as far as it goes; repeated rows and null
-ids stay; an empty table gives no rows.
+ids stay; an empty table gives no rows; columns beyond the three are not read, so no name
+clashes.
 """
 
 from __future__ import annotations
