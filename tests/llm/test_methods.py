@@ -284,12 +284,48 @@ def test_merkle_edits_and_likeness(spark):
         merkle.root(merkle.tree(F.col("a"))).alias("ra"),
         merkle.root(merkle.tree(F.col("b"))).alias("rb"),
         merkle.edits(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("edits"),
-        merkle.likeness(merkle.leaves(F.col("a")), merkle.leaves(F.col("b"))).alias("near"),
+        merkle.likeness(merkle.nodes(F.col("a")), merkle.nodes(F.col("b"))).alias("near"),
     )
     got = row.first()
     assert got.ra != got.rb
     assert [tuple(e) for e in got.edits] == [(0, 1), (1, 2)]
-    assert got.near == pytest.approx(2 * 3 / 9)
+    assert got.near == pytest.approx(_plain_likeness(a, b))
+
+
+def _plain_nodes(text):
+    leaves, held = [], ""
+    for c in text:
+        held += "" if c == "\n" else c
+        if c == "\n" or c in "dkгж" or "\u3000" <= c <= "\udfff" and ord(c) % 4096 < 128 or len(held) == 64:
+            leaves.append(held)
+            held = ""
+    levels = enumerate([[*leaves, held], text.split("\n"), text.split("\n\n")])
+    return {(i, part) for i, parts in levels for part in parts if part}
+
+
+def _plain_likeness(a, b):
+    x, y = _plain_nodes(a), _plain_nodes(b)
+    if max(len(a), len(b)) <= 128:
+        x, y = ({("\n\n" + t)[i : i + 3] for i in range(len(t))} for t in (a, b))
+    return 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+
+
+def test_merkle_likeness_follows_the_content(spark):
+    words = [f"{'aeiou'[i % 5]}w{i * 7919 % 1000}d" for i in range(300)]
+    long, solid = " ".join(words), "".join(words)
+    han = "".join(chr(0x4E00 + i * 7907 % 20000) for i in range(900))
+    pairs = [(t, "x" + t) for t in (long, solid, han)]  # one more code point in front
+    halves = ["ab", "hello", "Short one.", long, solid, han, "aaaa" * 50, "q" * 129]
+    pairs += [(t, t[: len(t) - len(t) // 2] + "#" * (len(t) // 2)) for t in halves]
+    pairs += [("", ""), ("", "a"), ("\n\n\n", "\n\nab"), (long, words[0])]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    near = merkle.likeness(merkle.nodes(F.col("a")), merkle.nodes(F.col("b")))
+    got = {r.i: r.near for r in rows.select("i", near.alias("near")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        assert got[i] == pytest.approx(_plain_likeness(a, b)), (i, a[:20])
+    assert min(got[i] for i in range(3)) > 0.85
+    assert min(got[3 + i] for i in range(len(halves))) > 0
+    assert got[11] == 1 and got[12] == 0
 
 
 def test_chat_merges_and_reads_back(spark):
