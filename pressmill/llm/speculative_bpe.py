@@ -8,7 +8,8 @@ Only words with a failing pair are merged exactly.
 
 Defined results: a null text is empty and has no ids; ids decode as the tokens joined
 by one space, as the library does for a file without a decoder; special tokens' strings
-in a text are those tokens; repeated rows stay; an empty table gives no rows.
+in a text are those tokens; repeated rows stay; further columns are not read, whatever
+their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -213,51 +214,71 @@ class WordBpe:
             for pieces in split
         ]
 
-    def tokens(self) -> pa.Array:
-        names = [""] * (max(max(self.vocab.values()), *self.special.values()) + 1)
-        for token, i in (self.vocab | self.special).items():
-            names[i] = token
-        return pa.array(names)
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> ChunkEncoder:
+    return ChunkEncoder(WordBpe(path).encode_chunks)
 
 
 @lru_cache(maxsize=2)
-def _worker(path: str) -> tuple[WordBpe, ChunkEncoder, pa.Array]:
-    bpe = WordBpe(path)
-    return bpe, ChunkEncoder(bpe.encode_chunks), bpe.tokens()
+def _tokens(path: str) -> pa.Array:
+    """The tokens by id; decoding needs nothing else of the file."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    ids = file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}
+    names = [""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        names[i] = token
+    return pa.array(names)
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, ids`` (array of int) of every whole text."""
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    encoder = _encoder(path)
+    for batch in steps(batches):
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        ids = id_lists(list(encoder.texts(texts)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encoder, _ = _worker(path or default_path())
-        for batch in steps(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = id_lists(list(encoder.texts(texts)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    tokens = _tokens(path)
+    for batch in batches:
+        ids = batch.column(1)
+        ends = pc.subtract(ids.offsets, ids.offsets[0])
+        words = pa.ListArray.from_arrays(ends, tokens.take(ids.flatten()))
+        text = pc.binary_join(words, " ")
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids, text], ["doc_id", "ids", "text"])
 
 
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, ids, text``: the tokens of ``ids`` joined by one space."""
+_IDS, _BOTH = "doc_id long, ids array<int>", "doc_id long, ids array<int>, text string"
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, tokens = _worker(path or default_path())
-        for batch in steps(batches):
-            ids = batch.column(1)
-            ends = pc.subtract(ids.offsets, ids.offsets[0])
-            words = pa.ListArray.from_arrays(ends, tokens.take(ids.flatten()))
-            text = pc.binary_join(words, " ")
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, text], ["doc_id", "ids", "text"])
 
+def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id, ids`` (array of int) of every whole text."""
+    file = path or default_path()
+    return _texts(docs).mapInArrow(lambda batches: _encoded(batches, file), _IDS)
+
+
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id, ids, text``: the tokens of ``ids`` joined by one space."""
+    file = path or default_path()
     return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, ids array<int>, text string"
+        lambda batches: _decoded(steps(batches), file), _BOTH
     )
 
 
+def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``decode(encode(docs))`` by one worker per task, not two."""
+    file = path or default_path()
+    return _texts(docs).mapInArrow(lambda batches: _decoded(_encoded(batches, file), file), _BOTH)
+
+
 def _digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = decode(encode(table(spark, sf_dir, "documents")))
+    back = encode_and_decode(table(spark, sf_dir, "documents"))
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -87,6 +87,23 @@ def test_encoding_query(spark, folder, documents, library):
         assert mine.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
 
 
+def test_one_worker_gives_what_two_give(spark, library, strange_texts):
+    texts = [*strange_texts, None, "", "one <|endoftext|> two", "long " * 50_000]
+    rows = spark.createDataFrame(
+        [(i, t, "x") for i, t in enumerate(texts)], "doc_id int, text string, ids string"
+    )  # a further column with the name of a result
+    plan = speculative_bpe.encode_and_decode(rows)._jdf.queryExecution().toString()
+    assert plan.split("Physical Plan")[1].count("MapInArrow") == 1
+    both = {r.doc_id: r for r in speculative_bpe.encode_and_decode(rows).collect()}
+    apart = speculative_bpe.decode(speculative_bpe.encode(rows)).collect()
+    assert len(both) == len(apart) == len(texts)
+    for r in apart:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert (r.ids, r.text) == (both[r.doc_id].ids, both[r.doc_id].text)
+        assert r.ids == ids and r.text == library.decode(ids, skip_special_tokens=False)
+    assert speculative_bpe.encode_and_decode(rows.where("false")).count() == 0
+
+
 def test_packing_holds_every_id_once(spark, folder, documents, library):
     pieces = catalog.QUERIES["op9_nnls_packing"](spark, folder).collect()
     ids = {r.doc_id: [*library.encode(r.text, add_special_tokens=False).ids, 1] for r in documents}
