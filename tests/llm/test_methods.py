@@ -380,6 +380,29 @@ def test_shards_match_the_mixture(spark):
         assert max(counts) - min(counts) <= 2
 
 
+def test_shards_against_a_plain_ranking(spark):
+    from pressmill.llm import interleave
+
+    # One source holds most rows, one is null, rows repeat.
+    data = [(i, [None, "a", "b", "b", "b", "b", "c"][i % 7]) for i in range(400)] + [(3, "b")] * 2
+    rows = spark.createDataFrame(data, "doc_id long, source string")
+    mix = F.xxhash64(F.lit(interleave.SEED), "doc_id").alias("mix")
+    groups = {}
+    for r in rows.select("doc_id", "source", mix).collect():
+        groups.setdefault(r.source, []).append((r.mix, r.doc_id))
+    order = sorted(
+        ((n + 0.5) / len(held), source is not None, source or "", *row)
+        for source, held in groups.items()
+        for n, row in enumerate(sorted(held))
+    )
+    total, want = len(order), []
+    for place, (_, _, _, _, doc_id) in enumerate(order):
+        s = next(s for s in range(8) if place < -(-(s + 1) * total // 8))
+        want.append((doc_id, s, place - -(-s * total // 8)))
+    got = interleave.shard(rows, ["doc_id"], "source").collect()
+    assert sorted((r.doc_id, r["shard"], r.slot) for r in got) == sorted(want)
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
