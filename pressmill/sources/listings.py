@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressmill.functions.dates import parse_source_date
 from pressmill.functions.text import normalize_whitespace, resolve_url
 from pressmill.operators.articles import title_link_match
 from pressmill.sources import markup
-from pressmill.sources.pages import extract_links
+from pressmill.sources.pages import extract_links, read_pages
 
 
 @dataclass(frozen=True)
@@ -52,7 +50,6 @@ LISTINGS = {
 
 def listing_items(pages: DataFrame, profile: ListingProfile, base_url: str, id_col: str, html_col: str = "html") -> DataFrame:
     """``(id, pos, title, url, news_date)`` of the dated entries with a link."""
-    id_type = pages.schema[id_col].dataType.simpleString()
 
     def entry(card: markup.Element):
         link = card.find(profile.link) if profile.link else card
@@ -66,17 +63,12 @@ def listing_items(pages: DataFrame, profile: ListingProfile, base_url: str, id_c
         title = link.attrs.get("title", "").strip() if profile.link_title else ""
         return href, title or link.text(sep), around.text("" if profile.date else " ")
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, html in zip(batch[id_col], batch[html_col]):
-                cards = markup.parse(html, profile.close_paragraphs).find_all(profile.card)
-                rows += [(key, pos, *found) for pos, found in enumerate(map(entry, cards)) if found]
-            yield pd.DataFrame(rows, columns=[id_col, "pos", "href", "title", "raw_date"])
+    def read(html: str) -> list[tuple]:
+        cards = markup.parse(html, profile.close_paragraphs).find_all(profile.card)
+        return [(pos, *found) for pos, found in enumerate(map(entry, cards)) if found]
 
-    found = pages.select(id_col, html_col).mapInPandas(
-        read, f"{id_col} {id_type}, pos long, href string, title string, raw_date string"
-    )
+    columns = {"pos": "long", "href": "string", "title": "string", "raw_date": "string"}
+    found = read_pages(pages, id_col, html_col, read, columns)
     return found.select(
         id_col,
         "pos",
@@ -88,17 +80,12 @@ def listing_items(pages: DataFrame, profile: ListingProfile, base_url: str, id_c
 
 def page_lines(pages: DataFrame, id_col: str, html_col: str = "html") -> DataFrame:
     """``(id, lines)``: the visible text of a page as an array of lines."""
-    id_type = pages.schema[id_col].dataType.simpleString()
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines = [
-                [line for text in markup.parse(html).strings() for line in map(str.strip, text.splitlines()) if line]
-                for html in batch[html_col]
-            ]
-            yield pd.DataFrame({id_col: batch[id_col], "lines": lines})
+    def read(html: str) -> list[tuple]:
+        texts = markup.parse(html).strings()
+        return [([line for text in texts for line in map(str.strip, text.splitlines()) if line],)]
 
-    return pages.select(id_col, html_col).mapInPandas(read, f"{id_col} {id_type}, lines array<string>")
+    return read_pages(pages, id_col, html_col, read, {"lines": "array<string>"})
 
 
 def timed_entries(lines: Column) -> Column:

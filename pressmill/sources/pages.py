@@ -7,7 +7,7 @@ crosses from one page to another.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 import datetime
 from html import unescape as html_unescape
@@ -15,6 +15,7 @@ import json
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -200,22 +201,50 @@ def _date(root: markup.Element, profile: PageProfile) -> str:
     return ""
 
 
+# Pages read before their rows are handed on; an Arrow batch has thousands of pages.
+PAGES_AT_ONCE = 64
+_KINDS = {"string": pa.string(), "long": pa.int64(), "array<string>": pa.list_(pa.string())}
+
+
+def _read_batches(
+    batches: Iterator[pa.RecordBatch], read: Callable[[str], list[tuple]], columns: dict[str, str]
+) -> Iterator[pa.RecordBatch]:
+    """The key of a page before each row of ``read(html)``, for batches of keys and pages."""
+    for batch in batches:
+        schema = pa.schema([batch.schema.field(0), *(pa.field(n, _KINDS[k]) for n, k in columns.items())])
+        for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+            part = batch.slice(at, PAGES_AT_ONCE)
+            keyed = zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+            rows = [(key, *row) for key, html in keyed for row in read(html)]
+            cells = zip(*rows) if rows else [()] * len(schema)
+            arrays = [pa.array(cell, field.type) for cell, field in zip(cells, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def read_pages(
+    pages: DataFrame, id_col: str, html_col: str, read: Callable[[str], list[tuple]], columns: dict[str, str]
+) -> DataFrame:
+    """``id`` and ``columns`` (name to Spark type) of each row of ``read(html)``.
+
+    Few pages at a time become Python strings and trees, so a worker's memory does not
+    grow with the rows of a batch.
+    """
+    id_type = pages.schema[id_col].dataType.simpleString()
+    kept = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    return pages.select(id_col, html_col).mapInArrow(
+        lambda batches: _read_batches(batches, read, columns), f"{id_col} {id_type}, {kept}"
+    )
+
+
 def extract_articles(pages: DataFrame, profile: PageProfile, id_col: str, html_col: str = "html") -> DataFrame:
     """``(id, title, date, text)`` of each page; ``""`` where nothing is found."""
-    id_type = pages.schema[id_col].dataType.simpleString()
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, html in zip(batch[id_col], batch[html_col]):
-                root = markup.parse(html, profile.close_paragraphs)
-                # The title first: reading the body may drop elements.
-                rows.append((key, _title(root, profile.title), _date(root, profile), _body_text(root, profile)))
-            yield pd.DataFrame(rows, columns=[id_col, "title", "date", "text"])
+    def read(html: str) -> list[tuple]:
+        root = markup.parse(html, profile.close_paragraphs)
+        # The title first: reading the body may drop elements.
+        return [(_title(root, profile.title), _date(root, profile), _body_text(root, profile))]
 
-    return pages.select(id_col, html_col).mapInPandas(
-        read, f"{id_col} {id_type}, title string, date string, text string"
-    )
+    return read_pages(pages, id_col, html_col, read, {"title": "string", "date": "string", "text": "string"})
 
 
 def review_entries(

@@ -1,5 +1,6 @@
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pressmill.sources import day_cache as dc
@@ -106,6 +107,22 @@ def test_page_profiles(spark):
     assert read(spark, "rbc", None).text == ""
 
 
+def test_few_pages_are_read_at_a_time():
+    seen = []
+    ids = pa.array(range(1000), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array([f"<p>{i}</p>" for i in range(1000)])], ["id", "html"])
+
+    def read(html):
+        seen.append(html)
+        return [(html,)] * (len(seen) % 2)
+
+    parts = pg._read_batches(iter([batch]), read, {"text": "string"})
+    first = next(parts)
+    assert 0 < len(seen) <= 64
+    rows = [row for part in [first, *parts] for row in part.to_pylist()]
+    assert rows == [{"id": i, "text": f"<p>{i}</p>"} for i in range(0, 1000, 2)]
+
+
 def test_review_entries(spark):
     html = """<h3>Other</h3><p><a href="cons_doc_LAW_0">{long} zero</a></p>
     <h3>Tax and duties</h3><p><a href="/cons_doc_LAW_1">{long} one</a></p><p><strong>Headline</strong></p><p>line 1</p><p>line 2</p>
