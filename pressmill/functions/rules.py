@@ -120,6 +120,33 @@ def needed_texts(pattern: str) -> tuple[str, ...]:
     return tuple(sorted(found))
 
 
+#: Parts of a pattern that look at nothing but the characters they match.
+_PLAIN_PARTS = {"LITERAL", "NOT_LITERAL", "ANY", "IN", "BRANCH", "SUBPATTERN", "MAX_REPEAT", "MIN_REPEAT"}
+
+
+def is_local(pattern: str, width: int) -> bool:
+    """No match is wider than ``width``, and none depends on the text around it."""
+    parsed = _parsed(pattern)
+    # Flags set within the pattern, and classes that Java reads in another way.
+    if parsed is None or "(?" in pattern.replace("(?:", "") or re.search(r"\[\[|\[\^?\]|&&", pattern):
+        return False
+    return parsed.getwidth()[1] <= width and _looks_inside(parsed)
+
+
+def _looks_inside(sequence) -> bool:
+    for op, value in sequence:
+        name = str(op)
+        if name not in _PLAIN_PARTS:
+            return False
+        if name == "BRANCH":
+            parts = value[1]
+        else:
+            parts = [value[-1]] if name == "SUBPATTERN" or name.endswith("_REPEAT") else []
+        if not all(map(_looks_inside, parts)):
+            return False
+    return True
+
+
 def _needed(sequence) -> frozenset[str]:
     """The most telling set of alternatives one element of a sequence demands."""
     options, run = [], ""

@@ -1,10 +1,13 @@
-"""Rule tables of any size: an inverted index from required trigrams to rules.
+"""Rule tables of any size: an inverted index from required texts to rules.
 
 Rules are rows, not plan literals. From each pattern come the texts of which every match
-holds one; each such text is indexed by its trigram that is rarest among all rules. An
-article's distinct trigrams are joined with the index, and only the pairs found so run
-the rule's pattern, which is a column. Rules that demand no text of three characters can
-match any article and are tried on each; they are dealt over ``SLICES`` keys.
+holds one; each distinct text is indexed by its gram that is rarest among all of them, of
+five characters or, for a shorter text, of three. An article's distinct grams are joined
+with the index, each text found so is looked up in the article once for all its rules, and
+only the rules whose text is there run their pattern, which is a column. A pattern of bounded
+width that looks at its match alone runs on the article's parts that hold the text. Rules that demand
+no text of three characters can match any article and are tried on each; they are dealt
+over ``SLICES`` keys.
 
 Defined results: those of the literal form (``rules.rule_hits_long``); rules that are
 equal rows hit as often as they occur; a null pattern never hits; an article needs a
@@ -23,29 +26,60 @@ from pressmill.functions.text import search_text
 from pressmill.session import written
 
 SLICES = 16
+#: Characters of a gram; three in five letters are in every long article, five are not.
+SHORT, LONG = 3, 5
+#: Characters at which a match may start in a part of an article, and the widest match.
+STEP, WIDTH = 1000, 60
 _RULE = ["profile", "kind", "seq", "label", "pattern"]
 
 
 def _demands(rules: DataFrame) -> DataFrame:
-    """``rules`` with ``needed`` (texts of which a match holds one) and ``may_be_empty``."""
+    """``rules`` with ``needed`` (texts of which a match holds one), ``may_be_empty`` and ``local``."""
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             part["needed"] = [list(rx.needed_texts(p)) for p in part["pattern"]]
             part["may_be_empty"] = [rx.may_be_empty(p) for p in part["pattern"]]
+            part["local"] = [rx.is_local(p, WIDTH) for p in part["pattern"]]
             yield part
 
     kinds = ", ".join(f"{n} {k}" for n, k in rules.dtypes)
-    return rules.mapInPandas(read, f"{kinds}, needed array<string>, may_be_empty boolean")
+    return rules.mapInPandas(read, f"{kinds}, needed array<string>, may_be_empty boolean, local boolean")
 
 
-def _grams(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{3}))"), 1))
+def _grams(text: Column, size: int) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
 
 
-def _any_key(number: Column) -> Column:
-    """The key under which articles meet the rules that demand no text."""
-    return F.concat(F.lit("any "), F.pmod(F.xxhash64(number), F.lit(SLICES)).cast("string"))
+def _parts(text: Column) -> Column:
+    """Overlapping parts of a text; each match of a local pattern lies in that of its start.
+
+    Places in a part are told in UTF-16 units, so a text with wider characters is one part.
+    """
+    wide = F.regexp_like(text, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+    step = F.when(wide, F.greatest(F.length(text), F.lit(1))).otherwise(F.lit(STEP))
+    last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / step)
+    cut = F.transform(
+        F.sequence(F.lit(0).cast("long"), last),
+        lambda i: F.substr(text, (i * step + 1).cast("int"), (step + WIDTH).cast("int")),
+    )
+    limit = F.when(wide, F.lit(2**31 - 1)).otherwise(F.lit(STEP))
+    return F.transform(cut, lambda p: F.struct(p.alias("text"), rx.fold_all(p).alias("folded"), limit.alias("limit")))
+
+
+def _starts_in(part: Column, pattern: Column) -> Column:
+    return F.call_function("regexp_instr", part["text"], pattern).between(F.lit(1), part["limit"])
+
+
+def _local_fragment(near: Column, pattern: Column) -> Column:
+    """First match of a local pattern in the parts that hold its text; mostly in the first."""
+    first = F.get(near, F.lit(0))
+    rest = F.get(F.filter(near, lambda p: _starts_in(p, pattern)), F.lit(0))
+
+    def found(part: Column) -> Column:
+        return F.call_function("regexp_extract", part["text"], pattern, F.lit(0))
+
+    return F.when(_starts_in(first, pattern), found(first)).otherwise(F.coalesce(found(rest), F.lit("")))
 
 
 class RuleIndex:
@@ -56,24 +90,25 @@ class RuleIndex:
             F.monotonically_increasing_id().alias("rule"), *_RULE
         )
         self.rules = written(_demands(numbered), "rules")
-        told = (F.size("needed") > 0) & F.forall("needed", lambda t: F.length(t) >= 3)
-        each = self.rules.filter(told).select("rule", F.explode("needed").alias("needed"))
-        each = each.select("rule", "needed", F.explode(_grams(F.col("needed"))).alias("gram"))
+        told = (F.size("needed") > 0) & F.forall("needed", lambda t: F.length(t) >= SHORT)
+        #: A row per rule and text: the rules to try where ``one`` is found.
+        self.told = self.rules.filter(told).withColumn("one", F.explode("needed"))
+        grams = F.when(F.length("one") >= LONG, _grams(F.col("one"), LONG)).otherwise(_grams(F.col("one"), SHORT))
+        each = self.told.select("one").distinct().select("one", F.explode(grams).alias("gram"))
         common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        rarest = each.join(common, "gram").groupBy("rule", "needed").agg(
+        rarest = each.join(common, "gram").groupBy("one").agg(
             F.min_by("gram", F.struct("n", "gram")).alias("gram")
         )
-        anywhere = self.rules.filter(~told).select(
-            F.explode(F.concat(*[F.array(F.concat(F.lit("any "), F.lit(str(n)))) for n in range(SLICES)])).alias("gram"),
-            "rule",
+        self.grams = written(rarest.select("gram", "one"), "rule_grams")
+        self.anywhere = self.rules.filter(~told).withColumn(
+            "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long")))
         )
-        self.grams = written(rarest.select("gram", "rule").distinct().unionByName(anywhere), "rule_grams")
 
     def candidates(self, articles: DataFrame) -> DataFrame:
-        """``(ord, rule)`` that share an indexed trigram; ``articles`` has ``ord, folded``."""
-        grams = F.concat(_grams(F.col("folded")), F.array(_any_key(F.col("ord"))))
+        """``(ord, one)``: needed texts whose gram an article has; it has ``ord, folded``."""
+        grams = F.concat(_grams(F.col("folded"), SHORT), _grams(F.col("folded"), LONG))
         held = articles.select("ord", F.explode(grams).alias("gram"))
-        return held.join(self.grams, "gram").select("ord", "rule").distinct()
+        return held.join(self.grams, "gram").select("ord", "one").distinct()
 
     def hits(self, articles: DataFrame) -> DataFrame:
         """``(ord, profile, kind, seq, label, fragment)``, a row for each rule that matches."""
@@ -81,14 +116,25 @@ class RuleIndex:
         texts = articles.select("ord", text.alias("searched")).withColumn(
             "folded", rx.fold_all(F.col("searched"))
         )
-        tried = texts.join(self.candidates(texts), "ord").join(self.rules, "rule")
-        possible = (F.size("needed") == 0) | F.exists(
-            "needed", lambda t: F.contains(F.col("folded"), t)
-        )
+        holds = F.contains(F.col("folded"), F.col("one"))
+        present = F.filter("needed", lambda t: F.contains(F.col("folded"), t))
+        # A rule with several needed texts is tried once, at the first of them that is there.
+        once = (F.size("needed") == 1) | (F.get(present, F.lit(0)) == F.col("one"))
+        cut = texts.withColumn("parts", _parts(F.col("searched")))
+        found_in = cut.join(self.candidates(texts), "ord").filter(holds)
+        near = F.filter("parts", lambda p: F.contains(p["folded"], F.col("one")))
+        found_in = found_in.withColumn("near", near)
+        by_text = found_in.join(self.told, "one").filter(once).drop("one")
+        possible = (F.size("needed") == 0) | (F.size(present) > 0)
+        sliced = texts.withColumn("slice", F.pmod(F.xxhash64("ord"), F.lit(SLICES)))
+        by_slice = sliced.join(self.anywhere, "slice").filter(possible).drop("slice")
         pattern = F.concat(F.lit(rx.FLAGS), F.col("pattern"))
-        found = tried.filter(possible).select(
-            "*", F.call_function("regexp_extract", F.col("searched"), pattern, F.lit(0)).alias("fragment")
-        )
+        whole = F.call_function("regexp_extract", F.col("searched"), pattern, F.lit(0))
+        near_any = F.filter("parts", lambda p: F.exists("needed", lambda t: F.contains(p["folded"], t)))
+        by_text = by_text.withColumn("near", F.when(F.size("needed") == 1, F.col("near")).otherwise(near_any))
+        part_or_whole = F.when(F.col("local"), _local_fragment(F.col("near"), pattern)).otherwise(whole)
+        found = by_text.withColumn("fragment", part_or_whole).drop("near", "parts")
+        found = found.unionByName(by_slice.withColumn("fragment", whole))
         matched = (F.col("fragment") != "") | (
             F.col("may_be_empty") & F.regexp_like("searched", pattern)
         )

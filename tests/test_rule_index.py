@@ -98,6 +98,26 @@ def test_few_pairs_run_a_pattern(spark, folder):
     assert pairs < 0.25 * rows.count() * 1000
 
 
+def test_an_article_without_the_text_is_no_candidate(spark):
+    """Its trigrams are all there, the text is not."""
+    index = ri.RuleIndex(spark.createDataFrame([("p", "core", 0, "l", "kraken[a-z]")], TABLE))
+    rows = [(0, "kra rak ake ken"), (1, "a krakens")]
+    found = index.candidates(spark.createDataFrame(rows, "ord long, folded string")).collect()
+    assert [tuple(r) for r in found] == [(1, "kraken")]
+
+
+def test_matches_across_the_parts_of_an_article(spark):
+    """Local patterns find the first match of the whole text, wherever parts begin."""
+    patterns = ["kraken[a-z]{1,3}", "[a-z]{2}kraken", "(?:kraken|zebra)[a-z]", "kraken.{0,40}zebra", "kraken ", "[a-z]*kraken"]
+    profile = RuleProfile("p", "P", core=tuple(Rule(f"r{n}", p) for n, p in enumerate(patterns)))
+    texts = ["-" * at + "xyKRAKENabcd kraken" + "." * 30 + "zebras kraken" for at in range(930, 1010, 3)]
+    texts += ["\U0001f600" * 990 + t[900:] for t in texts[:6]] + ["kraken" * 400, "kraken-" * 400 + "krakenq"]
+    rows = spark.createDataFrame([(n, "", t) for n, t in enumerate(texts)], "ord long, title string, text string")
+    index = ri.RuleIndex(spark.createDataFrame(_rows([profile]), TABLE))
+    assert _sorted(index.hits(rows)) == _sorted(ru.rule_hits_long(rows, [profile]))
+    assert index.rules.filter("local").count() == 5
+
+
 def test_no_rules_and_no_articles(spark, texts):
     none = ri.RuleIndex(spark.createDataFrame([], TABLE))
     assert none.hits(texts).count() == 0
