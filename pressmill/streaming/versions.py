@@ -2,7 +2,8 @@
 
 ``late_refresh`` finds out what a micro-batch changes by reading the table. Here the state
 of the stream knows it: per key the order value and the day of the newest version, with a
-time to live. Only rows newer than that leave the operator, so a batch opens the days of
+time to live. Each call for a state costs about the same, so the keys share ``BUCKETS``
+states by hash, which are read and written once per batch. Only rows newer than that leave the operator, so a batch opens the days of
 its changed rows and no other; neither the table nor its folders are listed again.
 """
 
@@ -12,7 +13,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pressmill.operators.dedupe import first_by
 from pressmill.session import written
@@ -20,37 +21,60 @@ from pressmill.sources.day_cache import DAY_PARTS, drop_days, folder_exists, wri
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: States that hold the keys; fixed for the life of a checkpoint.
+BUCKETS = 1 << 14
+_BUCKET = "_bucket"
 #: Where the newest version of a row was before.
 WAS = [f"was_{name}" for name in DAY_PARTS]
 
 
+def _identity(value):
+    """A key's value as a dictionary tells it apart, as grouping does."""
+    if isinstance(value, float) and value != value:
+        return "NaN", float
+    return bytes(value) if isinstance(value, bytearray) else value
+
+
 class _Newest(StatefulProcessor):
     """Lets a row pass if it is newer than every version of its key seen before."""
 
-    def __init__(self, schema: StructType, order: str, ttl_ms: int):
-        self.names, self.order, self.ttl_ms = schema.names, order, ttl_ms
-        self.held = StructType(
-            [StructField("order", schema[order].dataType)] + [schema[name] for name in DAY_PARTS]
-        )
+    def __init__(self, schema: StructType, key: list[str], order: str, ttl_ms: int):
+        self.names, self.key, self.order, self.ttl_ms = schema.names, key, order, ttl_ms
+        cells = [StructField(f"key_{n}", schema[name].dataType) for n, name in enumerate(key)]
+        cells += [StructField("order", schema[order].dataType), *(schema[name] for name in DAY_PARTS)]
+        cells.append(StructField("seen", LongType()))
+        self.held = StructType([StructField("keys", ArrayType(StructType(cells)))])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("newest", self.held, self.ttl_ms)
 
-    def _rank(self, row: Row) -> tuple:
-        value = row[self.order]
+    def _rank(self, value) -> tuple:
         return (value is not None, value) if value is not None else (False,)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best = max(rows, key=lambda row: (self._rank(row), repr(row)))
-        known = self.state.get() if self.state.exists() else None
-        if known is not None:
-            before = (True, known[0]) if known[0] is not None else (False,)
-            if self._rank(best) <= before:
-                return
-        parts = tuple(best[name] for name in DAY_PARTS)
-        self.state.update((best[self.order], *parts))
-        was = (None,) * len(parts) if known is None else known[1:]
-        yield Row(**{name: best[name] for name in self.names}, **dict(zip(WAS, was)))
+        n, best = len(self.key), {}
+        for row in rows:
+            own = tuple(_identity(row[name]) for name in self.key)
+            place = (self._rank(row[self.order]), repr(row))
+            if own not in best or best[own][0] < place:
+                best[own] = (place, row)
+        now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_ms else 0
+        found = self.state.get()
+        held = {tuple(map(_identity, cell[:n])): tuple(cell) for cell in (found[0] if found else ())}
+        if self.ttl_ms:
+            held = {own: cell for own, cell in held.items() if cell[-1] + self.ttl_ms > now}
+        passed = []
+        for own, ((rank, _), row) in best.items():
+            known = held.get(own)
+            if known is not None and rank <= self._rank(known[n]):
+                continue
+            parts = tuple(row[name] for name in DAY_PARTS)
+            held[own] = (*(row[name] for name in self.key), row[self.order], *parts, now)
+            passed.append((row, (None,) * len(parts) if known is None else known[n + 1 : -1]))
+        if passed:
+            self.state.update((list(held.values()),))
+        for row, was in passed:
+            yield Row(**{name: row[name] for name in self.names}, **dict(zip(WAS, was)))
 
     def close(self) -> None:
         pass
@@ -64,8 +88,9 @@ def newest_versions(stream: DataFrame, key: list[str], order: str, keep_ms: int)
     """
     schema = stream.schema
     was = [StructField(new, schema[name].dataType) for new, name in zip(WAS, DAY_PARTS)]
-    return stream.groupBy(*key).transformWithState(
-        statefulProcessor=_Newest(schema, order, keep_ms),
+    bucketed = stream.withColumn(_BUCKET, F.pmod(F.xxhash64(*key), F.lit(BUCKETS)))
+    return bucketed.groupBy(_BUCKET).transformWithState(
+        statefulProcessor=_Newest(schema, key, order, keep_ms),
         outputStructType=StructType([*schema.fields, *was]),
         outputMode="Update",
         timeMode="ProcessingTime" if keep_ms else "None",

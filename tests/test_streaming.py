@@ -1,5 +1,8 @@
 from datetime import date
 
+from pyspark.sql import Row
+from pyspark.sql.types import StructType
+
 from pressmill.operators.periods import PeriodStore
 from pressmill.session import work_path
 from pressmill.streaming import ingest as st
@@ -104,3 +107,43 @@ def test_changed_versions_open_their_own_days_only(spark):
     held, last = run([(10, 3, 81, 2)])
     assert held == [(1, 1, 10), (5, 5, 50), (9, 2, 90), (10, 3, 81), (10, 4, 101)]
     assert len(later & last) == 3
+
+
+class _Counted:
+    """A state handle and its one value, which counts the calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.now = 0, None, 1000
+
+    def getValueState(self, name, schema, ttl_ms):
+        return self
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_keys_of_a_bucket_share_the_calls_for_state():
+    schema = StructType().add("source", "string").add("topic", "string").add("day", "date")
+    schema = schema.add("k", "double").add("version", "long")
+    state = _Counted()
+
+    def run(rows):
+        made = [Row(source="s", topic="t", day=date(2024, 1, d), k=k, version=v) for d, k, v in rows]
+        return [(r.k, r.version, r.was_day) for r in newest.handleInputRows((0,), iter(made), state)]
+
+    newest = versions._Newest(schema, ["source", "k"], "version", 500)
+    newest.init(state)
+    assert len(run([(1, float(n), 0) for n in range(100)])) == 100 and state.calls == 2
+    nan = float("nan")
+    assert [r[1:] for r in run([(1, nan, 0), (1, None, None), (2, nan, 1)])] == [(1, None), (None, None)]
+    assert run([(3, 5.0, 1), (3, 6.0, 0), (2, nan, 1), (4, None, None)]) == [(5.0, 1, date(2024, 1, 1))]
+    state.now = 1500  # all keys are older than their time to live
+    assert run([(3, 6.0, 0)]) == [(6.0, 0, None)]
