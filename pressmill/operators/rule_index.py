@@ -123,17 +123,17 @@ class RuleIndex:
         cut = texts.withColumn("parts", _parts(F.col("searched")))
         found_in = cut.join(self.candidates(texts), "ord").filter(holds)
         near = F.filter("parts", lambda p: F.contains(p["folded"], F.col("one")))
-        found_in = found_in.withColumn("near", near)
+        found_in = found_in.withColumn("near", near).drop("parts")
         by_text = found_in.join(self.told, "one").filter(once).drop("one")
         possible = (F.size("needed") == 0) | (F.size(present) > 0)
         sliced = texts.withColumn("slice", F.pmod(F.xxhash64("ord"), F.lit(SLICES)))
         by_slice = sliced.join(self.anywhere, "slice").filter(possible).drop("slice")
         pattern = F.concat(F.lit(rx.FLAGS), F.col("pattern"))
         whole = F.call_function("regexp_extract", F.col("searched"), pattern, F.lit(0))
-        near_any = F.filter("parts", lambda p: F.exists("needed", lambda t: F.contains(p["folded"], t)))
-        by_text = by_text.withColumn("near", F.when(F.size("needed") == 1, F.col("near")).otherwise(near_any))
-        part_or_whole = F.when(F.col("local"), _local_fragment(F.col("near"), pattern)).otherwise(whole)
-        found = by_text.withColumn("fragment", part_or_whole).drop("near", "parts")
+        # Parts are told by one text, so a rule with several runs on the whole article.
+        by_part = F.col("local") & (F.size("needed") == 1)
+        part_or_whole = F.when(by_part, _local_fragment(F.col("near"), pattern)).otherwise(whole)
+        found = by_text.withColumn("fragment", part_or_whole).drop("near")
         found = found.unionByName(by_slice.withColumn("fragment", whole))
         matched = (F.col("fragment") != "") | (
             F.col("may_be_empty") & F.regexp_like("searched", pattern)
