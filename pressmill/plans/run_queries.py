@@ -17,7 +17,8 @@ from pressmill.sources import day_cache as dc
 
 _TODAY = "2024-01-28"
 
-# Every 600 ids are a site of their own, so a cache document stays small.
+# Every 600 ids are a site of their own, so a cache document stays small. The sites grow
+# with the rows, so the documents are kept as a table: a folder each would be a file each.
 _CACHED = (
     ART
     + f""", held AS (
@@ -68,7 +69,7 @@ def _period(spark, d):
             "matched_keyword": F.concat(F.lit("k"), (F.col("ord") % 3).cast("string")),
         }
     )
-    docs = dc.read_documents(spark, dc.stage_documents(rows, spark), one_per_line=True)
+    docs = dc.read_documents(spark, dc.stage_documents(rows, spark, as_table=True), one_per_line=True)
     store = PeriodStore(spark, work_path(spark, "period"))
     topics = [t.id for t in ALL_TOPICS]
     today = F.lit(_TODAY).cast("date")

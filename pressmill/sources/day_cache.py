@@ -20,6 +20,10 @@ _DAY_MAP = f"map<string,{DAY_ENTRY.simpleString()}>"
 _ROOTS = f"struct<days:{_DAY_MAP},reviews:{_DAY_MAP}>"
 DAY_PARTS = ["source", "topic", "day"]
 _STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+#: Below a cache: its documents as rows ``(source, topic, body)`` instead of folders.
+_TABLE = "documents.parquet"
+# What a folder is named by where its part is null or empty.
+_UNNAMED = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _path_part(back: int) -> Column:
@@ -58,9 +62,15 @@ def read_documents(
     """``(file, source, topic, body)``, a row per cache document.
 
     ``path`` holds ``{source}/{topic}/<file>``. With ``one_per_line`` a file
-    holds many compact documents. Of the wanted sources and topics (None for
-    all) only the folders are opened.
+    holds many compact documents, or ``path`` holds a table of documents
+    (``stage_documents``). Of the wanted sources and topics (None for all) only
+    the folders are opened; a table is filtered.
     """
+    if one_per_line and folder_exists(spark, f"{path.rstrip('/')}/{_TABLE}"):
+        held = spark.read.parquet(f"{path.rstrip('/')}/{_TABLE}")
+        for name, wanted in (("source", sources), ("topic", topics)):
+            held = held if wanted is None else held.filter(F.col(name).isin(wanted))
+        return held.select(F.col("_metadata.file_path").alias("file"), "source", "topic", "body")
     paths = [path]
     if sources is not None or topics is not None:
         paths = _wanted_folders(spark, path.rstrip("/"), sources, topics)
@@ -215,11 +225,13 @@ def trim_days(spark: SparkSession, table: str, parts: list[str], keep: Column) -
     return drop_days(held.filter(~F.coalesce(keep, F.lit(False))), table, parts)
 
 
-def stage_documents(articles: DataFrame, spark: SparkSession) -> str:
+def stage_documents(articles: DataFrame, spark: SparkSession, as_table: bool = False) -> str:
     """Write articles as cache documents, one compact document per line.
 
     ``articles`` has ``source, topic, chunk, day, root, ord`` and the item
-    fields; ``(source, topic, chunk)`` must hold a bounded number of rows.
+    fields; ``(source, topic, chunk)`` must hold a bounded number of rows. Folders
+    suit a bounded number of sources: where these grow with the rows, ``as_table``
+    keeps the same documents as rows, in as many files as there are tasks.
     """
     path = work_path(spark, "day_cache")
     fields = ["url", "title", "date", "text", "matched_keyword"]
@@ -246,6 +258,13 @@ def stage_documents(articles: DataFrame, spark: SparkSession) -> str:
         )
     )
     body = F.concat(F.lit('{"'), F.col("root"), F.lit('":'), F.to_json("days"), F.lit("}"))
+    if as_table:
+        named = [
+            F.coalesce(F.nullif(F.col(n).cast("string"), F.lit("")), F.lit(_UNNAMED)).alias(n)
+            for n in ("source", "topic")
+        ]
+        days.select(*named, body.alias("body")).write.parquet(f"{path}/{_TABLE}")
+        return path
     days.select("source", "topic", body.alias("value")).write.partitionBy(
         "source", "topic"
     ).text(path)
