@@ -84,6 +84,10 @@ class WordBpe:
         )
         self.words: dict[str, bytes] = {}
 
+    def tokens(self) -> pa.Array:
+        """The tokens by id."""
+        return _by_id(self.vocab | self.special)
+
     # Compatibility of adjacent tokens
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,16 +224,19 @@ def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(WordBpe(path).encode_chunks)
 
 
+def _by_id(ids: dict[str, int]) -> pa.Array:
+    names = [""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        names[i] = token
+    return pa.array(names)
+
+
 @lru_cache(maxsize=2)
 def _tokens(path: str) -> pa.Array:
     """The tokens by id; decoding needs nothing else of the file."""
     with open(path, encoding="utf-8") as f:
         file = json.load(f)
-    ids = file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}
-    names = [""] * (max(ids.values()) + 1)
-    for token, i in ids.items():
-        names[i] = token
-    return pa.array(names)
+    return _by_id(file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]})
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
