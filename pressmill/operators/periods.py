@@ -129,6 +129,7 @@ class PeriodStore:
         topic: str = "topic",
         order: str = "ord",
         writer: str = "append",
+        rows: DataFrame | None = None,
     ) -> DataFrame:
         """Append the unseen rows of a batch and return the open period.
 
@@ -137,6 +138,10 @@ class PeriodStore:
         key index, so an append reads the index files of its own buckets, not the period.
         Two appends at the same time do not see one another's rows: have one writer, or
         let a later ``read_open`` be deduplicated with ``first_by``.
+
+        With ``rows`` only ``order`` and the keys of ``incoming`` are worked on, and the rows
+        to append are looked up in ``rows`` by ``order``, which must tell all of them apart:
+        long texts are then read for these rows only.
         """
         folder = self._open_folder()
         held = self._batches(folder)
@@ -154,7 +159,12 @@ class PeriodStore:
         def known(first: DataFrame) -> DataFrame | None:
             return index.held(written(hashed(first), "batch_keys"), earlier) if earlier else None
 
+        if rows is not None:
+            incoming = incoming.select(order, url, topic)
         fresh = unseen_rows(incoming, known, url, topic, order)
+        if rows is not None:
+            # Settled before: where they are few, the planner looks them up without a shuffle.
+            fresh = rows.join(written(fresh.select(order), "unseen"), order, "left_semi")
         fresh.withColumn(BATCH_COLUMN, F.lit(number)).write.mode("overwrite").parquet(f"{path}/{name}")
         index.add(name, self.spark.read.parquet(f"{path}/{name}"), url, topic)
         return self._read(folder)

@@ -73,19 +73,15 @@ def collect_run(
     return spark.createDataFrame([tuple(figures.values())], ", ".join(f"{k} long" for k in figures))
 
 
-def cached_articles(
+def _window_articles(
     docs: DataFrame,
     source_ids: list[str] | None,
     topic_ids: list[str],
     days: int,
     today: Column,
-    sources: tuple[Source, ...] = SOURCES,
+    sources: tuple[Source, ...],
 ) -> DataFrame:
-    """Articles of the window, unique per topic and source, newest day first.
-
-    ``ord`` is the place of a row in the output: topic, source, day, document,
-    position.
-    """
+    """Articles of the window, settled: they are read once for the keys and once for the rows."""
     held = dc.scan_all(docs, source_ids, topic_ids)
     key_format = _by_source(sources, lambda s: s.key_format, "")
     held = held.filter(wn.in_source_window(F.col("day"), key_format, days, today))
@@ -100,9 +96,26 @@ def cached_articles(
         "line",
         "pos",
     )
-    items = ar.normalize_articles(held.withColumn("ord", place))
-    # Scanned once for the keys and once for the rows: settled in between.
-    return dedupe_greedy(written(items, "items"), ["topic", "source"])
+    return written(ar.normalize_articles(held.withColumn("ord", place)), "items")
+
+
+_UNIQUE_IN = ["topic", "source"]
+
+
+def cached_articles(
+    docs: DataFrame,
+    source_ids: list[str] | None,
+    topic_ids: list[str],
+    days: int,
+    today: Column,
+    sources: tuple[Source, ...] = SOURCES,
+) -> DataFrame:
+    """Articles of the window, unique per topic and source, newest day first.
+
+    ``ord`` is the place of a row in the output: topic, source, day, document,
+    position.
+    """
+    return dedupe_greedy(_window_articles(docs, source_ids, topic_ids, days, today, sources), _UNIQUE_IN)
 
 
 def export_run(
@@ -116,8 +129,10 @@ def export_run(
     topics: tuple[Topic, ...] = TOPICS,
 ) -> DataFrame:
     """Append the window's articles to the open period and return the period."""
-    unique = cached_articles(docs, source_ids, topic_ids, days, today, sources)
-    return store.append(ar.project_export(unique, sources, topics))
+    items = _window_articles(docs, source_ids, topic_ids, days, today, sources)
+    unique = dedupe_greedy(items, _UNIQUE_IN)
+    # The texts of the rows to append are read at the end: the choice needs the keys only.
+    return store.append(ar.project_export(unique, sources, topics), rows=ar.project_export(items, sources, topics))
 
 
 # Earlier appends come first, within one the place given by ``cached_articles``.

@@ -235,27 +235,26 @@ def stage_documents(articles: DataFrame, spark: SparkSession, as_table: bool = F
     """
     path = work_path(spark, "day_cache")
     fields = ["url", "title", "date", "text", "matched_keyword"]
-    item = F.struct("ord", F.struct(*[c for c in fields if c in articles.columns]).alias("item"))
+    item = F.struct("day", "ord", F.struct(*[c for c in fields if c in articles.columns]).alias("item"))
+
+    def entry(day: Column) -> Column:
+        own = F.filter("held", lambda h: h["day"].eqNullSafe(day))
+        return F.struct(
+            day.alias("day"),
+            F.struct(
+                day.alias("date"),
+                F.lit("processed").alias("status"),
+                F.size(own).cast("long").alias("links_found"),
+                F.transform(own, lambda h: h["item"]).alias("items"),
+            ),
+        )
+
+    # The days are told apart within a document, so its texts are shuffled once.
     days = (
-        articles.groupBy("source", "topic", "chunk", "root", "day")
+        articles.groupBy("source", "topic", "chunk", "root")
         .agg(F.array_sort(F.collect_list(item)).alias("held"))
-        .withColumn("links_found", F.size("held").cast("long"))
-        .groupBy("source", "topic", "chunk", "root")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(
-                    F.struct(
-                        "day",
-                        F.struct(
-                            F.col("day").alias("date"),
-                            F.lit("processed").alias("status"),
-                            "links_found",
-                            F.transform("held", lambda h: h["item"]).alias("items"),
-                        ),
-                    )
-                )
-            ).alias("days")
-        )
+        .withColumn("named", F.array_distinct(F.transform("held", lambda h: h["day"])))
+        .withColumn("days", F.map_from_entries(F.transform("named", entry)))
     )
     body = F.concat(F.lit('{"'), F.col("root"), F.lit('":'), F.to_json("days"), F.lit("}"))
     if as_table:
