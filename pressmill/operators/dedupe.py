@@ -87,7 +87,8 @@ def dedupe_greedy(
     )
     kept = [free]
     for done in count(1):
-        marked = _mark_first(pending, scope)
+        # A round reads the pending rows three times: settled before.
+        marked = _mark_first(written(pending, "greedy_pending"), scope)
         held = written(marked, "greedy_round")
         kept.append(held.filter("_first").select(*scope, "_ord"))
         rest = held.filter("not _first").drop("_first")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pressmill.operators import dedupe as dd
 from pressmill.operators import periods as pr
 from pressmill.plans import runs
 from pressmill.session import work_path
@@ -76,3 +77,18 @@ def test_keys_choose_and_texts_are_looked_up(spark, monkeypatch):
     before = got.filter("url <> ''").count()
     again = runs.export_run(docs, store, None, ["en", "de"], 5, today, sources=(), topics=())
     assert again.filter("url <> ''").count() == before
+
+
+def test_a_round_reads_settled_rows(spark, monkeypatch):
+    read = {}
+    write = dd.written
+
+    def watched(df, name):
+        read.setdefault(name, df.inputFiles())
+        return write(df, name)
+
+    rows = _articles(spark)
+    rows.write.parquet(path := work_path(spark, "articles"))
+    monkeypatch.setattr(dd, "written", watched)
+    dd.dedupe_greedy(spark.read.parquet(path), ["topic"]).collect()
+    assert read["greedy_round"] and all("greedy_pending" in f for f in read["greedy_round"])
