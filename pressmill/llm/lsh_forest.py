@@ -170,7 +170,8 @@ def _work(nodes: DataFrame, trees: int, block: int) -> DataFrame:
     """``tree, task, side, node``: which blocks of which prefix groups are compared."""
     postings = nodes.select("node", "keys", F.posexplode("keys").alias("tree", "key"))
     shared = postings.groupBy("tree", "key").agg(F.count("*").alias("size")).where("size > 1")
-    both = postings.join(shared, ["tree", "key"])
+    # Sized from ``nodes``, which has one row for the ``trees`` postings: never broadcast these.
+    both = postings.join(shared.hint("merge"), ["tree", "key"])
     # All met before if some earlier trie has one key for the whole group.
     spread = [
         (F.min(F.col("keys")[t]) == F.max(F.col("keys")[t])) & (F.col("tree") > t) for t in range(trees)
@@ -179,7 +180,7 @@ def _work(nodes: DataFrame, trees: int, block: int) -> DataFrame:
     for one in spread[1:]:
         met = met | one
     fresh = both.groupBy("tree", "key", "size").agg(met.alias("met")).where("NOT met").drop("met", "size")
-    fresh = both.join(fresh, ["tree", "key"]).select(
+    fresh = both.join(fresh.hint("merge"), ["tree", "key"]).select(
         "tree",
         "key",
         "node",
