@@ -147,32 +147,178 @@ def _looks_inside(sequence) -> bool:
     return True
 
 
+#: Least and most characters of a match before a text, and the characters beside it, if told.
+Place = tuple[int, int, str | None, str | None]
+
+
 def _needed(sequence) -> frozenset[str]:
     """The most telling set of alternatives one element of a sequence demands."""
-    options, run = [], ""
-    for op, value in [*sequence, (None, None)]:
+    return frozenset(_needed_at(sequence))
+
+
+def _needed_at(sequence, before=None, after=None) -> dict[str, Place]:
+    """``_needed`` with the place of each text; ``before`` and ``after`` are what stands there."""
+    items = [before, *sequence, after]
+    options, run, start = [], "", 0
+    low, high = [0], [0]  # widths of what stands before each element
+    for at in range(len(items) - 2):
+        least, most = sequence[at : at + 1].getwidth()
+        low.append(low[-1] + least)
+        high.append(high[-1] + most)
+    for at, item in enumerate([*items[1:-1], (None, None)]):
+        op, value = item
         name = str(op)
         if name == "LITERAL":
             char = chr(value)
             # Characters whose case forms differ in length or place end a run.
             if len(char.upper()) == len(char.lower()) == len(char.upper().lower()) == 1:
+                start = start if run else at
                 run += char.upper().lower()
                 continue
         if run:
-            options.append(frozenset((run,)))
+            options.append({run: (low[start], high[start], _one_char(items[start]), _one_char(items[at + 1]))})
         run = ""
+        found: dict[str, Place] = {}
         if name == "SUBPATTERN":
-            options.append(_needed(value[-1]))
+            found = _needed_at(value[-1], items[at], items[at + 2])
         elif name == "ATOMIC_GROUP":
-            options.append(_needed(value))
+            found = _needed_at(value, items[at], items[at + 2])
         elif name.endswith("_REPEAT") and value[0] > 0:
-            options.append(_needed(value[2]))
+            found = _needed_at(value[2], items[at])
         elif name == "BRANCH":
-            branches = [_needed(branch) for branch in value[1]]
+            branches = [_needed_at(branch, items[at], items[at + 2]) for branch in value[1]]
             if all(branches):
-                options.append(frozenset().union(*branches))
+                for text, (least, most, left, right) in (x for b in branches for x in b.items()):
+                    old = found.get(text, (least, most, left, right))
+                    same = [x if x == y else None for x, y in zip(old[2:], (left, right))]
+                    found[text] = (min(old[0], least), max(old[1], most), *same)
+        options.append({t: (low[at] + p[0], high[at] + p[1], *p[2:]) for t, p in found.items()})
     telling = [o for o in options if o]
-    return max(telling, key=lambda o: (min(map(len, o)), -len(o)), default=frozenset())
+    return max(telling, key=lambda o: (min(map(len, o)), -len(o)), default={})
+
+
+def needed_places(pattern: str) -> list[Place]:
+    """Where the texts of ``needed_texts`` stand in a match, in their order."""
+    texts = needed_texts(pattern)
+    places = _needed_at(_parsed(pattern)) if texts else {}
+    return [places[t] for t in texts]
+
+
+class _Unknown(ValueError):
+    """An element that is not known to match the same in Python and in Java."""
+
+
+#: White space as Java's Unicode classes have it; Python's has four control characters more.
+_SPACE = r" \t\n\x0b\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_CLASSES = {"CATEGORY_DIGIT": r"\d", "CATEGORY_SPACE": _SPACE}
+
+
+def folded_pattern(pattern: str) -> str | None:
+    """A Python pattern that finds in a folded text what ``pattern`` finds in the text.
+
+    Both engines try alternatives and repeats in the same order, so matches differ by the
+    characters only, and those of the elements let through here fold in the same way. None
+    for any other pattern.
+    """
+    parsed = _parsed(pattern)
+    odd = r"\(\?(?!:)|&&|\[\^?\]|\\[0-9A-Za-z](?<!\\[dstnrf])|\{(?!\d+(?:,\d*)?\})"
+    if parsed is None or re.search(odd, pattern):
+        return None
+    try:
+        return _folded_sequence(parsed)
+    except _Unknown:
+        return None
+
+
+def _folded_sequence(sequence) -> str:
+    return "".join(_folded_element(op, value) for op, value in sequence)
+
+
+def _folded_element(op, value) -> str:
+    name = str(op)
+    if name == "LITERAL":
+        return re.escape(_folded_char(value))
+    if name == "NOT_LITERAL" and value < 128:
+        return f"[^{_in_class(_folded_char(value))}]"
+    if name == "ANY":
+        return r"[^\n]"
+    if name == "IN":
+        return _folded_class(value)
+    if name == "AT" and str(value) in ("AT_BEGINNING", "AT_BEGINNING_STRING"):
+        return r"\A"
+    if name == "SUBPATTERN" and not (value[1] or value[2]):
+        return f"(?:{_folded_sequence(value[3])})"
+    if name == "BRANCH":
+        return f"(?:{'|'.join(map(_folded_sequence, value[1]))})"
+    if name in ("MAX_REPEAT", "MIN_REPEAT") and value[2].getwidth()[0] > 0:
+        most = "" if value[1] is _parser.MAXREPEAT else int(value[1])
+        lazy = "?" if name == "MIN_REPEAT" else ""
+        return f"(?:{_folded_sequence(value[2])}){{{int(value[0])},{most}}}{lazy}"
+    raise _Unknown(name)
+
+
+def _in_class(char: str) -> str:
+    return f"\\u{ord(char):04x}"
+
+
+def _folded_char(code: int) -> str:
+    char = chr(code)
+    if code > 0xFFFF or not len(char.upper()) == len(char.lower()) == len(char.upper().lower()) == 1:
+        raise _Unknown(char)
+    return char.upper().lower()
+
+
+def _folded_class(items) -> str:
+    ranges = [tuple(value) for op, value in items if str(op) == "RANGE"]
+    out = ""
+    for op, value in items:
+        name = str(op)
+        if name == "NEGATE":
+            out += "^"
+        elif name == "LITERAL" and chr(value) not in "[&" and (value < 128 or 0xC0 <= value < 0xFF and value not in (0xC5, 0xE5)):
+            out += _in_class(_folded_char(value))
+        elif name == "RANGE":
+            low, high = map(chr, value)
+            if "A" <= low <= high <= "Z" and (ord(low.lower()), ord(high.lower())) in ranges:
+                continue  # its lower letters are there too
+            whole = any(a <= low <= high <= b for a, b in ("az", "09", "\0/", ":@", "{\x7f"))
+            if not whole:
+                raise _Unknown(low + high)
+            out += f"{_in_class(low)}-{_in_class(high)}"
+        elif name == "CATEGORY" and str(value) in _CLASSES:
+            out += _CLASSES[str(value)]
+        else:
+            raise _Unknown(name)
+    return f"[{out}]"
+
+
+def _one_char(item) -> str | None:
+    """The class of the character that an element puts at both its ends, if it is one."""
+    if item is None:
+        return None
+    op, value = item
+    if str(op) in ("MAX_REPEAT", "MIN_REPEAT"):
+        return _one_char(value[2][0]) if value[0] > 0 and len(value[2]) == 1 else None
+    if str(op) not in ("LITERAL", "NOT_LITERAL", "ANY", "IN"):
+        return None
+    try:
+        return _folded_element(op, value)
+    except _Unknown:
+        return None
+
+
+@lru_cache(maxsize=1)
+def _odd_finder() -> tuple[re.Pattern, dict[int, str]]:
+    odd = _odd_letters()
+    return re.compile("[" + "".join(odd) + "]"), str.maketrans(odd)
+
+
+def folded(text: str) -> str:
+    """``fold_all`` in Python; as long as the text."""
+    if text.isascii():
+        return text.lower()
+    finder, plain = _odd_finder()
+    return (text.translate(plain) if finder.search(text) else text).lower()
 
 
 def _worth_it(folded: Column | None, raw: str) -> Column | None:

@@ -1,13 +1,15 @@
 """Rule tables of any size: an inverted index from required texts to rules.
 
 Rules are rows, not plan literals. From each pattern come the texts of which every match
-holds one; each distinct text is indexed by its gram that is rarest among all of them, of
-five characters or, for a shorter text, of three. An article's distinct grams are joined
-with the index, each text found so is looked up in the article once for all its rules, and
-only the rules whose text is there run their pattern, which is a column. A pattern of bounded
-width that looks at its match alone runs on the article's parts that hold the text. Rules that demand
-no text of three characters can match any article and are tried on each; they are dealt
-over ``SLICES`` keys.
+holds one, and where in a match they stand. The articles pass once through workers that find
+all places of all these texts (``rule_matcher``) and try a rule only there, as a Python
+pattern on the folded article; no text is shuffled. Rules that demand no text of three
+characters can match any article and are tried on each. The rules come to the workers in
+slices of some ``SLICE_RULES``.
+
+A pattern that Python is not known to match as Java does stays with Java: its candidates are
+joined with the articles, and the pattern is a column. One of bounded width that looks at its
+match alone runs on the article's parts that hold the text.
 
 Defined results: those of the literal form (``rules.rule_hits_long``); rules that are
 equal rows hit as often as they occur; a null pattern never hits; an article needs a
@@ -19,36 +21,46 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pressmill.functions import rules as rx
 from pressmill.functions.text import search_text
+from pressmill.operators.rule_matcher import Matcher, TextFinder, joined, text_steps
 from pressmill.session import written
 
 SLICES = 16
-#: Characters of a gram; three in five letters are in every long article, five are not.
-SHORT, LONG = 3, 5
+#: Rules whose index is sent to the workers at once.
+SLICE_RULES = 100_000
+#: Characters of a text that tells where a rule is tried.
+SHORT = 3
 #: Characters at which a match may start in a part of an article, and the widest match.
 STEP, WIDTH = 1000, 60
 _RULE = ["profile", "kind", "seq", "label", "pattern"]
 
 
 def _demands(rules: DataFrame) -> DataFrame:
-    """``rules`` with ``needed`` (texts of which a match holds one), ``may_be_empty`` and ``local``."""
+    """``rules`` with ``needed`` (texts of which a match holds one) and their ``places``,
+    ``may_be_empty``, ``local`` and the pattern for folded texts, null where Java is needed."""
+
+    def place(low: int, high: int, left: str | None, right: str | None) -> dict:
+        return {"low": low, "high": high if high < 2**31 else None, "left": left, "right": right}
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             part["needed"] = [list(rx.needed_texts(p)) for p in part["pattern"]]
+            part["places"] = [[place(*at) for at in rx.needed_places(p)] for p in part["pattern"]]
             part["may_be_empty"] = [rx.may_be_empty(p) for p in part["pattern"]]
             part["local"] = [rx.is_local(p, WIDTH) for p in part["pattern"]]
+            part["folded"] = [rx.folded_pattern(p) for p in part["pattern"]]
             yield part
 
     kinds = ", ".join(f"{n} {k}" for n, k in rules.dtypes)
-    return rules.mapInPandas(read, f"{kinds}, needed array<string>, may_be_empty boolean, local boolean")
-
-
-def _grams(text: Column, size: int) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
+    places = "places array<struct<low:long,high:long,left:string,right:string>>"
+    return rules.mapInPandas(
+        read, f"{kinds}, needed array<string>, {places}, may_be_empty boolean, local boolean, folded string"
+    )
 
 
 def _parts(text: Column) -> Column:
@@ -89,39 +101,89 @@ class RuleIndex:
         numbered = rules.filter("pattern is not null").select(
             F.monotonically_increasing_id().alias("rule"), *_RULE
         )
-        self.rules = written(_demands(numbered), "rules")
+        # Parsing is the work here, and the rules may come in one small partition.
+        dealt = numbered.repartition(rules.sparkSession.sparkContext.defaultParallelism)
+        self.rules = written(_demands(dealt), "rules")
         told = (F.size("needed") > 0) & F.forall("needed", lambda t: F.length(t) >= SHORT)
+        self.sorted = self.rules.withColumn("told", told)
+        sizes = self.sorted.agg(
+            F.count_if(F.col("folded").isNotNull()), F.count_if(F.col("folded").isNull())
+        ).first()
+        self.n_folded, self.n_java = sizes
+        java = self.sorted.filter("folded is null").drop("places", "folded", "told")
         #: A row per rule and text: the rules to try where ``one`` is found.
-        self.told = self.rules.filter(told).withColumn("one", F.explode("needed"))
-        grams = F.when(F.length("one") >= LONG, _grams(F.col("one"), LONG)).otherwise(_grams(F.col("one"), SHORT))
-        each = self.told.select("one").distinct().select("one", F.explode(grams).alias("gram"))
-        common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        rarest = each.join(common, "gram").groupBy("one").agg(
-            F.min_by("gram", F.struct("n", "gram")).alias("gram")
-        )
-        self.grams = written(rarest.select("gram", "one"), "rule_grams")
-        self.anywhere = self.rules.filter(~told).withColumn(
+        self.told = java.filter(told).withColumn("one", F.explode("needed"))
+        self.anywhere = java.filter(~told).withColumn(
             "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long")))
         )
 
-    def candidates(self, articles: DataFrame) -> DataFrame:
-        """``(ord, one)``: needed texts whose gram an article has; it has ``ord, folded``."""
-        grams = F.concat(_grams(F.col("folded"), SHORT), _grams(F.col("folded"), LONG))
-        held = articles.select("ord", F.explode(grams).alias("gram"))
-        return held.join(self.grams, "gram").select("ord", "one").distinct()
+    def candidates(self, articles: DataFrame, java_only: bool = False) -> DataFrame:
+        """``(ord, one)``: needed texts that an article has; it has ``ord, folded``."""
+        rules = self.sorted.filter("told")
+        rules = rules.filter("folded is null") if java_only else rules
+        texts = sorted(r[0] for r in rules.select(F.explode("needed")).distinct().collect())
+        held = articles.sparkSession.sparkContext.broadcast(TextFinder(texts))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            every = pa.array(texts, pa.string())
+            for batch in batches:
+                for part in text_steps(batch, "folded"):
+                    rows, found, _ = held.value.places(*joined(part.column("folded").to_pylist()))
+                    pairs = sorted(set(zip(rows.tolist(), found.tolist())))
+                    of, one = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+                    yield pa.RecordBatch.from_arrays([part.column("ord").take(of), every.take(one)], ["ord", "one"])
+
+        kind = articles.schema["ord"].dataType.simpleString()
+        told = articles.select("ord", "folded").filter("ord is not null and folded is not null")
+        return told.mapInArrow(run, f"ord {kind}, one string").distinct()
 
     def hits(self, articles: DataFrame) -> DataFrame:
         """``(ord, profile, kind, seq, label, fragment)``, a row for each rule that matches."""
         text = search_text(F.col("title"), F.col("text"))
-        texts = articles.select("ord", text.alias("searched")).withColumn(
-            "folded", rx.fold_all(F.col("searched"))
-        )
+        texts = articles.select("ord", text.alias("searched"))
+        slices = max(-(-self.n_folded // SLICE_RULES), 1)
+        found = self._folded_hits(texts, 0, slices)
+        for n in range(1, slices):
+            found = found.unionByName(self._folded_hits(texts, n, slices))
+        return found.unionByName(self._java_hits(texts)) if self.n_java else found
+
+    def _folded_hits(self, texts: DataFrame, n: int, slices: int) -> DataFrame:
+        """Hits of one slice of the rules that run on folded texts."""
+        mine = F.pmod(F.xxhash64("rule"), F.lit(slices)) == n
+        rules = self.sorted.filter("folded is not null").filter(mine)
+        rules = [r.asDict(recursive=True) for r in rules.collect()]
+        kinds = {c: self.rules.schema[c].dataType for c in _RULE[:-1]}
+        columns = [pa.array([r[c] for r in rules], to_arrow_type(k)) for c, k in kinds.items()]
+        columns = pa.RecordBatch.from_arrays(columns, list(kinds))
+        matcher = Matcher(rules, [r["told"] for r in rules], columns)
+        held = texts.sparkSession.sparkContext.broadcast(matcher)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = held.value
+            for batch in batches:
+                for part in text_steps(batch, "searched"):
+                    ids = part.column("ord")
+                    # A row without ``ord`` meets only the rules that are tried on every row.
+                    known = ids.is_valid().to_pylist()
+                    for rows, numbers, fragments in matcher.hits(part.column("searched").to_pylist(), known):
+                        own = matcher.columns.take(pa.array(numbers, pa.int64())).columns
+                        own = [ids.take(pa.array(rows, pa.int64())), *own, pa.array(fragments, pa.string())]
+                        yield pa.RecordBatch.from_arrays(own, names)
+
+        names = ["ord", *kinds, "fragment"]
+        kinds = [texts.schema["ord"].dataType, *kinds.values()]
+        out = ", ".join(f"{c} {k.simpleString()}" for c, k in zip(names, kinds))
+        return texts.mapInArrow(run, f"{out}, fragment string")
+
+    def _java_hits(self, articles: DataFrame) -> DataFrame:
+        """Hits of the rules whose patterns only Java is known to match."""
+        texts = articles.withColumn("folded", rx.fold_all(F.col("searched")))
         holds = F.contains(F.col("folded"), F.col("one"))
         present = F.filter("needed", lambda t: F.contains(F.col("folded"), t))
         # A rule with several needed texts is tried once, at the first of them that is there.
         once = (F.size("needed") == 1) | (F.get(present, F.lit(0)) == F.col("one"))
         cut = texts.withColumn("parts", _parts(F.col("searched")))
-        found_in = cut.join(self.candidates(texts), "ord").filter(holds)
+        found_in = cut.join(self.candidates(texts, java_only=True), "ord").filter(holds)
         near = F.filter("parts", lambda p: F.contains(p["folded"], F.col("one")))
         found_in = found_in.withColumn("near", near).drop("parts")
         by_text = found_in.join(self.told, "one").filter(once).drop("one")
