@@ -2,8 +2,8 @@
 
 The places of all needed texts come from hashed grams of the batch: a place is taken if the
 gram and then the whole text have the hash of a needed one. A place only says where a rule
-is tried, so hashes that clash cost a try and decide nothing. A rule whose text stands at a
-fixed distance from the start of a match is tried at its places in their order; any other
+is tried, so hashes that clash cost a try and decide nothing. A rule whose text stands at few
+distances from the start of a match is tried at these starts in their order; any other
 is searched for from the first place at which a match may begin.
 """
 
@@ -14,18 +14,21 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pressmill.functions import rules as rx
 
 #: Characters of a gram, for texts of at least as many.
 GRAMS = (5, 3)
 #: Characters of a batch of texts, hits that are handed on at once, and their characters.
-CHARS, HITS, FRAGMENTS = 1_000_000, 200_000, 1 << 26
+CHARS, HITS, FRAGMENTS = 250_000, 200_000, 1 << 26
+#: Starts of a match that are tried one by one for a place of its text.
+NEAR = 8
 #: Rules that a place of a text is given to at once.
 SHARE = 64
 _MIX, _PICK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BITS = 20
-#: Ways to try a rule: at its places; from the first place on; anywhere.
+#: Ways to try a rule: at the starts its places tell; from the first of them on; anywhere.
 FIXED, FROM, ANYWHERE = range(3)
 
 
@@ -121,7 +124,7 @@ def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def text_steps(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """The rows in batches of some ``CHARS`` bytes of text, or of one row."""
-    sizes = np.cumsum([len(t) for t in batch.column(column).to_pylist()])
+    sizes = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < batch.num_rows:
         base = sizes[start - 1] if start else 0
@@ -158,7 +161,7 @@ class Matcher:
                 continue
             places = row["places"]
             texts = [ids.setdefault(t, len(ids)) for t in row["needed"]]
-            fixed = all(p["low"] == p["high"] for p in places)
+            fixed = all(p["high"] is not None and p["high"] - p["low"] <= NEAR for p in places)
             self.way[rule] = FIXED if fixed else FROM
             block = max(shares.get(t, 0) for t in texts) // SHARE
             blocks += [[] for _ in range(block + 1 - len(blocks))]
@@ -166,7 +169,8 @@ class Matcher:
                 shares[t] = block * SHARE + max(shares.get(t, 0) - block * SHARE, 0) + 1
                 left, right = (classes.setdefault(p[k], len(classes)) for k in ("left", "right"))
                 most = p["high"] if p["high"] is not None else -1
-                blocks[block].append((t, rule, p["low"], most, left, right))
+                ways = [(n, n) for n in range(p["low"], most + 1)] if fixed else [(p["low"], most)]
+                blocks[block] += [(t, rule, *w, left, right) for w in ways]
         self.finder = TextFinder(list(ids))
         self.admits = np.stack([_admits(c) for c in classes])
         self.blocks = []
